@@ -41,7 +41,7 @@ def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
     return cut_lineage(df.withColumn(name, F.monotonically_increasing_id()))
 
 
-def _bucket_of(df: DataFrame, key: str, seed: int | None) -> tuple[Column, Column]:
+def key_order(df: DataFrame, key: str, seed: int | None = None) -> tuple[Column, Column]:
     """(order column, bucket column); buckets never decrease along the order."""
     if seed is not None:
         order = F.xxhash64(quoted(key), F.lit(seed))
@@ -104,12 +104,17 @@ def stratum_column(
 
 
 def with_positions(
-    df: DataFrame, key: str, stratum: Column | None = None, seed: int | None = None
+    df: DataFrame,
+    key: str,
+    stratum: Column | None = None,
+    seed: int | None = None,
+    ordering: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Add ``__pos``: the row's place (from 0) when strata follow one another in
     order of first appearance and rows inside a stratum follow the key (or, with a
-    seed, a hash of it).  ``key`` must be unique."""
-    order, bucket = _bucket_of(df, key, seed)
+    seed, a hash of it).  ``key`` must be unique.  ``ordering`` is the result of
+    ``key_order`` when several tables share one key."""
+    order, bucket = ordering or key_order(df, key, seed)
     rows = df.withColumns(
         {"__s": stratum if stratum is not None else F.lit(""), "__o": order, "__b": bucket}
     )
