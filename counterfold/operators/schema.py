@@ -45,7 +45,9 @@ class ColumnProfile:
             return "finite"
         if isinstance(self.dtype, T.IntegralType):
             return "count"
-        return "continuous" if isinstance(self.dtype, T.NumericType) else "text"
+        if isinstance(self.dtype, T.NumericType):
+            return "continuous"
+        return "text" if isinstance(self.dtype, T.StringType) else "other"
 
     @property
     def outcome_kind(self) -> str:
@@ -90,12 +92,14 @@ def profile(
             sets = {i: tuple(sorted(got[f"s{i}"])) for i in few}
         for i, c in enumerate(part):
             levels = sets.get(i)
+            if levels is not None and len(levels) > max_levels:
+                levels = None
             out[c] = ColumnProfile(
                 c,
                 fields[c],
                 rows,
                 rows - row[f"c{i}"],
-                len(levels) if levels is not None else row[f"d{i}"],
+                len(sets[i]) if i in sets else row[f"d{i}"],
                 levels,
                 limit,
             )

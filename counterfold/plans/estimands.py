@@ -360,6 +360,49 @@ def consecutive_levels(df: DataFrame, treatments: Sequence[str]) -> DataFrame:
     )
 
 
+def cast_level_table(levels: DataFrame, df: DataFrame) -> DataFrame:
+    """Levels asked for as text ``(treatment, level)`` against the treatment columns.
+
+    ``value`` is the level as the column holds it (1 becomes true in a boolean column),
+    ``valid`` false when it would change, ``units`` the rows that have it.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    names = [r[0] for r in levels.select("treatment").distinct().collect()]
+    unknown = sorted(set(names) - set(types))
+    if unknown:
+        raise EstimandError(f"no treatment columns {unknown}")
+    number = F.expr("try_cast(level AS double)")
+    value = F.lit(None).cast("string")
+    for t in names:
+        d = types[t]
+        if isinstance(d, T.BooleanType):
+            v = F.when(number == 1, "true").when(number == 0, "false").otherwise(
+                F.when(F.lower("level").isin("true", "false"), F.lower("level"))
+            )
+        elif isinstance(d, T.IntegralType):
+            v = F.when(number == F.floor(number), number.cast("bigint").cast("string"))
+        elif isinstance(d, T.FractionalType):
+            v = number.cast("string")
+        else:
+            v = F.col("level")
+        value = F.when(F.col("treatment") == t, v).otherwise(value)
+    pairs = F.array(
+        *[
+            F.struct(F.lit(t).alias("treatment"), F.col(f"`{t}`").cast("string").alias("value"))
+            for t in names
+        ]
+    )
+    seen = (
+        df.select(F.explode(pairs).alias("p"))
+        .groupBy("p.treatment", "p.value")
+        .agg(F.count(F.lit(1)).alias("units"))
+    )
+    asked = levels.withColumn("value", value).withColumn("valid", F.col("value").isNotNull())
+    return asked.join(seen, ["treatment", "value"], "left").select(
+        "treatment", "level", "value", "valid", F.coalesce("units", F.lit(0)).alias("units")
+    )
+
+
 def factorial_ate(
     df: DataFrame,
     treatment: str = FACTORIAL_TREATMENT,
