@@ -40,6 +40,8 @@ from counterfold.models.moments import (
 PATH_LENGTH = 100
 PATH_RATIO = 1e-4
 LOGISTIC_PATH_LENGTH = 20
+# Softmax models above this number of coefficients go to Spark's own solver.
+SOFTMAX_COEFFICIENTS = 300
 
 
 @dataclass(frozen=True)
@@ -135,6 +137,14 @@ class Linear(Model):
         return out
 
 
+def _label(frame: Frame) -> Column:
+    """Share of 1, or the number of the level."""
+    if frame.task != "multi":
+        return frame.y
+    levels = F.array(*[F.lit(v) for v in frame.levels])
+    return (F.array_position(levels, quoted(frame.target)) - 1).cast("double")
+
+
 def _logistic_rows(frame: Frame, columns: Sequence[Column], means, sds, fold: str | None):
     scaled = [
         ((c - F.lit(float(m))) / F.lit(float(s if s > 0 else 1.0))).alias(f"x{i + 1}")
@@ -142,7 +152,7 @@ def _logistic_rows(frame: Frame, columns: Sequence[Column], means, sds, fold: st
     ]
     k = F.col(fold).cast("int") if fold else F.lit(0)
     return frame.df.select(
-        frame.weight.alias("w"), frame.y.alias("y"), k.alias("k"), F.lit(1.0).alias("x0"), *scaled
+        frame.weight.alias("w"), _label(frame).alias("y"), k.alias("k"), F.lit(1.0).alias("x0"), *scaled
     )
 
 
@@ -151,7 +161,30 @@ def _unscale(beta, means, sds) -> tuple[float, tuple[float, ...]]:
     return float(beta[0] - b @ means), tuple(map(float, b))
 
 
-def _two_classes(frame: Frame) -> None:
+def _fitted(frame: Frame, design: Design, beta, means, sds, penalty=None):
+    if frame.task != "multi":
+        b0, b = _unscale(beta, means, sds)
+        return LinearFit(design, b0, b, "logit", penalty, frame.levels)
+    rows = [_unscale(b, means, sds) for b in beta.reshape(len(frame.levels), -1)]
+    return SoftmaxFit(
+        design, tuple(a for a, _ in rows), tuple(b for _, b in rows), frame.levels, penalty
+    )
+
+
+def _classes(frame: Frame, design: Design) -> int:
+    """Rows of coefficients; 0 when the curvature would be too large to send around."""
+    if frame.task != "multi":
+        return 1
+    k = len(frame.levels)
+    return k if k * (len(design.names) + 1) <= SOFTMAX_COEFFICIENTS else 0
+
+
+def _check_classes(frame: Frame) -> None:
+    if frame.task == "multi":
+        seen = frame.df.select(quoted(frame.target)).distinct().count()
+        if seen < len(frame.levels):
+            raise FitFailed(f"{frame.target} lacks some of its levels")
+        return
     row = frame.df.agg(
         F.sum(frame.weight).alias("w"), F.sum(frame.weight * frame.y).alias("wy")
     ).first()
@@ -174,17 +207,20 @@ class Logistic(Model):
         return self._fits(frame, None)[0]
 
     def fit_cross(self, frame: Frame):
-        if frame.task == "multi":
-            return Model.fit_cross(self, frame)
         fits = self._fits(frame, frame.folds[0])
+        if 0 in fits and len(fits) == 1:
+            return Model.fit_cross(self, frame)
         return CrossFit(frame.folds[0], {k: f for k, f in fits.items() if k})
 
     def _fits(self, frame: Frame, fold: str | None) -> dict:
         self.check(frame)
         design = Design(frame.parents, frame.kinds, frame.treatments, self.interactions)
-        if frame.task == "multi":
+        classes = _classes(frame, design)
+        if not classes:
+            if fold:
+                return {0: None}
             return {0: _softmax(frame, design, [self.penalty], 0.0, self.intercept, None, False)}
-        _two_classes(frame)
+        _check_classes(frame)
         columns = design.columns()
         if self.intercept and not self.penalty:
             means, sds = means_and_spread(frame.df, columns, frame.weight)
@@ -194,17 +230,17 @@ class Logistic(Model):
         left_out = [-1, *(frame.fold_numbers() if fold else [])]
         try:
             betas, _, _ = logistic_path(
-                rows, len(columns) + 1, [(k, 0.0, self.penalty) for k in left_out], self.intercept
+                rows, len(columns) + 1, [(k, 0.0, self.penalty) for k in left_out],
+                self.intercept, classes,
             )
         except ValueError as e:
             raise FitFailed(str(e)) from None
         finally:
             rows.unpersist()
-        out = {}
-        for k, beta in zip(left_out, betas):
-            b0, b = _unscale(beta, means, sds)
-            out[max(k, 0)] = LinearFit(design, b0, b, "logit", levels=frame.levels)
-        return out
+        return {
+            max(k, 0): _fitted(frame, design, beta, means, sds)
+            for k, beta in zip(left_out, betas)
+        }
 
 
 @dataclass(frozen=True)
@@ -230,9 +266,9 @@ class ElasticNet(Model):
             raise FitFailed("the elastic net needs a fold column")
         if frame.task == "regression":
             return self._squared(frame, design)
-        if frame.task == "binary":
+        if _classes(frame, design):
             return self._logistic(frame, design)
-        top = self._largest_softmax(frame, design)
+        top = self._largest_penalty(frame, design.columns())
         grid = list(np.geomspace(top, top * self.ratio, self.penalties or 10))
         return _softmax(frame, design, grid, self.alpha, True, frame.folds[0], True)
 
@@ -246,29 +282,24 @@ class ElasticNet(Model):
         b0 = b0 + shift[-1] - float(b @ shift[:-1])
         return LinearFit(design, b0, tuple(map(float, b)), penalty=path.best_penalty)
 
-    def _logistic(self, frame: Frame, design: Design) -> LinearFit:
-        _two_classes(frame)
+    def _logistic(self, frame: Frame, design: Design):
+        _check_classes(frame)
         columns = design.columns()
         means, sds = means_and_spread(frame.df, columns, frame.weight)
         fold = frame.folds[0]
         rows = _logistic_rows(frame, columns, means, sds, fold).persist()
+        left_out = [-1, *frame.fold_numbers()]
         try:
-            x = [F.col(f"x{i + 1}") for i in range(len(columns))]
-            row = rows.agg(
-                F.sum("w").alias("w"),
-                (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("m"),
-            ).first()
-            grad = _sums(rows, [F.col("w") * (F.col("y") - F.lit(row["m"])) * c for c in x])
-            top = float(np.max(np.abs(grad))) / row["w"] / max(self.alpha, 1e-3) if x else 1e-3
-            grid = np.geomspace(max(top, 1e-9), max(top, 1e-9) * self.ratio,
-                                self.penalties or LOGISTIC_PATH_LENGTH)
-            left_out = [-1, *frame.fold_numbers()]
+            top = self._largest_penalty(frame, columns, means, sds)
+            grid = np.geomspace(top, top * self.ratio, self.penalties or LOGISTIC_PATH_LENGTH)
             models = [
                 (k, float(lam * self.alpha), float(lam * (1 - self.alpha)))
                 for k in left_out
                 for lam in grid
             ]
-            betas, held, done = logistic_path(rows, len(columns) + 1, models, True)
+            betas, held, done = logistic_path(
+                rows, len(columns) + 1, models, True, _classes(frame, design)
+            )
         except ValueError as e:
             raise FitFailed(str(e)) from None
         finally:
@@ -288,13 +319,15 @@ class ElasticNet(Model):
         if not usable.any():
             raise FitFailed("the mean loss is empty: no penalty converged in every fold")
         best = int(np.nanargmin(np.where(usable, loss, np.inf)))
-        b0, b = _unscale(betas[best], means, sds)
-        return LinearFit(design, b0, b, "logit", float(grid[best]), frame.levels)
+        return _fitted(frame, design, betas[best], means, sds, float(grid[best]))
 
-    def _largest_softmax(self, frame: Frame, design: Design) -> float:
-        columns = design.columns()
-        means, sds = means_and_spread(frame.df, columns, frame.weight)
-        hits = [(quoted(frame.target) == F.lit(v)).cast("double") for v in frame.levels]
+    def _largest_penalty(self, frame: Frame, columns, means=None, sds=None) -> float:
+        """The smallest penalty that leaves the intercepts alone."""
+        if means is None:
+            means, sds = means_and_spread(frame.df, columns, frame.weight)
+        hits = [frame.y]
+        if frame.task == "multi":
+            hits = [(quoted(frame.target) == F.lit(v)).cast("double") for v in frame.levels]
         shares, _ = means_and_spread(frame.df, hits, frame.weight)
         terms = [
             frame.weight * (h - F.lit(float(p))) * (c - F.lit(float(m))) / F.lit(float(s or 1.0))

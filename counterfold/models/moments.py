@@ -116,15 +116,49 @@ def penalised_quadratic(h, c, start, l1, l2, sweeps=1000, tol=1e-10) -> np.ndarr
     return b
 
 
-def newton_sums(df: DataFrame, betas: np.ndarray, left_out: Sequence[int]) -> dict[int, dict]:
+def newton_sums(
+    df: DataFrame, betas: np.ndarray, left_out: Sequence[int], classes: int = 1
+) -> dict[int, dict]:
     """One pass for many logistic models at once.
 
     ``df``: ``w, y, k`` and ``x0…`` (x0 is 1).  Model m is trained on rows whose fold
-    k differs from ``left_out[m]`` (-1 leaves out nothing).  Per model: training loss,
-    loss on the rows left out, gradient and curvature.
+    k differs from ``left_out[m]`` (-1 leaves out nothing).  With one class ``y`` is
+    the share of 1, else the number of the level and a model has ``classes`` rows of
+    coefficients.  Per model: training loss, loss on the rows left out, gradient and
+    curvature.
     """
-    m, q = betas.shape
-    size = 4 + q + q * q
+    m, size_b = betas.shape
+    q = size_b // classes
+    size = 4 + size_b + size_b * size_b
+
+    def add(acc, x, w, y, b, train):
+        eta = x @ b.reshape(classes, q).T
+        if classes == 1:
+            loss = w * (np.logaddexp(0.0, eta[:, 0]) - y * eta[:, 0])
+            p = 1.0 / (1.0 + np.exp(-eta))
+            r = y[:, None] - p
+        else:
+            top = eta.max(axis=1, keepdims=True)
+            e = np.exp(eta - top)
+            total = e.sum(axis=1, keepdims=True)
+            p = e / total
+            hit = y[:, None] == np.arange(classes)
+            loss = w * (top[:, 0] + np.log(total[:, 0]) - eta[hit])
+            r = hit - p
+        acc[0] += loss[train].sum()
+        acc[1] += loss[~train].sum()
+        tw = w * train
+        acc[2] += tw.sum()
+        acc[3] += w.sum() - tw.sum()
+        acc[4 : 4 + size_b] += ((r * tw[:, None]).T @ x).ravel()
+        h = acc[4 + size_b :].reshape(classes, q, classes, q)
+        for c in range(classes):
+            for d in range(c, classes):
+                v = tw * p[:, c] * ((c == d) - p[:, d])
+                block = (x * v[:, None]).T @ x
+                h[c, :, d, :] += block
+                if c != d:
+                    h[d, :, c, :] += block
 
     def partial(batches):
         acc = np.zeros((m, size))
@@ -135,19 +169,8 @@ def newton_sums(df: DataFrame, betas: np.ndarray, left_out: Sequence[int]) -> di
             w = pdf["w"].to_numpy(dtype=float)
             y = pdf["y"].to_numpy(dtype=float)
             k = pdf["k"].to_numpy()
-            eta = x @ betas.T
-            loss = w[:, None] * (np.logaddexp(0.0, eta) - y[:, None] * eta)
-            mu = 1.0 / (1.0 + np.exp(-eta))
             for i in range(m):
-                train = k != left_out[i]
-                tw = w * train
-                acc[i, 0] += loss[train, i].sum()
-                acc[i, 1] += loss[~train, i].sum()
-                acc[i, 2] += tw.sum()
-                acc[i, 3] += w.sum() - tw.sum()
-                acc[i, 4 : 4 + q] += x.T @ (tw * (y - mu[:, i]))
-                v = tw * mu[:, i] * (1.0 - mu[:, i])
-                acc[i, 4 + q :] += ((x * v[:, None]).T @ x).ravel()
+                add(acc[i], x, w, y, betas[i], k != left_out[i])
         if seen:
             yield pd.DataFrame({"m": np.arange(m), "v": list(acc)})
 
@@ -161,8 +184,8 @@ def newton_sums(df: DataFrame, betas: np.ndarray, left_out: Sequence[int]) -> di
             "held_loss": v[1],
             "w": v[2],
             "held_w": v[3],
-            "grad": v[4 : 4 + q],
-            "hess": v[4 + q :].reshape(q, q),
+            "grad": v[4 : 4 + size_b],
+            "hess": v[4 + size_b :].reshape(size_b, size_b),
         }
     return out
 
@@ -172,29 +195,30 @@ def logistic_path(
     q: int,
     models: Sequence[tuple[int, float, float]],
     intercept: bool,
+    classes: int = 1,
     passes: int = 40,
     tol: float = 1e-10,
 ) -> tuple[np.ndarray, dict[int, float], list[bool]]:
-    """Fit logistic models ``(left out fold, l1, l2)`` together by Newton steps with
-    a penalised quadratic; columns are standardised by the caller.
+    """Fit logistic (or softmax) models ``(left out fold, l1, l2)`` together by Newton
+    steps with a penalised quadratic; columns are standardised by the caller.
 
     Returns coefficients, loss on the rows left out, and which models converged.
     """
-    m = len(models)
-    betas = np.zeros((m, q))
-    steps = np.zeros((m, q))
+    m, size_b = len(models), q * classes
+    betas = np.zeros((m, size_b))
+    steps = np.zeros((m, size_b))
     size = np.ones(m)
     best = np.full(m, np.inf)
     held: dict[int, float] = {}
     done = [False] * m
-    free = np.zeros(q, dtype=bool)
-    free[0] = intercept
+    first = np.arange(size_b) % q == 0
+    keep = ~first if not intercept else np.ones(size_b, dtype=bool)
     for _ in range(passes):
         live = [i for i in range(m) if not done[i]]
         if not live:
             break
         trial = betas[live] + size[live, None] * steps[live]
-        sums = newton_sums(df, trial, [models[i][0] for i in live])
+        sums = newton_sums(df, trial, [models[i][0] for i in live], classes)
         if not sums:
             raise ValueError("no rows")
         for at, i in enumerate(live):
@@ -202,8 +226,8 @@ def logistic_path(
             if s["w"] <= 0:
                 raise ValueError("no training rows")
             _, a, b2 = models[i]
-            l1 = np.where(free, 0.0, a)
-            l2 = np.where(free, 0.0, b2)
+            l1 = np.where(first, 0.0, a)
+            l2 = np.where(first, 0.0, b2)
             t = trial[at]
             value = s["loss"] / s["w"] + (l1 * np.abs(t)).sum() + 0.5 * (l2 * t * t).sum()
             if not np.isfinite(value) or value > best[i] + 1e-12 * abs(best[i]):
@@ -214,19 +238,14 @@ def logistic_path(
             betas[i], best[i], size[i] = t, value, 1.0
             held[i] = s["held_loss"] / s["held_w"] if s["held_w"] > 0 else np.nan
             h, g = s["hess"] / s["w"], s["grad"] / s["w"]
-            h = h + np.eye(q) * 1e-12
+            h = h + np.eye(size_b) * 1e-12
+            step = np.zeros(size_b)
             if not a:
-                keep = np.ones(q, dtype=bool)
-                keep[0] = intercept
-                full = np.linalg.lstsq(
-                    (h + np.diag(l2))[np.ix_(keep, keep)], (g - l2 * t)[keep], rcond=1e-12
+                step[keep] = np.linalg.lstsq(
+                    (h + np.diag(l2))[np.ix_(keep, keep)], (g - l2 * t)[keep], rcond=1e-11
                 )[0]
-                step = np.zeros(q)
-                step[keep] = full
             else:
-                lock = l1.copy()
-                if not intercept:
-                    lock[0] = np.inf
+                lock = np.where(keep, l1, np.inf)
                 step = penalised_quadratic(h, g + h @ t, t, lock, l2) - t
             steps[i] = step
             if np.sqrt(np.max(step * step * np.diag(h))) < np.sqrt(tol) or gain < 1e-14:
