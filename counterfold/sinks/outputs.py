@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
+from pyspark.sql.window import Window
 
 RESULTS, INFLUENCE, SAMPLES = "results", "influence", "sample_sets"
 
@@ -78,6 +79,58 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def sample_references(results: DataFrame) -> DataFrame:
+    """Per batch and question either an own list of rows or the place (from 1, inside
+    the batch) of the earlier question whose list is the same: only a change of the
+    variables starts a new list."""
+    once = results.groupBy("batch_id", "idx").agg(F.first("sample_set_id").alias("sample_set_id"))
+    order = Window.partitionBy("batch_id").orderBy("idx")
+    place = F.row_number().over(order)
+    before = F.lag("sample_set_id").over(order)
+    fresh = before.isNull() | (before != F.col("sample_set_id"))
+    marked = once.withColumns({"place": place, "fresh": fresh})
+    last = F.last(F.when(F.col("fresh"), F.col("place")), ignorenulls=True).over(order)
+    return marked.select(
+        "batch_id", "idx", "sample_set_id",
+        F.when(~F.col("fresh"), last).cast("bigint").alias("same_as"),
+    )
+
+
+def write_arrow(df: DataFrame, path: str) -> None:
+    """Arrow IPC files, one per partition, below a folder that all executors share."""
+    schema = df.schema
+
+    def write(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        system, base = fs.FileSystem.from_uri(path) if "://" in path else (
+            fs.LocalFileSystem(), path.removeprefix("file:"))
+        system.create_dir(base, recursive=True)
+        name = f"{base}/part-{ctx.partitionId():05d}"
+        draft = f"{name}.attempt-{ctx.taskAttemptId()}"
+        rows, sink, writer = 0, system.open_output_stream(draft), None
+        with sink:
+            for b in batches:
+                writer = writer or pa.ipc.new_file(sink, b.schema)
+                writer.write_batch(b)
+                rows += b.num_rows
+            if writer is not None:
+                writer.close()
+        # A second attempt of the task replaces the file as a whole.
+        if writer is not None:
+            system.move(draft, f"{name}.arrow")
+        else:
+            system.delete_file(draft)
+        yield pa.RecordBatch.from_pydict({"rows": [rows]})
+
+    if not schema:
+        raise ValueError("nothing to write")
+    df.mapInArrow(write, "rows bigint").agg(F.sum("rows")).collect()
+
+
 def write_results(results: DataFrame, outputs: Outputs) -> None:
     """All results in one go."""
     if outputs.parquet:
@@ -89,9 +142,19 @@ def write_results(results: DataFrame, outputs: Outputs) -> None:
 def read_results(spark: SparkSession, prefix: str) -> DataFrame:
     """Results of every run whose folder starts with the prefix, in order of folder
     name, batch number and question."""
-    read = spark.read.option("mergeSchema", True).parquet(f"{prefix}*/{RESULTS}")
-    source = F.regexp_extract(F.col("_metadata.file_path"), f"(.*)/{RESULTS}/", 1)
-    return read.withColumn("source", source).orderBy("source", "batch_id", "idx", "estimator")
+    # One read however many runs there are; the batch is taken from the path.
+    read = (
+        spark.read.option("mergeSchema", True)
+        .option("recursiveFileLookup", True)
+        .parquet(f"{prefix}*/{RESULTS}")
+    )
+    path = F.col("_metadata.file_path")
+    batch = F.expr("try_cast(regexp_extract(_metadata.file_path, 'batch_id=([0-9]+)', 1) AS int)")
+    if "batch_id" in read.columns:
+        batch = F.coalesce(F.col("batch_id"), batch)
+    return read.withColumns(
+        {"source": F.regexp_extract(path, f"(.*)/{RESULTS}/", 1), "batch_id": batch}
+    ).orderBy("source", "batch_id", "idx", "estimator")
 
 
 def merge_results(spark: SparkSession, prefix: str, outputs: Outputs | None = None) -> DataFrame:
