@@ -208,7 +208,11 @@ def glm_softmax_fit(spark, sf):
 
 # --- elastic net ---------------------------------------------------------------------------
 
-FOLD = (F.col("o_orderkey") % 3 + 1).cast("int")
+
+def by_key():
+    """Folds 1..3 by the order key."""
+    return (F.col("o_orderkey") % 3 + 1).cast("int")
+
 
 
 @query(
@@ -237,7 +241,7 @@ SELECT CAST(beta.i AS BIGINT) AS step, round(penalty, 4) + 0.0 AS penalty, round
 )
 def enet_cv_path(spark, sf):
     rows = orders_cohort(spark, sf).select(
-        FOLD.alias("fold"), "c_acctbal", "o_totalprice"
+        by_key().alias("fold"), "c_acctbal", "o_totalprice"
     ).persist()
     sums, _ = _fold_gram(
         rows, [F.col("c_acctbal")], F.col("o_totalprice"), F.lit(1.0), "fold"
@@ -264,7 +268,7 @@ ENET_PARENTS = ["c_acctbal", "c_mktsegment", "n_regionkey", "urgent"]
 @query("enet_cv")
 def enet_cv(spark, sf):
     rows = orders_cohort(spark, sf).select("o_orderkey", "o_totalprice", *ENET_PARENTS).persist()
-    f = frame(rows, "o_totalprice", ENET_PARENTS, "regression", FOLD, ("urgent",))
+    f = frame(rows, "o_totalprice", ENET_PARENTS, "regression", by_key(), ("urgent",))
     fit = ElasticNet(interactions=True).fit(f)
     return terms(spark, fit, 3).withColumn("penalty", F.lit(round(fit.penalty, 3)))
 
@@ -272,14 +276,14 @@ def enet_cv(spark, sf):
 @query("enet_logistic_cv")
 def enet_logistic_cv(spark, sf):
     rows = orders_cohort(spark, sf).select("o_orderkey", "dear", *ENET_PARENTS).persist()
-    fit = ElasticNet().fit(frame(rows, "dear", ENET_PARENTS, "binary", FOLD))
+    fit = ElasticNet().fit(frame(rows, "dear", ENET_PARENTS, "binary", by_key()))
     return terms(spark, fit, 4).withColumn("penalty", F.lit(round(fit.penalty, 6)))
 
 
 @query("enet_multinomial")
 def enet_multinomial(spark, sf):
     rows = orders_cohort(spark, sf).select("o_orderkey", "o_orderstatus", "c_acctbal", "urgent").persist()
-    f = frame(rows, "o_orderstatus", ["c_acctbal", "urgent"], "multi", FOLD, y=F.lit(0.0))
+    f = frame(rows, "o_orderstatus", ["c_acctbal", "urgent"], "multi", by_key(), y=F.lit(0.0))
     fit = ElasticNet(penalties=4).fit(f)
     out = fit.add(rows, [Request(f"p{i}", {}, v) for i, v in enumerate(f.levels)])
     return out.groupBy("urgent").agg(
@@ -354,7 +358,7 @@ def gbt_classes(spark, sf):
 @query("gbt_tuned")
 def gbt_tuned(spark, sf):
     rows = _tree_rows(spark, sf, "o_totalprice")
-    f = frame(rows, "o_totalprice", TREE_PARENTS, "regression", FOLD)
+    f = frame(rows, "o_totalprice", TREE_PARENTS, "regression", by_key())
     model = Tuned(Trees(rounds=3), max_depth=(2, 3), eta=(0.1, 0.3))
     return _mean_prediction(model.fit(f), rows, [Request("prediction")])
 
@@ -414,7 +418,7 @@ def stack_glm_constant(spark, sf):
 @query("stack_fit")
 def stack_fit(spark, sf):
     rows = _tree_rows(spark, sf, "o_totalprice")
-    f = frame(rows, "o_totalprice", TREE_PARENTS, "regression", FOLD, ("urgent",))
+    f = frame(rows, "o_totalprice", TREE_PARENTS, "regression", by_key(), ("urgent",))
     stack = Stack(
         (
             ("glmnet", ElasticNet(interactions=True)),
@@ -428,7 +432,7 @@ def stack_fit(spark, sf):
 @query("stack_user")
 def stack_user(spark, sf):
     rows = _tree_rows(spark, sf, "dear")
-    f = frame(rows, "dear", TREE_PARENTS, "binary", FOLD)
+    f = frame(rows, "dear", TREE_PARENTS, "binary", by_key())
     stack = Stack(
         (
             ("ridge", Logistic(penalty=0.1)),
