@@ -420,3 +420,51 @@ def ate_missing_outcome(spark, sf):
     question = E.ATE("quality", {"english": TRUE_FALSE}, {"english": ["long"]})
     ests = {"TMLE": TMLE(SATURATED), "OSE": OSE(SATURATED)}
     return summary(Engine(documents_cohort(spark, sf), [question], ests)(), None, 6, 6)
+
+
+# --- many questions ------------------------------------------------------------------------------
+
+
+def _many_sql() -> str:
+    """Every nation's mean, and its effect against the first and the previous nation,
+    both ways; influence values row by row."""
+    return f"""
+WITH b AS ({ORDERS_SQL}),
+names AS (SELECT n_name AS name, row_number() OVER (ORDER BY n_name) - 1 AS k,
+                 count(*) OVER () AS total FROM (SELECT DISTINCT n_name FROM b)),
+q AS (SELECT o_orderstatus, n_name AS name, avg(o_totalprice) AS q, count(*) AS c FROM b
+      GROUP BY o_orderstatus, n_name),
+g AS (SELECT q.*, c / sum(c) OVER (PARTITION BY o_orderstatus) AS g FROM q),
+u AS (SELECT b.o_orderkey, g.name, g.q + CASE WHEN b.n_name = g.name
+             THEN (b.o_totalprice - g.q) / g.g ELSE 0 END AS u
+      FROM b JOIN g ON b.o_orderstatus = g.o_orderstatus),
+asked AS (
+  SELECT k AS idx, name AS a, NULL AS c FROM names
+  UNION ALL SELECT x.total + x.k - 1, x.name, y.name FROM names x JOIN names y ON y.k = 0 WHERE x.k > 0
+  UNION ALL SELECT 2 * x.total + x.k - 2, x.name, y.name FROM names x JOIN names y ON y.k = x.k - 1
+  UNION ALL SELECT 3 * x.total + x.k - 3, y.name, x.name FROM names x JOIN names y ON y.k = 0 WHERE x.k > 0),
+v AS (SELECT idx, ua.o_orderkey, ua.u - coalesce(uc.u, 0) AS u
+      FROM asked JOIN u ua ON asked.a = ua.name
+      LEFT JOIN u uc ON asked.c = uc.name AND uc.o_orderkey = ua.o_orderkey)
+SELECT CAST(idx AS INTEGER) AS idx, round(avg(u), 3) + 0.0 AS estimate,
+       round(stddev_samp(u), 2) AS std, count(*) AS n
+FROM v GROUP BY idx"""
+
+
+@query("many_estimands", _many_sql())
+def many_estimands(spark, sf):
+    """About a hundred questions on the same rows, answered in shared passes."""
+    rows = orders_cohort(spark, sf)
+    names = sorted(r[0] for r in rows.select("n_name").distinct().collect())
+    w = {"n_name": [STATUS]}
+    pairs = [(n, names[0]) for n in names[1:]] + list(zip(names[1:], names))
+    pairs += [(names[0], n) for n in names[1:]]
+    asked = [E.CM("o_totalprice", {"n_name": n}, w) for n in names]
+    asked += [
+        E.ATE("o_totalprice", {"n_name": {"case": a, "control": c}}, w) for a, c in pairs
+    ]
+    got = Engine(rows, asked, {"OSE": OSE(SATURATED)})()
+    return got.select(
+        "idx", (F.round("estimate", 3) + 0.0).alias("estimate"),
+        F.round("std", 2).alias("std"), "n",
+    )

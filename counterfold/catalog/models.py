@@ -246,7 +246,7 @@ def enet_cv_path(spark, sf):
     sums, _ = _fold_gram(
         rows, [F.col("c_acctbal")], F.col("o_totalprice"), F.lit(1.0), "fold"
     )
-    path = EnetPath(sums, 1.0, 100, 1e-4)
+    path = EnetPath(sums, 1.0, 100, 1e-4, whole=True)
     _, _, _, spread = path._scaled(sum(sums.values()))
     out = [
         (i, float(lam * spread), float(b[0]), float(e))

@@ -218,10 +218,19 @@ def linear_combination(columns: Sequence[Column], coefs, intercept: float) -> Co
     return out
 
 
-def join_cells(df: DataFrame, table: DataFrame, on: Sequence[str], out: Sequence[str]):
-    """Add ``out`` columns of a cell table by equal ``on`` columns.  A table of
-    checked size is broadcast, so the rows stay where they are; a larger one is
-    joined by shuffle, where AQE splits hot cells."""
-    table = table.persist()
-    small = table.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
-    return df.join(F.broadcast(table) if small else table, on=list(on), how="left"), table
+def join_cells(
+    df: DataFrame, table: DataFrame, on: Sequence[str], bound: int | None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Add the columns of a cell table by equal ``on`` columns.
+
+    The table is broadcast, so the rows stay where they are, when the levels of its
+    columns prove it small (``bound``) or a count does; a larger one is joined by
+    shuffle, where AQE splits hot cells.  Also returns what has to be unpersisted.
+    """
+    kept = None
+    if bound is None or bound > BROADCAST_CELLS:
+        kept = table = table.persist()
+        small = table.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
+    else:
+        small = True
+    return df.join(F.broadcast(table) if small else table, on=list(on), how="left"), kept

@@ -32,6 +32,7 @@ from counterfold.models.moments import (
     gram,
     logistic_path,
     means_and_spread,
+    near,
     penalised_quadratic,
     solve_least_squares,
 )
@@ -40,6 +41,10 @@ from counterfold.models.moments import (
 PATH_LENGTH = 100
 PATH_RATIO = 1e-4
 LOGISTIC_PATH_LENGTH = 20
+# The path ends when a smaller penalty explains this little more, or
+# when this share of the variance is explained.
+PATH_STOP_GAIN = 1e-5
+PATH_STOP_SHARE = 0.999
 # Softmax models above this number of coefficients go to Spark's own solver.
 SOFTMAX_COEFFICIENTS = 300
 
@@ -93,7 +98,7 @@ class SoftmaxFit(ExpressionFit):
 
 def _fold_gram(df, columns, y, weight, fold):
     """Product sums of (1, x - m, y - m) per fold, and the shifts m."""
-    shift, _ = means_and_spread(df, [*columns, y], weight)
+    shift = near(df, [*columns, y])
     z = [F.lit(1.0)] + [c - F.lit(float(m)) for c, m in zip([*columns, y], shift)]
     return gram(df, z, weight, fold), shift
 
@@ -179,17 +184,22 @@ def _classes(frame: Frame, design: Design) -> int:
     return k if k * (len(design.names) + 1) <= SOFTMAX_COEFFICIENTS else 0
 
 
-def _check_classes(frame: Frame) -> None:
-    if frame.task == "multi":
-        seen = frame.df.select(quoted(frame.target)).distinct().count()
-        if seen < len(frame.levels):
-            raise FitFailed(f"{frame.target} lacks some of its levels")
-        return
-    row = frame.df.agg(
-        F.sum(frame.weight).alias("w"), F.sum(frame.weight * frame.y).alias("wy")
-    ).first()
-    if not row["w"] or not 0 < row["wy"] < row["w"]:
+def _hits(frame: Frame) -> list[Column]:
+    if frame.task != "multi":
+        return [frame.y]
+    return [(quoted(frame.target) == F.lit(v)).cast("double") for v in frame.levels]
+
+
+def _scales(frame: Frame, columns: Sequence[Column]):
+    """Means and spreads of the columns, and the shares of the target's levels."""
+    hits = _hits(frame)
+    means, sds = means_and_spread(frame.df, [*columns, *hits], frame.weight)
+    shares = means[len(columns) :]
+    if frame.task == "multi" and not all(shares > 0):
+        raise FitFailed(f"{frame.target} lacks some of its levels")
+    if not all((shares > 0) & (shares < 1)):
         raise FitFailed(f"{frame.target} has a single class")
+    return means[: len(columns)], sds[: len(columns)], shares
 
 
 @dataclass(frozen=True)
@@ -220,11 +230,9 @@ class Logistic(Model):
             if fold:
                 return {0: None}
             return {0: _softmax(frame, design, [self.penalty], 0.0, self.intercept, None, False)}
-        _check_classes(frame)
         columns = design.columns()
-        if self.intercept and not self.penalty:
-            means, sds = means_and_spread(frame.df, columns, frame.weight)
-        else:
+        means, sds, _ = _scales(frame, columns)
+        if not self.intercept or self.penalty:
             means, sds = np.zeros(len(columns)), np.ones(len(columns))
         rows = _logistic_rows(frame, columns, means, sds, fold).persist()
         left_out = [-1, *(frame.fold_numbers() if fold else [])]
@@ -268,7 +276,8 @@ class ElasticNet(Model):
             return self._squared(frame, design)
         if _classes(frame, design):
             return self._logistic(frame, design)
-        top = self._largest_penalty(frame, design.columns())
+        columns = design.columns()
+        top = self._largest_penalty(frame, columns, *_scales(frame, columns))
         grid = list(np.geomspace(top, top * self.ratio, self.penalties or 10))
         return _softmax(frame, design, grid, self.alpha, True, frame.folds[0], True)
 
@@ -283,14 +292,13 @@ class ElasticNet(Model):
         return LinearFit(design, b0, tuple(map(float, b)), penalty=path.best_penalty)
 
     def _logistic(self, frame: Frame, design: Design):
-        _check_classes(frame)
         columns = design.columns()
-        means, sds = means_and_spread(frame.df, columns, frame.weight)
+        means, sds, shares = _scales(frame, columns)
         fold = frame.folds[0]
         rows = _logistic_rows(frame, columns, means, sds, fold).persist()
         left_out = [-1, *frame.fold_numbers()]
         try:
-            top = self._largest_penalty(frame, columns, means, sds)
+            top = self._largest_penalty(frame, columns, means, sds, shares)
             grid = np.geomspace(top, top * self.ratio, self.penalties or LOGISTIC_PATH_LENGTH)
             models = [
                 (k, float(lam * self.alpha), float(lam * (1 - self.alpha)))
@@ -304,38 +312,31 @@ class ElasticNet(Model):
             raise FitFailed(str(e)) from None
         finally:
             rows.unpersist()
-        at = {m[0]: i for i, m in reversed(list(enumerate(models)))}
-        share = {
-            r["k"]: r["w"]
-            for r in frame.df.groupBy(F.col(fold).alias("k")).agg(F.sum(WEIGHT).alias("w")).collect()
-        }
+        # Losses on the folds left out, weighted by the size of the fold.
         loss = np.zeros(len(grid))
         usable = np.ones(len(grid), dtype=bool)
-        for k in frame.fold_numbers():
-            if share.get(k):
-                for j in range(len(grid)):
-                    usable[j] &= done[at[k] + j] and np.isfinite(held.get(at[k] + j, np.nan))
-                    loss[j] += share[k] * held.get(at[k] + j, np.nan)
+        for i, (k, _, _) in enumerate(models):
+            j = i % len(grid)
+            if k >= 0:
+                each, size = held.get(i, (np.nan, 1.0))
+                if size:
+                    usable[j] &= done[i] and np.isfinite(each)
+                    loss[j] += size * each
         if not usable.any():
             raise FitFailed("the mean loss is empty: no penalty converged in every fold")
         best = int(np.nanargmin(np.where(usable, loss, np.inf)))
         return _fitted(frame, design, betas[best], means, sds, float(grid[best]))
 
-    def _largest_penalty(self, frame: Frame, columns, means=None, sds=None) -> float:
+    def _largest_penalty(self, frame: Frame, columns, means, sds, shares) -> float:
         """The smallest penalty that leaves the intercepts alone."""
-        if means is None:
-            means, sds = means_and_spread(frame.df, columns, frame.weight)
-        hits = [frame.y]
-        if frame.task == "multi":
-            hits = [(quoted(frame.target) == F.lit(v)).cast("double") for v in frame.levels]
-        shares, _ = means_and_spread(frame.df, hits, frame.weight)
+        hits = _hits(frame)
         terms = [
             frame.weight * (h - F.lit(float(p))) * (c - F.lit(float(m))) / F.lit(float(s or 1.0))
             for h, p in zip(hits, shares)
             for c, m, s in zip(columns, means, sds)
         ]
-        total = frame.df.agg(F.sum(WEIGHT)).first()[0]
-        top = np.max(np.abs(_sums(frame.df, terms))) if terms else 1e-3
+        total, *slopes = _sums(frame.df, [frame.weight, *terms])
+        top = np.max(np.abs(slopes)) if terms else 1e-3
         return max(float(top) / total / max(self.alpha, 1e-3), 1e-9)
 
 
@@ -352,7 +353,9 @@ class EnetPath:
     """Penalty path and held-out squared error from per-fold product sums of
     (1, x, y)."""
 
-    def __init__(self, sums: dict[int, np.ndarray], alpha: float, count: int, ratio: float):
+    def __init__(
+        self, sums: dict[int, np.ndarray], alpha: float, count: int, ratio: float, whole=False
+    ):
         self.sums, self.alpha = sums, alpha
         total = sum(sums.values())
         if not np.all(np.isfinite(total)) or total[0, 0] <= 0:
@@ -364,8 +367,9 @@ class EnetPath:
         if rows <= len(c):
             ratio = max(ratio, 1e-2)
         self.penalties = np.geomspace(top, top * ratio, count)
-        self.path = self._fit(total)
-        errors = np.zeros(count)
+        self.path = self._fit(total, stop=not whole)
+        self.penalties = self.penalties[: len(self.path)]
+        errors = np.zeros(len(self.path))
         for k, own in sums.items():
             train = total - own
             if train[0, 0] <= 0:
@@ -393,10 +397,11 @@ class EnetPath:
         r[:, flat] = 0.0
         return (n, m, safe), r[:-1, :-1], r[:-1, -1], float(sd[-1])
 
-    def _fit(self, g) -> list[tuple[float, np.ndarray]]:
+    def _fit(self, g, stop: bool = False) -> list[tuple[float, np.ndarray]]:
+        """One model per penalty; with ``stop`` until smaller ones explain no more."""
         (_, m, sd), h, c, _ = self._scaled(g)
         b = np.zeros(len(c))
-        out = []
+        out, before = [], 0.0
         for lam in self.penalties:
             b = penalised_quadratic(
                 h, c, b, np.full(len(c), lam * self.alpha), np.full(len(c), lam * (1 - self.alpha)),
@@ -404,6 +409,11 @@ class EnetPath:
             )
             raw = b * sd[-1] / sd[:-1]
             out.append((float(m[-1] - raw @ m[:-1]), raw))
+            explained = float(2 * c @ b - b @ h @ b)
+            small = explained - before < PATH_STOP_GAIN * explained
+            if stop and len(out) > 5 and (small or explained > PATH_STOP_SHARE):
+                break
+            before = explained
         return out
 
     def chosen(self) -> tuple[float, np.ndarray]:

@@ -19,23 +19,40 @@ from pyspark.sql import functions as F
 SQL_COLUMNS = 12
 
 
+def near(df: DataFrame, columns: Sequence[Column]) -> np.ndarray:
+    """A value close to each column (a middle one of the first rows).  Sums of
+    differences from it keep their digits; it does not change what they say."""
+    if not columns:
+        return np.zeros(0)
+    first = df.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).limit(200)
+    values = np.array([list(r) for r in first.collect()], dtype=float)
+    if not len(values):
+        return np.zeros(len(columns))
+    middle = np.array([np.median(v[np.isfinite(v)]) if np.isfinite(v).any() else 0.0
+                       for v in values.T])
+    return middle
+
+
 def means_and_spread(df: DataFrame, columns: Sequence[Column], weight: Column):
-    """Weighted means and (1/n) standard deviations, in one pass each."""
+    """Weighted means and (1/n) standard deviations in one pass."""
+    base = near(df, columns)
     means, sds = [], []
-    for start in range(0, len(columns), 50):
-        part = columns[start : start + 50]
+    for start in range(0, len(columns), 40):
+        part = columns[start : start + 40]
+        shifted = [c - F.lit(float(base[start + i])) for i, c in enumerate(part)]
         row = df.agg(
             F.sum(weight).alias("w"),
-            *[F.sum(weight * c).alias(f"m{i}") for i, c in enumerate(part)],
+            *[F.sum(weight * c).alias(f"m{i}") for i, c in enumerate(shifted)],
+            *[F.sum(weight * c * c).alias(f"s{i}") for i, c in enumerate(shifted)],
         ).first()
         if not row["w"]:
             return np.zeros(len(columns)), np.ones(len(columns))
-        m = [row[f"m{i}"] / row["w"] for i in range(len(part))]
-        row2 = df.agg(
-            *[F.sum(weight * (c - F.lit(m[i])) ** 2).alias(f"s{i}") for i, c in enumerate(part)]
-        ).first()
-        means += m
-        sds += [np.sqrt(max(row2[f"s{i}"], 0.0) / row["w"]) for i in range(len(part))]
+        for i in range(len(part)):
+            m, s = row[f"m{i}"] / row["w"], row[f"s{i}"] / row["w"]
+            means.append(base[start + i] + m)
+            # What rounding leaves of a constant column is no spread.
+            spread = s - m * m
+            sds.append(np.sqrt(spread) if spread > 1e-13 * s else 0.0)
     return np.array(means), np.array(sds)
 
 
@@ -91,29 +108,34 @@ def solve_least_squares(g: np.ndarray, intercept: bool) -> tuple[float, np.ndarr
     return (float(beta[0]), beta[1:]) if intercept else (0.0, beta)
 
 
-def soft(x: float, t: float) -> float:
-    return np.sign(x) * max(abs(x) - t, 0.0)
-
-
 def penalised_quadratic(h, c, start, l1, l2, sweeps=1000, tol=1e-10) -> np.ndarray:
-    """min ½ b'Hb - c'b + Σ l1|b| + ½ l2 b², coordinate by coordinate."""
-    b = start.copy()
-    r = c - h @ b
-    diag = np.diag(h)
+    """min ½ b'Hb - c'b + Σ l1|b| + ½ l2 b², coordinate by coordinate; columns that
+    are 0 rest until the others have settled."""
+    b = [float(v) for v in start]
+    r = c - h @ start
+    diag = [float(v) for v in np.diag(h)]
+    l1, l2 = [float(v) for v in l1], [float(v) for v in l2]
+    rows = list(h)
+    everything = [j for j in range(len(b)) if diag[j] + l2[j] > 0]
+    active = everything
     for _ in range(sweeps):
         worst = 0.0
-        for j in range(len(b)):
-            if diag[j] + l2[j] <= 0:
-                continue
+        for j in active:
             old = b[j]
-            new = soft(r[j] + diag[j] * old, l1[j]) / (diag[j] + l2[j])
+            x = float(r[j]) + diag[j] * old
+            t = l1[j]
+            new = (x - t if x > t else x + t if x < -t else 0.0) / (diag[j] + l2[j])
             if new != old:
                 b[j] = new
-                r -= h[:, j] * (new - old)
+                r -= rows[j] * (new - old)
                 worst = max(worst, diag[j] * (new - old) ** 2)
         if worst < tol:
-            break
-    return b
+            if active is everything:
+                break
+            active = everything
+        else:
+            active = [j for j in everything if b[j] != 0.0]
+    return np.array(b)
 
 
 def newton_sums(
@@ -198,18 +220,19 @@ def logistic_path(
     classes: int = 1,
     passes: int = 40,
     tol: float = 1e-10,
-) -> tuple[np.ndarray, dict[int, float], list[bool]]:
+) -> tuple[np.ndarray, dict[int, tuple[float, float]], list[bool]]:
     """Fit logistic (or softmax) models ``(left out fold, l1, l2)`` together by Newton
     steps with a penalised quadratic; columns are standardised by the caller.
 
-    Returns coefficients, loss on the rows left out, and which models converged.
+    Returns coefficients, mean loss and weight of the rows left out, and which models
+    converged.
     """
     m, size_b = len(models), q * classes
     betas = np.zeros((m, size_b))
     steps = np.zeros((m, size_b))
     size = np.ones(m)
     best = np.full(m, np.inf)
-    held: dict[int, float] = {}
+    held: dict[int, tuple[float, float]] = {}
     done = [False] * m
     first = np.arange(size_b) % q == 0
     keep = ~first if not intercept else np.ones(size_b, dtype=bool)
@@ -236,7 +259,8 @@ def logistic_path(
                 continue
             gain = best[i] - value
             betas[i], best[i], size[i] = t, value, 1.0
-            held[i] = s["held_loss"] / s["held_w"] if s["held_w"] > 0 else np.nan
+            w = s["held_w"]
+            held[i] = (s["held_loss"] / w, w) if w > 0 else (0.0, 0.0)
             h, g = s["hess"] / s["w"], s["grad"] / s["w"]
             h = h + np.eye(size_b) * 1e-12
             step = np.zeros(size_b)

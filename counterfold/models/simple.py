@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from counterfold.functions.scalar import quoted
 from counterfold.models.base import (
+    BROADCAST_CELLS,
     WEIGHT,
     ExpressionFit,
     FitFailed,
@@ -165,6 +166,11 @@ class SaturatedFit:
         if not by:
             row = table.first()
             return df.withColumns({n: F.lit(row[n]).cast("double") for n in outs})
-        joined, kept = join_cells(df, table, by, list(outs))
-        self.tables.append(kept)
+        bound = self.frame.n_folds if self.fold else 1
+        for c in on:
+            k = self.frame.kinds[c]
+            bound *= len(k.levels) + 1 if k.levels is not None else BROADCAST_CELLS + 1
+        joined, kept = join_cells(df, table, by, bound)
+        if kept is not None:
+            self.tables.append(kept)
         return joined

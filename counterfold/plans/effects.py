@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from counterfold.models.base import WEIGHT
 
 # Terms summed by one aggregation; more would outgrow compiled methods.
 SUMS_PER_PASS = 48
+PASSES_AT_ONCE = 4
 # Outcome probabilities are kept this far from 0 and 1 before the logit.
 PROBABILITY_EDGE = 1e-6
 FLUCTUATION_PASSES = 15
@@ -131,11 +133,20 @@ class Answer:
 
 
 def sums(df: DataFrame, expressions: Sequence[str]) -> list:
-    out: list = []
-    for start in range(0, len(expressions), SUMS_PER_PASS):
-        part = expressions[start : start + SUMS_PER_PASS]
-        row = df.agg(*[F.expr(c).alias(f"s{i}") for i, c in enumerate(part)]).first()
-        out += list(row)
+    """Global sums in chunks.  The first chunk also fills the cache of the frame; the
+    others then run side by side over it."""
+    chunks = [
+        expressions[i : i + SUMS_PER_PASS] for i in range(0, len(expressions), SUMS_PER_PASS)
+    ]
+
+    def one(part):
+        return list(df.agg(*[F.expr(c).alias(f"s{i}") for i, c in enumerate(part)]).first())
+
+    out = one(chunks[0])
+    if len(chunks) > 1:
+        with ThreadPoolExecutor(min(PASSES_AT_ONCE, len(chunks) - 1)) as pool:
+            for got in pool.map(one, chunks[1:]):
+                out += got
     return out
 
 
