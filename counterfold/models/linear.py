@@ -229,7 +229,11 @@ class Logistic(Model):
         if not classes:
             if fold:
                 return {0: None}
-            return {0: _softmax(frame, design, [self.penalty], 0.0, self.intercept, None, False)}
+            return {
+                0: _softmax(
+                    frame, design, [self.penalty], 0.0, self.intercept, None, not self.penalty
+                )
+            }
         columns = design.columns()
         means, sds, _ = _scales(frame, columns)
         if not self.intercept or self.penalty:
