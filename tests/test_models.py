@@ -134,7 +134,7 @@ def test_softmax_against_spark(data, monkeypatch):
     f = frame(df, "c", ["x1", "z2"], "multi")
     ours = Logistic(penalty=0.02).fit(f)
     rows = VectorAssembler(inputCols=["x1", "z2"], outputCol="f").transform(df).withColumn(
-        "label", (F.array_position(F.array(F.lit("a"), F.lit("b"), F.lit("c")), "c") - 1).cast("double"))
+        "label", (F.array_position(F.array(F.lit("a"), F.lit("b"), F.lit("c")), F.col("c")) - 1).cast("double"))
     ml = LogisticRegression(featuresCol="f", family="multinomial", regParam=0.02,
                             standardization=False, tol=1e-10, maxIter=500).fit(rows)
     assert np.allclose(np.array(ours.coefs), ml.coefficientMatrix.toArray(), atol=2e-3)
