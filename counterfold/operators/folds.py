@@ -9,9 +9,11 @@ from a window, the rest from a table of bucket counts and its running sums.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +34,8 @@ RARE_CLASS_FACTOR = 5
 DEFAULT_FOLDS = 6
 
 POS = "__pos"
-_HASH_BITS = 12
+HASH_BITS = 12
+MAX_BUCKETS = 4096
 
 
 def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
@@ -41,47 +44,64 @@ def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
     return cut_lineage(df.withColumn(name, F.monotonically_increasing_id()))
 
 
-def key_order(df: DataFrame, key: str, seed: int | None = None) -> tuple[Column, Column]:
-    """(order column, bucket column); buckets never decrease along the order."""
+@dataclass(frozen=True)
+class KeyOrder:
+    """The order of rows by key and its cut into buckets that never decrease along it.
+
+    ``cuts`` are bucket borders; they only balance the work, ranks are exact whatever
+    they are.  With a seed the order is that of a hash, which needs no borders.
+    """
+
+    key: str
+    seed: int | None = None
+    cuts: tuple = ()
+    numeric: bool = True
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Add ``__o`` (order) and ``__b`` (bucket)."""
+        if self.seed is not None:
+            df = df.withColumn("__o", F.xxhash64(quoted(self.key), F.lit(self.seed)))
+            return df.withColumn("__b", F.shiftright(F.col("__o"), 64 - HASH_BITS))
+        df = df.withColumn("__o", quoted(self.key))
+        if not self.cuts:
+            return df.withColumn("__b", F.lit(0))
+        if not self.numeric:
+            cuts = np.array(self.cuts, dtype=object)
+
+            @F.pandas_udf("int")
+            def slot(keys: pd.Series) -> pd.Series:
+                return pd.Series(np.searchsorted(cuts, keys.to_numpy(), "right"))
+
+            return df.withColumn("__b", slot(F.col("__o")))
+        borders = [-float("inf"), *self.cuts, float("inf")]
+        search = Bucketizer(splits=borders, inputCol="__k", outputCol="__b", handleInvalid="keep")
+        found = search.transform(df.withColumn("__k", _as_number(df, self.key))).drop("__k")
+        return found.withColumn("__b", F.col("__b").cast("int"))
+
+
+def _as_number(df: DataFrame, key: str) -> Column:
+    c = quoted(key)
+    if isinstance(df.schema[key].dataType, T.NumericType):
+        return c.cast("double")
+    return c.cast("timestamp").cast("double")
+
+
+def key_order(df: DataFrame, key: str, seed: int | None = None) -> KeyOrder:
     if seed is not None:
-        order = F.xxhash64(quoted(key), F.lit(seed))
-        return order, F.shiftright(order, 64 - _HASH_BITS)
-    order = quoted(key)
-    buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+        return KeyOrder(key, seed)
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    buckets = min(max(2, wanted), MAX_BUCKETS)
+    places = [i / buckets for i in range(1, buckets)]
     dtype = df.schema[key].dataType
     if isinstance(dtype, (T.NumericType, T.TimestampType, T.DateType)):
-        number = order.cast("timestamp").cast("double") if not isinstance(
-            dtype, T.NumericType
-        ) else order.cast("double")
-        cuts = df.select(number.alias("k")).approxQuantile(
-            "k", [i / buckets for i in range(1, buckets)], 0.25 / buckets
-        )
-        cuts = sorted(set(cuts))
-        return order, _position(number, cuts)
-    # Text keys: cut points from a bounded sample of keys only balance the
-    # buckets; every row is ranked exactly whatever they are.
+        found = df.select(_as_number(df, key).alias("k")).approxQuantile("k", places, 0.25 / buckets)
+        return KeyOrder(key, None, tuple(sorted(set(found))))
+    # Text keys: borders from a bounded sample of keys.
     total = df.count()
     share = min(1.0, 50.0 * buckets / max(total, 1))
-    seen = sorted(r[0] for r in df.select(order).sample(share, 7).collect())
-    cuts = sorted({seen[len(seen) * i // buckets] for i in range(1, buckets)}) if seen else []
-
-    @F.pandas_udf("int")
-    def slot(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(np.array(cuts, dtype=object), keys.to_numpy(), "right"))
-
-    return order, slot(order)
-
-
-def _position(x: Column, cuts: list[float]) -> Column:
-    """Number of cut points at or below ``x``, by a balanced tree of comparisons."""
-
-    def walk(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x < F.lit(cuts[mid]), walk(lo, mid)).otherwise(walk(mid + 1, hi))
-
-    return walk(0, len(cuts))
+    seen = sorted(r[0] for r in df.select(quoted(key)).sample(share, 7).collect())
+    cuts = sorted({seen[int(len(seen) * p)] for p in places}) if seen else []
+    return KeyOrder(key, None, tuple(cuts), False)
 
 
 def stratum_column(
@@ -103,24 +123,44 @@ def stratum_column(
     return F.concat(*parts) if parts else F.lit("")
 
 
+@dataclass(frozen=True)
+class Placed:
+    """Rows with their position, and how many there are (overall, in the rarest stratum)."""
+
+    df: DataFrame
+    counts: DataFrame
+
+    def sizes(self) -> tuple[int, int]:
+        per = self.counts.groupBy("__s").agg(F.sum("__c").alias("t"))
+        row = per.agg(F.sum("t").alias("n"), F.min("t").alias("rarest")).first()
+        return int(row["n"] or 0), int(row["rarest"] or 0)
+
+
 def with_positions(
     df: DataFrame,
     key: str,
     stratum: Column | None = None,
     seed: int | None = None,
-    ordering: tuple[Column, Column] | None = None,
+    ordering: KeyOrder | None = None,
 ) -> DataFrame:
     """Add ``__pos``: the row's place (from 0) when strata follow one another in
     order of first appearance and rows inside a stratum follow the key (or, with a
     seed, a hash of it).  ``key`` must be unique.  ``ordering`` is the result of
     ``key_order`` when several tables share one key."""
-    order, bucket = ordering or key_order(df, key, seed)
-    rows = df.withColumns(
-        {"__s": stratum if stratum is not None else F.lit(""), "__o": order, "__b": bucket}
-    )
-    counts = rows.groupBy("__s", "__b").agg(
-        F.count(F.lit(1)).alias("__c"), F.min("__o").alias("__first")
+    return place(df, key, stratum, seed, ordering).df
+
+
+def place(df, key, stratum=None, seed=None, ordering=None) -> Placed:
+    ordering = ordering or key_order(df, key, seed)
+    rows = ordering.add(df.withColumn("__s", stratum if stratum is not None else F.lit("")))
+    # A small table (strata x buckets) that three branches read: computed once, so the
+    # rows are scanned for it once.
+    counts = (
+        rows.groupBy("__s", "__b")
+        .agg(F.count(F.lit(1)).alias("__c"), F.min("__o").alias("__first"))
+        .persist()
     )
+    counts.count()
     before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     inside = counts.withColumn("__in", F.coalesce(F.sum("__c").over(before), F.lit(0)))
     # Strata by first appearance: running totals in two steps, by the bucket in
@@ -141,12 +181,13 @@ def with_positions(
     )
     ties = ["__o"] if seed is None else ["__o", quoted(key)]
     rank = F.row_number().over(Window.partitionBy("__s", "__b").orderBy(*ties)) - 1
-    ranked = rows.withColumn("__rk", rank)
-    return (
-        ranked.join(offsets, ["__s", "__b"])
+    placed = (
+        rows.withColumn("__rk", rank)
+        .join(offsets, ["__s", "__b"])
         .withColumn(POS, F.col("__off") + F.col("__rk"))
         .drop("__s", "__o", "__b", "__rk", "__off")
     )
+    return Placed(placed, counts)
 
 
 def round_robin(pos: Column, folds: int, level: int = 0) -> Column:
@@ -225,16 +266,24 @@ def with_folds(
         stratum = F.coalesce(quoted(outcome).cast("string"), F.lit("missing"))
     elif base == "joint":
         stratum = stratum_column(df, strata or [], outcome, patterns)
+    placed = place(df, key, stratum, seed)
+    rows, rarest = placed.sizes()
     if adaptive:
         if base == "cv":
             finite = outcome is not None and profile(df, [outcome])[outcome].finite
-            k = adaptive_folds(df, outcome if finite else F.lit(1), finite)
+            k = adaptive_folds(df, outcome, True) if finite else folds_for(rows)
         else:
-            k = adaptive_folds(df, stratum, True)
+            k = folds_for(min(rows, RARE_CLASS_FACTOR * rarest))
     k = k or DEFAULT_FOLDS
-    placed = with_positions(df, key, stratum, seed)
     if base == "cv":
-        fold = contiguous(F.col(POS), k, df.count())
+        fold = contiguous(F.col(POS), k, rows)
     else:
         fold = round_robin(F.col(POS), k)
-    return placed.withColumn(name, fold).drop(POS)
+    return placed.df.withColumn(name, fold).drop(POS)
+
+
+def folds_for(effective: int) -> int:
+    """Number of folds for an effective sample size."""
+    if effective < SMALL_SAMPLE:
+        return max(effective, 1)
+    return next((k for bound, k in FOLDS_BY_SIZE if effective < bound), FOLDS_LARGE)

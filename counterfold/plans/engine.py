@@ -293,7 +293,6 @@ class Engine:
             rows, folds = self._with_fold_columns(
                 rows, features, outcome if binary else None, depth
             )
-            rows = rows.persist()
         covariates = [c for c in group.variables if c not in group.outcomes]
         # Cells are exact for models that learn from weighted means; a saturated model
         # needs them whatever its parents are.
@@ -306,6 +305,8 @@ class Engine:
             )
         )
         if compress:
+            if depth and self.threshold is not None:
+                rows = rows.persist()  # read again for the influence values
             y = group.outcomes[0]
             frame = self._as_cells(rows, [*covariates, *folds], y)
             ys, vs = {y: "__y0"}, {y: "__v0"}
@@ -498,10 +499,7 @@ class Engine:
         influence = None
         if self.threshold is not None and self.keyed:
             influence = self._influence(group, prepared, predicted, frame, effects, built, out)
-        held = [frame, prepared.frame]
-        if prepared.folds:
-            held.append(prepared.rows)
-        return out, (influence, held)
+        return out, (influence, [frame, prepared.frame, prepared.rows])
 
     def _choice(self, part: Estimand, nuisance: Nuisance, est: Estimator):
         if nuisance.target == part.outcome:
