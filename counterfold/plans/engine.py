@@ -14,6 +14,7 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,12 +125,18 @@ class NuisanceFits:
                 ) from None
         self.kept: dict[tuple, object] = {}
         self.fitted = 0
+        self._locks: dict[tuple, Lock] = {}
+        self._lock = Lock()
 
     def get(self, key: tuple, make):
-        if key not in self.kept:
-            self.kept[key] = make()
-            self.fitted += 1
-        return self.kept[key]
+        """The fit, made once even if several groups ask for it at the same time."""
+        with self._lock:
+            own = self._locks.setdefault(key, Lock())
+        with own:
+            if key not in self.kept:
+                self.kept[key] = make()
+                self.fitted += 1
+            return self.kept[key]
 
     def after(self, remaining: Iterable) -> None:
         """Let go of what the remaining questions cannot use."""
@@ -142,6 +149,7 @@ class NuisanceFits:
             drop = [k for k in self.kept if k[0] not in needed or k[2] is not None]
         for k in drop:
             release(self.kept.pop(k))
+            self._locks.pop(k, None)
 
 
 @dataclass
@@ -209,10 +217,11 @@ class Engine:
                 sorted(str(n) for n in self.estimands[i].nuisances())[::-1], i))
         variables = sorted(set().union(*(e.variables() for e in self.estimands)))
         self.fits = NuisanceFits(cache)
-        self.failed: dict[tuple, tuple[int, str]] = {}
+        self.failed: dict[tuple, str] = {}
+        self.told: set[tuple] = set()
         self.batch_size, self.outputs = batch_size, outputs or Outputs()
         self.threshold, self.save_ids = pvalue_threshold, save_sample_ids
-        self.seed, self.parallelism, self.run_id = seed, parallelism, run_id
+        self.seed, self.parallelism, self.run_id = seed, max(1, parallelism), run_id
         self.verbosity = verbosity
         needs_key = (
             save_sample_ids
@@ -230,6 +239,8 @@ class Engine:
         self.keyed = self.key in self.df.columns
         self.kinds: dict[str, ColumnProfile] = profile(self.df, variables)
         self._ordering = None
+        self._ordering_lock = Lock()
+        self._held: list[DataFrame] = []
         self._shuffle_seed = seed if shuffle else None
 
     # --- shared pieces -----------------------------------------------------------
@@ -242,8 +253,9 @@ class Engine:
             return list(pool.map(fn, items))
 
     def _positions(self, rows: DataFrame, stratum) -> DataFrame:
-        if self._ordering is None:
-            self._ordering = key_order(self.df, self.key, self._shuffle_seed)
+        with self._ordering_lock:
+            if self._ordering is None:
+                self._ordering = key_order(self.df, self.key, self._shuffle_seed)
         return with_positions(rows, self.key, stratum, self._shuffle_seed, self._ordering)
 
     def _with_fold_columns(self, rows, features, outcome, depth) -> tuple[DataFrame, tuple]:
@@ -421,16 +433,16 @@ class Engine:
         prepared: Prepared | None = None
         requests: dict[tuple, dict[tuple, str]] = {}
         owners: dict[tuple, object] = {}
-        tried: set[int] = set()
         for idx, question in group.members:
             for name, est in self.estimators.items():
                 needed = [
                     (p, n, *self._choice(p, n, est)) for p in question.parts for n in p.nuisances()
                 ]
-                known = [self.failed[(n, m)] for _, n, m, _ in needed if (n, m) in self.failed]
+                # Propensities first, then outcomes.
+                needed.sort(key=lambda t: t[3])
+                known = [(n, m) for _, n, m, _ in needed if (n, m) in self.failed]
                 if known:
-                    first, message = min(known)
-                    out[idx, name] = (None, message if first == idx else SKIPPED_MESSAGE)
+                    out[idx, name] = (None, known[0])
                     continue
                 missing = self._missing_levels(question)
                 if missing:
@@ -439,8 +451,7 @@ class Engine:
                 if prepared is None:
                     prepared = self._prepare(group)
                 try:
-                    # Propensities first, then outcomes.
-                    for p, n, m, is_q in sorted(needed, key=lambda t: t[3]):
+                    for p, n, m, is_q in needed:
                         key = self._fit_key(n, m, est.cross_fitted, group, is_q)
                         key = (*key, est.cross_fitted)
                         try:
@@ -453,10 +464,10 @@ class Engine:
                         except FitFailed as e:
                             text = (OUTCOME_MESSAGE if is_q else PROPENSITY_MESSAGE).format(n)
                             log.warning("%s (%s)", text, e)
-                            self.failed[(n, m)] = (idx, text)
-                            raise FitFailed(text) from e
-                except FitFailed as e:
-                    out[idx, name] = (None, str(e))
+                            self.failed[(n, m)] = text
+                            out[idx, name] = (None, (n, m))
+                            raise
+                except FitFailed:
                     continue
                 todo.append((idx, question, name, est))
         if not todo:
@@ -619,25 +630,28 @@ class Engine:
         """Answer the questions at ``indices`` (all by default) as one batch."""
         indices = list(self.order if indices is None else indices)
         todo = self.groups(indices)
+        later = [self.estimands[i] for i in self.order if i not in set(indices)]
         rows: dict[tuple[int, str], tuple] = {}
-        tables, held = [], []
-        for at, group in enumerate(todo):
-            out, extra = self._answer(group)
-            rows |= out
-            if extra is not None:
+        tables = []
+        for start in range(0, len(todo), self.parallelism):
+            # A few groups side by side: their jobs fill the gaps of one another.
+            for out, extra in self._map(self._answer, todo[start : start + self.parallelism]):
+                rows |= out
+                if extra is None:
+                    continue
                 influence, frames = extra
                 if influence is not None:
                     tables.append(influence)
-                    held += frames
+                    self._held += frames
                 else:
                     for f in frames:
                         f.unpersist()
             if self.verbosity:
-                log.info("answered %d of %d groups", at + 1, len(todo))
-            rest = [e for g in todo[at + 1 :] for _, e in g.members]
-            later = [self.estimands[i] for i in self.order if i not in set(indices)]
+                log.info("answered %d of %d groups", start + self.parallelism, len(todo))
             if not tables:
+                rest = [e for g in todo[start + self.parallelism :] for _, e in g.members]
                 self.fits.after(rest + later)
+        self._tell_failures(indices, rows)
         results = self.spark.createDataFrame(
             [
                 self._row(i, name, rows[i, name], batch_id)
@@ -648,9 +662,28 @@ class Engine:
         )
         influence = reduce(DataFrame.unionByName, tables) if tables else None
         ids = self.sample_sets(indices) if self.save_ids else None
-        self._held = held
         return RunResult(results, influence, ids)
 
+    def _tell_failures(self, indices: Sequence[int], rows: dict) -> None:
+        """The first question that needs a broken nuisance tells why; later ones are
+        reported as skipped, in the order of the questions."""
+        for i in indices:
+            new = []
+            for name in self.estimators:
+                got, error = rows[i, name]
+                if got is None and isinstance(error, tuple):
+                    needed = [
+                        (n, self._choice(p, n, self.estimators[name])[0])
+                        for p in self.estimands[i].parts
+                        for n in p.nuisances()
+                    ]
+                    if any(k in self.told for k in needed):
+                        rows[i, name] = (None, SKIPPED_MESSAGE)
+                    else:
+                        rows[i, name] = (None, self.failed[error])
+                        new.append(error)
+            self.told.update(new)
+
     def _let_go(self) -> None:
         for f in self._held:
             f.unpersist()
