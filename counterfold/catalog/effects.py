@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from counterfold.catalog.sqlgen import Study, aie, ate, cm, union
+from counterfold.catalog.sqlgen import LineStudy, Study, aie, ate, cm, union
 from counterfold.catalog.tables import (
     DOCUMENTS_SQL,
     LINEITEM_SQL,
@@ -16,7 +16,14 @@ from counterfold.catalog.tables import (
 from counterfold.models import Saturated
 from counterfold.plans import estimands as E
 from counterfold.plans.engine import Engine
-from counterfold.plans.registry import OSE, TMLE, Models, preset, same_model
+from counterfold.plans.registry import (
+    OSE,
+    TMLE,
+    Models,
+    estimators_from_string,
+    preset,
+    same_model,
+)
 
 QUERIES, ORACLE = {}, {}
 SATURATED = same_model(Saturated())
@@ -371,8 +378,6 @@ def multi_estimator(spark, sf):
 )
 def ate_glm_binary(spark, sf):
     question = E.ATE("dear", {"urgent": TRUE_FALSE}, {"urgent": ["rich"]})
-    from counterfold.plans.registry import estimators_from_string
-
     models = estimators_from_string("tmle--glm", ["urgent"])["TMLE_GLM_GLM"].models
     got = Engine(orders_cohort(spark, sf), [question], {"TMLE": TMLE(models, lower=0.41)})()
     return summary(got, None, 6, 6)
@@ -385,6 +390,28 @@ def ate_glmnet(spark, sf):
     return summary(Engine(rows, [URGENT_QUESTION], "wtmle-ose", key="o_orderkey")(), None, 1, 1)
 
 
+LINE = LineStudy(
+    ORDERS_SQL, "o_totalprice", ("urgent",), (), ((),), ate(["true"], ["false"]), lower=0.4,
+    x="(c_acctbal - 4000) / 3000",
+)
+
+
+@query(
+    "ate_glm_continuous",
+    union([LINE.select(k, k.upper(), digits=(2, 2)) for k in ("ose", "tmle", "wtmle")]),
+)
+def ate_glm_continuous(spark, sf):
+    """A numeric confounder; the bound clips, so the three estimators differ."""
+    question = E.ATE("o_totalprice", {"urgent": TRUE_FALSE}, {"urgent": ["c_acctbal"]})
+    models = estimators_from_string("tmle--glm", ["urgent"])["TMLE_GLM_GLM"].models
+    ests = {
+        "OSE": OSE(models, lower=0.4),
+        "TMLE": TMLE(models, lower=0.4),
+        "WTMLE": TMLE(models, weighted=True, lower=0.4),
+    }
+    return summary(Engine(orders_cohort(spark, sf), [question], ests)(), None, 2, 2)
+
+
 @query("ate_continuous_covariates")
 def ate_continuous_covariates(spark, sf):
     question = E.ATE("o_totalprice", {"urgent": TRUE_FALSE}, {"urgent": ["c_acctbal", "n_regionkey"]})

@@ -53,6 +53,8 @@ class Study:
     keep: tuple[str, ...] = field(default=())
     g_base: str | None = None  # other rows to learn the propensities from
 
+    iterates = False
+
     def _mean_join(self, name, on: Sequence[str], picks, source="b") -> tuple[str, str]:
         """(CTE, join) of cell means, from the other folds when there are folds."""
         cells = ", ".join(on)
@@ -158,7 +160,8 @@ e AS (SELECT eps FROM steps WHERE i = 12)"""
 
     def select(self, kind: str, name: str, binary: bool = False, digits=(4, 4)) -> str:
         """One row: estimator, estimate, std, se, n, clipped."""
-        recursive = "RECURSIVE " if binary and kind != "ose" else ""
+        steps = self.iterates or (binary and kind != "ose")
+        recursive = "RECURSIVE " if steps else ""
         value = "avg(t)" if kind != "ose" else "avg(u)"
         a, b = digits
         return f"""(WITH {recursive}{self.influence(kind, binary)}
@@ -167,5 +170,35 @@ SELECT '{name}' AS estimator, round({value}, {a}) + 0.0 AS estimate, round(stdde
        CAST(sum(CASE WHEN clip THEN 1 ELSE 0 END) AS BIGINT) AS clipped FROM ic)"""
 
 
+@dataclass(frozen=True)
+class LineStudy(Study):
+    """One two-level treatment and one number ``x``: a line per treatment level for the
+    outcome, logistic regression by Newton steps for the treatment."""
+
+    x: str = ""
+    iterates = True
+
+    def rows(self) -> str:
+        t = self.treatments[0]
+        bound = f"{self.lower!r}"
+        return f"""b AS (SELECT CAST({self.y} AS DOUBLE) AS yy, {t} AS t, {self.x} AS x FROM ({self.base}) r),
+lines AS (SELECT t, covar_pop(x, yy) / var_pop(x) AS sl,
+                 avg(yy) - covar_pop(x, yy) / var_pop(x) * avg(x) AS ic FROM b GROUP BY t),
+newton(i, b0, b1) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL
+  SELECT i + 1, b0 + (g0 * h11 - g1 * h01) / (h00 * h11 - h01 * h01),
+         b1 + (g1 * h00 - g0 * h01) / (h00 * h11 - h01 * h01)
+  FROM (SELECT i, b0, b1, sum(r) AS g0, sum(x * r) AS g1, sum(w) AS h00, sum(x * w) AS h01,
+               sum(x * x * w) AS h11
+        FROM (SELECT i, b0, b1, x, CASE WHEN t THEN 1 ELSE 0 END - p AS r, p * (1 - p) AS w
+              FROM (SELECT i, b0, b1, x, t, 1 / (1 + exp(-(b0 + b1 * x))) AS p
+                    FROM newton, b WHERE i < 10))
+        GROUP BY i, b0, b1)),
+g AS (SELECT yy, t, x, 1 / (1 + exp(-(b0 + b1 * x))) AS p FROM b, newton WHERE i = 10),
+j AS (SELECT yy, g.t AS h0, NOT g.t AS h1, u.ic + u.sl * x AS q0, v.ic + v.sl * x AS q1,
+             greatest(p, {bound}) AS g0, greatest(1 - p, {bound}) AS g1,
+             p < {bound} AS c0, 1 - p < {bound} AS c1
+      FROM g, (SELECT * FROM lines WHERE t) u, (SELECT * FROM lines WHERE NOT t) v)"""
+
+
 def union(selects: Sequence[str]) -> str:
     return "\nUNION ALL\n".join(f"SELECT * FROM {s}" for s in selects)

@@ -136,6 +136,13 @@ def release(fitted) -> None:
         fitted.release()
 
 
+def transforms(fitted) -> int:
+    """Steps one request adds to a plan; expressions and joins count for nothing."""
+    if isinstance(fitted, CrossFit):
+        return sum(transforms(f) for f in fitted.fitted.values())
+    return fitted.transforms() if hasattr(fitted, "transforms") else 0
+
+
 def literal(value, profile: ColumnProfile) -> Column:
     return F.lit(value).cast(profile.dtype)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-from counterfold.models.base import Design, FitFailed, Frame, Model, Request, release
+from counterfold.models.base import Design, FitFailed, Frame, Model, Request, release, transforms
 from counterfold.models.linear import Linear, Logistic
 from counterfold.models.trees import FEATURES, Trees, TreeFit
 from counterfold.operators.schema import ColumnProfile
@@ -132,6 +132,9 @@ class StackFit:
         for f in self.fitted:
             release(f)
 
+    def transforms(self) -> int:
+        return sum(transforms(f) for f in self.fitted)
+
     def weights(self) -> dict[str, float]:
         """Coefficient of each member (single-score targets)."""
         return dict(zip(self.labels, self.combined.coefs))

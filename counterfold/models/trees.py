@@ -78,6 +78,9 @@ class TreeFit:
     models: list
     levels: tuple | None
 
+    def transforms(self) -> int:
+        return len(self.models)
+
     def add(self, df: DataFrame, requests: Sequence[Request]) -> DataFrame:
         made: dict = {}
         for r in requests:

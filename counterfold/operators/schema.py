@@ -193,14 +193,18 @@ def exact_patterns(names: Iterable[str]) -> list[str]:
     return [f"^{re.escape(n)}$" for n in names]
 
 
-def complete_cases(df: DataFrame, variables: Iterable[str]) -> DataFrame:
-    """Rows without a null in any of the variables."""
-    names = sorted(set(variables))
+def _complete(variables: Iterable[str]) -> Column | None:
     keep = None
-    for c in names:
+    for c in sorted(set(variables)):
         test = quoted(c).isNotNull()
         keep = test if keep is None else keep & test
-    return df.where(keep) if keep is not None else df
+    return keep
+
+
+def complete_cases(df: DataFrame, variables: Iterable[str]) -> DataFrame:
+    """Rows without a null in any of the variables."""
+    keep = _complete(variables)
+    return df if keep is None else df.where(keep)
 
 
 def complete_case_ids(df: DataFrame, variables: Iterable[str], key: str) -> DataFrame:
@@ -208,6 +212,6 @@ def complete_case_ids(df: DataFrame, variables: Iterable[str], key: str) -> Data
 
 
 def dropped_case_ids(df: DataFrame, variables: Iterable[str], key: str) -> DataFrame:
-    """Rows that the complete-case filter leaves out (an anti join on the key)."""
-    kept = complete_case_ids(df, variables, key)
-    return df.select(quoted(key)).join(kept, on=key, how="left_anti")
+    """Rows that the complete-case filter leaves out; a filter too, so no join."""
+    keep = _complete(variables)
+    return df.where(~keep if keep is not None else F.lit(False)).select(quoted(key))

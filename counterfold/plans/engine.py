@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from counterfold.functions.scalar import quoted, two_sided_p
-from counterfold.models.base import WEIGHT, FitFailed, Frame, Request, literal, release
+from counterfold.models.base import WEIGHT, FitFailed, Frame, Request, literal, release, transforms
 from counterfold.models.simple import Saturated
 from counterfold.operators.folds import (
     POS,
@@ -43,6 +43,7 @@ from counterfold.plans.estimands import (
     treatments_of,
 )
 from counterfold.plans.registry import DEFAULT_ESTIMATORS, Estimator, resolve_estimators
+from counterfold.session import cut_lineage
 from counterfold.sinks import Outputs
 from counterfold.sources.readers import read_configuration, read_table
 
@@ -62,6 +63,8 @@ FOLDS = 3
 Z_95 = 1.959963984540054
 # Cells instead of rows when their possible number is below this share of the rows.
 CELL_SHARE = 0.5
+# Model transforms after which predictions are written rather than planned on.
+LONG_PLAN = 12
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -489,6 +492,9 @@ class Engine:
                     Request(col, dict(setting), level) for (setting, level), col in wanted.items()
                 ]
                 frame = owners[key].add(frame, asked)
+                # Many tree predictions make a long plan: write them and go on.
+                if transforms(owners[key]) * len(asked) > LONG_PLAN:
+                    frame = cut_lineage(frame)
             return frame.withColumns({c: self._flag(setting) for setting, c in hits.items()})
 
         hits: dict[tuple, str] = {}
