@@ -13,6 +13,7 @@ from counterfold.functions.scalar import quoted
 from counterfold.models.base import (
     BROADCAST_CELLS,
     WEIGHT,
+    CrossFit,
     ExpressionFit,
     FitFailed,
     Frame,
@@ -33,8 +34,6 @@ class Constant(Model):
         return self._fits(frame, None)[None]
 
     def fit_cross(self, frame: Frame):
-        from counterfold.models.base import CrossFit
-
         return CrossFit(frame.folds[0], self._fits(frame, frame.folds[0]))
 
     def _fits(self, frame: Frame, fold: str | None) -> dict:

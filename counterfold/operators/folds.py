@@ -36,6 +36,8 @@ DEFAULT_FOLDS = 6
 POS = "__pos"
 HASH_BITS = 12
 MAX_BUCKETS = 4096
+# Buckets below this many rows are never looked at twice.
+LARGE_BUCKET = 1_000_000
 
 
 def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
@@ -160,7 +162,7 @@ def place(df, key, stratum=None, seed=None, ordering=None) -> Placed:
         .agg(F.count(F.lit(1)).alias("__c"), F.min("__o").alias("__first"))
         .persist()
     )
-    counts.count()
+    _check_unique(counts, ordering)
     before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     inside = counts.withColumn("__in", F.coalesce(F.sum("__c").over(before), F.lit(0)))
     # Strata by first appearance: running totals in two steps, by the bucket in
@@ -190,6 +192,16 @@ def place(df, key, stratum=None, seed=None, ordering=None) -> Placed:
     return Placed(placed, counts)
 
 
+def _check_unique(counts: DataFrame, ordering: KeyOrder) -> None:
+    """Buckets of a unique key are about equal.  One that is far too large means equal
+    keys, which no bucket border can part: say so instead of ranking them in one task."""
+    per = counts.groupBy("__b").agg(F.sum("__c").alias("c"))
+    row = per.agg(F.sum("c").alias("n"), F.max("c").alias("top")).first()
+    buckets = len(ordering.cuts) + 1 if ordering.seed is None else 2**HASH_BITS
+    if row["n"] and row["top"] > max(20 * row["n"] / buckets, LARGE_BUCKET):
+        raise ValueError(f"the key {ordering.key} is not unique: {row['top']} rows lie together")
+
+
 def round_robin(pos: Column, folds: int, level: int = 0) -> Column:
     """Fold 1..K by turns.  ``level`` 1, 2… give further balanced assignments that
     cut across the earlier ones (the next digits of the position in base K)."""

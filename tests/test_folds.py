@@ -98,3 +98,12 @@ def test_row_key_is_fixed_once(spark):
     df = with_row_key(spark.range(50).withColumn("x", F.rand()))
     assert df.orderBy("id").collect() == df.orderBy("id").collect()
     assert df.select("__row").distinct().count() == 50
+
+
+def test_equal_keys_are_refused(spark, monkeypatch):
+    import counterfold.operators.folds as folds_module
+
+    monkeypatch.setattr(folds_module, "LARGE_BUCKET", 100)
+    hot = spark.range(4000).withColumn("id", F.when(F.col("id") < 2500, 7).otherwise(F.col("id")))
+    with pytest.raises(ValueError, match="not unique"):
+        with_folds(hot, "id", "cv", 5, seed=1)
