@@ -227,7 +227,7 @@ def estimand_from_dict(d: Mapping):
         return JointEstimand(
             tuple(estimand_from_dict(e) for e in d.get("estimands", d.get("args", ())))
         )
-    kind = kind.removeprefix("TMLE.").removeprefix("Statistical").removeprefix("Causal")
+    kind = kind.rsplit(".", 1)[-1].removeprefix("Statistical").removeprefix("Causal")
     if kind not in ("CM", "ATE", "AIE"):
         raise EstimandError(f"unknown estimand type: {d['type']}")
     return _make(
