@@ -122,7 +122,7 @@ def pack_documents(
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    def merged(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def merged(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         base = (1 << 62) + (int(key[0]) << 32)
         pdf = pdf.sort_values(["sequence_id", "offset"], kind="stable")
         rows, filled = [], 0

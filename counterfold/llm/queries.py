@@ -6,9 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from counterfold.llm.ann import fit_index, search
+from counterfold.llm.chat import format_chats, read_chats, read_loss, to_turns
 from counterfold.llm.common import documents, held_out
+from counterfold.llm.mixing import mix_sources
 from counterfold.llm.packing import pack_documents
 from counterfold.llm.quality import fit_quality, score_quality
+from counterfold.llm.rules import judge, language_references
 from counterfold.llm.token_counts import count_tokens
 from counterfold.llm.token_files import read_token_files, write_token_files
 from counterfold.llm.toxicity import fit_toxicity, score_toxicity
@@ -26,6 +30,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
     scored = score_toxicity(docs, fit_toxicity(docs, labels), limit=0.5)
@@ -34,6 +43,64 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("passages").alias("n_passages"))
 
 
+def op6_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return judge(docs, language_references(docs)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+#: A conversation that says the control strings of a common template.
+EXTRA = [(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(["user", "assistant"])]
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA, rows.schema)
+    chats = format_chats(to_turns(rows.unionByName(extra)))
+    turns = read_chats(F.col("formatted"))
+    said = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = read_loss(F.col("formatted"), F.col("loss_spans"))
+    return chats.select(
+        "conv_id", F.size(turns).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                   (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, length('<|turn|><|text|><|end|>')
+    + length(regexp_replace(role, '([<\[])(\\*)(\|(?:turn|text|end)\||/?s>|/?INST\])',
+        '\1\\\2\3', 'g'))
+    + length(regexp_replace(text, '([<\[])(\\*)(\|(?:turn|text|end)\||/?s>|/?INST\])',
+        '\1\\\2\3', 'g'))
+    AS chars
+  FROM rows),
+said AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text)
+             FILTER (WHERE role = 'assistant'), '') AS loss,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars
+  FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+  sha256(loss) AS loss_sha256, formatted_chars
+FROM said"""
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = documents(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return search(vectors, F.col("id") % 100 == 0, fit_index(vectors), k=10)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = write_token_files(
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
@@ -53,8 +120,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
+    "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
+    "op6_rules": op6_rules,
+    "op7_chat": op7_chat,
+    "op8_neighbours": op8_neighbours,
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {"op7_chat": CHAT_SQL}

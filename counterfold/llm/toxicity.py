@@ -152,7 +152,8 @@ def log_odds(
 
     The Dirichlet prior gives a token half an occurrence, and ``prior`` times its share of
     all occurrences, in each class.  A token must be in so many toxic texts that less than
-    one of the tokens tested would be in as many toxic ones, and no others, by chance.
+    one of the tokens tested would be in as many toxic ones, and no others, by chance; its
+    log-odds must be ``significance * log(tokens tested)`` standard errors above zero.
     """
     tested = F.count(F.when(F.col("toxic") + F.col("clean") >= 3, 1))
     totals = counts.agg(F.sum("toxic"), F.sum("clean"), tested)
@@ -164,7 +165,8 @@ def log_odds(
     return (
         counts.where(F.col("toxic") >= least)
         .withColumn("log_odds", delta)
-        .where(F.col("log_odds") / F.sqrt(1 / y1 + 1 / y0) >= significance)
+        .where(F.col("log_odds") / F.sqrt(1 / y1 + 1 / y0)
+               >= significance * math.log(max(tested, 2)))
         .select("token", "log_odds")
     )
 
@@ -195,7 +197,7 @@ def labelled_sample(
 
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, *, column: str = "toxic", sample_rows: int = 16_000,
-    prior: float = 1000.0, significance: float = 2.6, drift: float = 0.5,
+    prior: float = 1000.0, significance: float = 0.35, drift: float = 0.5,
 ) -> ToxicityModel:
     """Fit on about ``sample_rows`` labelled rows at most (documented bound).
 
