@@ -45,7 +45,7 @@ def usable(vector: Column, dimension: int) -> Column:
 
 def fit_index(
     vectors: DataFrame, *, sample_rows: int = 20_000, most_lists: int = 1024, rounds: int = 8,
-    seed: int = 7,
+    recall: float = 0.97, seed: int = 7,
 ) -> Index:
     """Centroids from a sample of about ``sample_rows`` vectors at most (documented bound).
 

@@ -77,6 +77,20 @@ def parts(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20):
                 start = row + 1
 
 
+def filtered(docs: DataFrame, keep) -> DataFrame:
+    """The rows whose texts pass, with all their columns; null is empty.  No shuffle.
+
+    ``keep()`` is called once a task and gives a function from texts to a list of booleans.
+    """
+
+    def rows(batches):
+        passes = keep()
+        for batch in parts(batches, "text"):
+            yield batch.filter(pa.array(passes(byte_texts(batch, "text")), pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows kept apart: crc32 of the id as text leaves no remainder by 5."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

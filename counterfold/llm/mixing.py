@@ -190,3 +190,19 @@ def mix_sources(
     return decided.select(
         "doc_id", "size", "source", "source_size", "target", (times * F.col("size")).alias("taken"),
         times.alias("times"))
+
+
+def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """The rows of ``docs``, each as many times as ``mix_sources`` took it.
+
+    Rows with the same id are matched in the order of their sources and sizes.
+    """
+    words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD))
+    taken = mixed.groupBy(F.col("doc_id").alias("__id")).agg(F.array_sort(F.collect_list(
+        F.struct("source", "size", "times"))).alias("__taken"))
+    at = Window.partitionBy("doc_id").orderBy("source", words, "text")
+    row = docs.join(taken, docs.doc_id.eqNullSafe(F.col("__id"))).withColumn(
+        "__row", F.row_number().over(at))
+    times = F.get("__taken", F.col("__row") - 1)["times"].cast("int")
+    return row.withColumn("__times", times).where("__times > 0").withColumn(
+        "__n", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from counterfold.llm.ann import fit_index, search
 from counterfold.llm.chat import format_chats, read_chats, read_loss, to_turns
 from counterfold.llm.common import documents, held_out
+from counterfold.llm.jaccard import jaccard_components
 from counterfold.llm.mixing import mix_sources
 from counterfold.llm.packing import pack_documents
 from counterfold.llm.quality import fit_quality, score_quality
@@ -30,6 +31,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir), size=4, percent=85)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -120,6 +125,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
+    "op3_jaccard": op3_jaccard,
     "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_rules": op6_rules,

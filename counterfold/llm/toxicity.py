@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from counterfold.llm.common import byte_texts, held_out, parts, ship, stored
+from counterfold.llm.common import byte_texts, filtered, held_out, parts, ship, stored
 
 EDGES = ".,;:!?\"'()[]{}<>#*$%&|-_/\\~^=+`@"
 BEGINNINGS = (4, 5)
@@ -310,3 +310,22 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, limit: float = 0.5)
     return docs.selectExpr("doc_id", "CAST(text AS STRING) AS text").mapInArrow(
         rows, f"doc_id {kind}, score double, predicted int, "
         "passages array<struct<first:int,last:int,score:double,by_chance:double>>")
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, *, limit: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, that ``score_toxicity`` does not predict toxic."""
+    shared = ship(docs.sparkSession).sparkContext.broadcast(model)
+
+    def keep():
+        m = shared.value
+        scanner = Scanner(m)
+
+        def passes(texts):
+            for raw in texts:
+                n, found = scanner.scan(raw.decode("utf-8", "replace"))
+                best = max((s for _, _, s in found), default=0.0)
+                yield m.probability(m.evidence(best, n)) < limit
+
+        return lambda texts: list(passes(texts))
+
+    return filtered(docs, keep)
