@@ -13,17 +13,16 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
 from array import array
 from collections.abc import Callable
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: ASCII and the letters of Latin-1: composed, and lower-cased one by one.
-UNUSUAL = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿ]")
-SPACES = re.compile(r"\s \S|\S \s|  | \Z|\A ")
-CUT = re.compile(r"(?<=\S) (?=\S)")
-MEMORY = 600_000  # chunks remembered by a worker; then it starts anew
+PLAIN = "".join(map(chr, [9, 10, 13, *range(32, 127), *range(192, 215), *range(216, 247),
+                          *range(248, 256)])).encode("latin-1")
+BESIDE = [a + b for a in " \t\n\r" for b in " \t\n\r" if " " in a + b]
+MEMORY = 600_000  # chunks remembered by a worker; then only those met again are kept
 
 
 @functools.lru_cache(maxsize=2)
@@ -40,20 +39,37 @@ def special_strings(path: str) -> tuple[str, ...]:
 
 
 class Chunks(dict):
-    """Values of chunks; ``learn`` works out many new ones at once."""
+    """Values of chunks; ``know`` works out many new ones at once.
+
+    A word with a full stop or comma at its end is the word, then the mark: no pre-token
+    holds both, so its value is made of theirs.
+    """
 
     def __init__(self, learn: Callable[[list[str]], list]):
         super().__init__()
-        self.learn = learn
+        self.learn, self.again = learn, set()
 
     def know(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self]
-        if not new:
-            return
+        known = chunks & self.keys()
+        new = chunks - known
         if len(self) + len(new) > MEMORY:
+            if len(self.again) > MEMORY // 2:
+                self.again.clear()
+            keep = {c: self[c] for c in self.again | known if c in self}
             self.clear()
-            new = list(chunks)
-        self.update(zip(new, self.learn(new)))
+            self.update(keep)
+        self.again |= known
+        ended = [c for c in new if c[-1:] in (".", ",") and c[:-1].isalpha()]
+        plain = new.difference(ended)
+        plain.update(w for w in [c[:-1] for c in ended] if w not in self)
+        plain = list(plain)
+        self.update(zip(plain, self.learn(plain)))
+        self.update([(c, self[c[:-1]] + self.marks[c[-1]]) for c in ended])
+
+    @functools.cached_property
+    def marks(self) -> dict:
+        """Values of a mark that follows a letter (so without the space of a chunk)."""
+        return dict(zip(".,", self.mark_values()))
 
 
 class Memory:
@@ -67,22 +83,28 @@ class Memory:
         self.special = special_strings(path)
         self.first = Chunks(learn)
         self.later = Chunks(lambda chunks: learn([" " + c for c in chunks]))
+        self.first.mark_values = self.later.mark_values = lambda: learn([".", ","])
         self.join, self.whole = join, whole
 
     def cut(self, text: str) -> list[str] | None:
-        if UNUSUAL.search(text) or any(s in text for s in self.special):
+        """The chunks of a text, or None if it must not be cut."""
+        try:
+            if text.encode("latin-1").translate(None, PLAIN):
+                return None
+        except UnicodeEncodeError:
             return None
-        return CUT.split(text) if SPACES.search(text) else text.split(" ")
+        if any(s in text for s in self.special):
+            return None
+        pieces = text.split(" ")
+        if text[:1] == " " or text[-1:] == " " or any(b in text for b in BESIDE):
+            return _rejoined(pieces)
+        return pieces
 
     def values(self, texts: list[str]) -> list:
         pieces = [self.cut(t) for t in texts]
-        firsts, later = set(), set()
-        for p in pieces:
-            if p:
-                firsts.add(p[0])
-                later.update(p[1:])
-        self.first.know(firsts)
-        self.later.know(later)
+        cut = [p for p in pieces if p]
+        self.first.know({p[0] for p in cut})
+        self.later.know(set().union(*cut))
         first, get, join = self.first, self.later.__getitem__, self.join
         return [
             self.whole(t) if p is None else join(first[p[0]], map(get, p[1:]))
@@ -90,6 +112,17 @@ class Memory:
         ]
 
 
+def _rejoined(pieces: list[str]) -> list[str]:
+    """Pieces put together again where the space between them is not between visible ones."""
+    out = [pieces[0]]
+    for p in pieces[1:]:
+        if p[:1].strip() and out[-1][-1:].strip():
+            out.append(p)
+        else:
+            out[-1] += " " + p
+    return out
+
+
 def _ids(path: str):
     tok = library(path)
 

@@ -1,6 +1,7 @@
 """Exact n-gram Jaccard join with a token-group matrix.
 
-Tokens are 64-bit hashes of word shingles.
+Tokens are 48-bit hashes of word shingles, so that two sets of a thousand tokens each
+have a chance below one in a hundred million to share one by accident.
 
 1. Every document becomes its sorted set of tokens.  Equal sets are one *set* from then on.
 2. Similar sets are partitioned into *groups*: sets with the same two least tokens (under
@@ -27,13 +28,14 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from counterfold.llm.common import byte_texts, parts, ship, shuffle_width, stored
 
-BITS = 23  # of the bitmap that tells common tokens: one megabyte
+BITS = 23  # of the bitmaps that tell common tokens, and wanted sets: one megabyte
 CHUNK = 64  # sets of a group compared in one task
 SEED = 20_011
 
@@ -102,7 +104,17 @@ def shingles(text: bytes, size: int) -> np.ndarray:
     token = np.full(len(words) - n + 1, n, np.uint64)
     for i in range(n):
         token = token * odd[i] + words[i : len(words) - n + 1 + i]
-    return np.unique(_mix(token))
+    return np.unique(_mix(token) >> np.uint64(16))
+
+
+def packed(tokens: np.ndarray) -> bytes:
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    wide = np.zeros((len(blob) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
 
 
 def _need(n, percent: int):
@@ -118,7 +130,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def token_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n, set_id, group_key, tokens`` per document; ``tokens`` are sorted uint64."""
+    """``doc_id, n, set_id, group_key, tokens`` per document; ``tokens``: see ``packed``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches):
@@ -127,7 +139,7 @@ def token_sets(docs: DataFrame, size: int) -> DataFrame:
             n, name, key, blob = [], [], [], []
             for text in byte_texts(batch, "text"):
                 t = shingles(text, size)
-                raw = t.tobytes()
+                raw = packed(t)
                 n.append(len(t))
                 name.append(hashlib.blake2b(raw, digest_size=16).digest() if len(t) else None)
                 key.append(int(_mix(t[:1] ^ _mix((t * other).min()))[0].astype(np.int64))
@@ -163,7 +175,7 @@ def common_tokens(sets: DataFrame, least: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([i for i, _, _ in some], pa.int32()),
-                    pa.array([t.tobytes() for _, t, _ in some], pa.binary()),
+                    pa.array([_squeezed(t) for _, t, _ in some], pa.binary()),
                     # most counts are 1: only the others are sent
                     pa.array([np.flatnonzero(c > 1).astype(np.uint32).tobytes()
                               for _, _, c in some], pa.binary()),
@@ -172,7 +184,7 @@ def common_tokens(sets: DataFrame, least: int) -> np.ndarray:
 
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                t = (np.frombuffer(raw, np.uint64) >> np.uint64(32)).astype(np.uint32)
+                t = (unpacked(raw) >> np.uint64(16)).astype(np.uint32)
                 held.append(t)
                 size += len(t)
                 if size > 8_000_000:
@@ -182,7 +194,7 @@ def common_tokens(sets: DataFrame, least: int) -> np.ndarray:
             yield from send()
 
     def often(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        tokens = [np.frombuffer(t, np.uint32) for t in pdf["token"]]
+        tokens = [_widened(t) for t in pdf["token"]]
         counts = []
         for t, p, c in zip(tokens, pdf["place"], pdf["count"]):
             n = np.ones(len(t), np.int64)
@@ -203,26 +215,61 @@ def common_tokens(sets: DataFrame, least: int) -> np.ndarray:
     while total > 1 << (BITS - 2):
         total -= sizes.get(cut, 0)
         cut += 1
-    kept = found.where(F.col("n") >= least * 2**cut).select(
-        F.shiftright("token", 32 - BITS).alias("bit"))
-    words = kept.groupBy(F.shiftright("bit", 5).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(bit & 31 AS INT))")).alias("bits"))
-    bitmap = np.zeros(1 << (BITS - 5), np.uint32)
-    for r in words.collect():  # at most 2**(BITS - 5) rows
-        bitmap[r["word"]] = r["bits"]
-    return bitmap
+    kept = found.where(F.col("n") >= least * 2**cut)
+    return bitmap(kept.select(F.shiftright("token", 32 - BITS).alias("bit")))
+
+
+def bitmap(bits: DataFrame) -> np.ndarray:
+    """2**BITS bits as 32-bit words, those of the column ``bit`` set."""
+    words = bits.groupBy(F.shiftright("bit", 5).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(bit & 31 AS INT))")).alias("bits")).toPandas()
+    found = np.zeros(1 << (BITS - 5), np.uint32)  # as many rows at most
+    found[words.word.to_numpy(np.int64)] = words.bits.to_numpy(np.int64).astype(np.uint32)
+    return found
+
+
+def _bit(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(1 << BITS)).alias("bit")
+
+
+def of_wanted(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``sets`` whose ``doc_id`` may be a ``rep`` of ``wanted``: all that are, few more.
+
+    A bitmap of fixed size thins out the rows before they are shuffled for an exact join.
+    """
+    held = sets.sparkSession.sparkContext.broadcast(bitmap(wanted.select(_bit("rep"))))
 
+    def thin(batches):
+        for batch in batches:
+            bit = np.asarray(batch.column(batch.num_columns - 1))
+            hit = (held.value[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1
+            yield batch.filter(pa.array(hit == 1))
+
+    rows = sets.where("n > 0").withColumn("bit", _bit("doc_id"))
+    return rows.mapInArrow(thin, rows.schema).drop("bit")
+
+
+def _squeezed(t: np.ndarray) -> bytes:
+    """Sorted distinct 32-bit numbers as compressed byte planes of their differences."""
+    planes = np.diff(t, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def _widened(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(planes).view("<u4").ravel(), dtype=np.uint32)
 
-def _is_common(tokens: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    bit = (tokens >> np.uint64(64 - BITS)).astype(np.int64)
-    return (bitmap[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
 
+def _is_common(tokens: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    bit = (tokens >> np.uint64(48 - BITS)).astype(np.int64)
+    return (bits[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
 
-def prefix(tokens: np.ndarray, bitmap: np.ndarray, percent: int) -> np.ndarray:
+
+def prefix(tokens: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
     """The first tokens, rare ones first: linked sets share one of them."""
     n = len(tokens)
     size = n - int(_need(n, percent)) + 1
-    last = _is_common(tokens, bitmap)
+    last = _is_common(tokens, bits)
     rare = tokens[~last]
     return rare[:size] if len(rare) >= size else np.concatenate(
         [rare, tokens[last][: size - len(rare)]])
@@ -273,41 +320,43 @@ def jaccard_components(
     """
     spark = ship(docs.sparkSession)
     sets = stored(token_sets(docs, size), "token-sets")
-    bitmap = spark.sparkContext.broadcast(common_tokens(sets, common))  # one megabyte
+    ranked = spark.sparkContext.broadcast(common_tokens(sets, common))  # one megabyte
+
+    # 1. equal sets are one set, named by the least id; it is known by half its hash where a
+    # chance match only adds a candidate
+    short = F.conv(F.hex(F.substring("set_id", 1, 8)), 16, -10).cast("long")
+    small = stored(
+        sets.where("n > 0").groupBy("set_id", "group_key", "n").agg(F.min("doc_id").alias("rep"))
+        .withColumn("short", short), "sets")
 
-    # equal sets: one name each (the least id); groups by key
-    small = sets.where("n > 0").groupBy("set_id", "group_key", "n").agg(
-        F.min("doc_id").alias("rep"))
-    small = stored(small, "sets")
+    # 2. sets of a key are compared with the first of it, which is joined to them
     twins = small.groupBy("group_key").agg(
         F.count("*").alias("sets"), F.min("set_id").alias("centre")).where("sets > 1")
-
-    # 2. compare sets with the first of their key; rows stay spread, centres are joined to them
-    keyed = small.join(twins, "group_key").select("set_id", "rep", "centre")
-    wanted = sets.select("set_id", "doc_id", "tokens")
-    blobs = wanted.join(keyed, (wanted.set_id == keyed.set_id) & (wanted.doc_id == keyed.rep)
-                        ).select(keyed.set_id, "centre", "tokens").dropDuplicates(["set_id"])
-    blobs = stored(blobs, "keyed-sets")
-    centres = blobs.where("set_id = centre").select("centre", F.col("tokens").alias("centre_tokens"))
+    keyed = of_wanted(
+        sets.select("doc_id", "n", "set_id", "group_key", "tokens"),
+        small.join(twins, "group_key", "left_semi"))
+    centres = keyed.join(twins, "group_key").where("set_id = centre").select(
+        "group_key", "centre", F.col("tokens").alias("centre_tokens")).dropDuplicates(["group_key"])
 
     def compare(batches):
         for batch in batches:
             a, b = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            stay = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                    for x, y in zip(a, b)]
+            stay = [linked(unpacked(x), unpacked(y), percent) for x, y in zip(a, b)]
             yield pa.RecordBatch.from_arrays(
                 [c.filter(pa.array(stay, pa.bool_())) for c in (batch.column(0), batch.column(3))],
                 ["set_id", "centre"])
 
-    star = blobs.join(centres, "centre").select("set_id", "tokens", "centre_tokens", "centre")
-    star = stored(star.mapInArrow(compare, "set_id binary, centre binary"), "groups")
+    star = keyed.join(centres, "group_key").select("set_id", "tokens", "centre_tokens", "centre")
+    star = stored(
+        star.mapInArrow(compare, "set_id binary, centre binary").distinct(), "groups")
     members = star.groupBy("centre").count().withColumnRenamed("count", "members")
     chunk = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("members") / CHUNK)).cast("int")
-    grouped = stored(
+    named = stored(
         small.join(star.join(members, "centre").select("set_id", "centre", chunk.alias("chunk")),
                    "set_id", "left")
-        .select("set_id", "rep", "n", F.coalesce("centre", "set_id").alias("group"),
-                F.coalesce("chunk", F.lit(0)).alias("chunk")), "grouped-sets")
+        .select("set_id", "rep", "short", "n", F.coalesce("centre", "set_id").alias("group"),
+                F.xxhash64(F.coalesce("centre", "set_id")).alias("g"),
+                F.coalesce("chunk", F.lit(0)).alias("chunk")), "named-sets")
 
     # 3. the matrix, from the prefixes of all sets
     def prefixes(batches):
@@ -317,60 +366,58 @@ def jaccard_components(
                 if name in seen:
                     continue
                 seen.add(name)
-                found = prefix(np.frombuffer(raw, np.uint64), bitmap.value, percent)
+                found = prefix(unpacked(raw), ranked.value, percent)
                 tokens.append(found)
-                names += [name[:8]] * len(found)
+                names.append(np.full(len(found), int.from_bytes(name[:8], "big", signed=True)))
             token = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+            name = np.concatenate(names) if names else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(b"".join(names), ">i8").astype(np.int64)),
-                 pa.array(token.view(np.int64))], ["short", "token"])
+                [pa.array(name), pa.array(token.view(np.int64))], ["short", "token"])
 
-    # sets are known here by half their name: a chance match only adds a candidate
-    short = F.conv(F.hex(F.substring("set_id", 1, 8)), 16, -10).cast("long")
     posted = sets.where("n > 0").select("set_id", "tokens").mapInArrow(
         prefixes, "short long, token long")
-    named = grouped.withColumn("short", short)
-    posted = posted.join(named.select("short", "group", "chunk", "n"), "short").select(
-        "token", "short", "n", F.xxhash64("group").alias("g"), "chunk")
-    rows = stored(posted.distinct(), "prefixes")
-    # only tokens in two groups or more can join anything
-    met = rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where(
+    # only tokens of two sets, and then of two groups, can join anything
+    ordered = Window.partitionBy("token").orderBy("short")
+    every = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = posted.select(
+        "token", "short", F.lag("short").over(ordered).alias("before"),
+        F.first("short").over(every).alias("lo"), F.last("short").over(every).alias("hi")
+    ).where("lo <> hi AND (before IS NULL OR before <> short)").select("token", "short")
+    rows = stored(met.join(named.select("short", "g", "chunk", "n"), "short"), "prefixes")
+    across = rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where(
         "lo <> hi").select("token")
-    rows = stored(rows.join(met, "token", "left_semi"), "matrix")
+    rows = stored(rows.join(across, "token", "left_semi"), "matrix-rows")
     matrix = rows.groupBy("token", "g", "chunk").agg(
         F.min("n").alias("least"), F.max("n").alias("most"))
     q, m = rows.alias("q"), matrix.alias("m")
     fits = (F.col("q.n") * 100 >= F.col("m.least") * percent) & (
         F.col("m.most") * 100 >= F.col("q.n") * percent)
-    # each pair of groups meets once: the set of the lower group asks
+    # each pair of groups meets once: the sets of the lower group ask
     asked = stored(
         q.join(m, (F.col("q.token") == F.col("m.token")) & (F.col("q.g") < F.col("m.g")) & fits)
         .select(F.col("q.short").alias("short"), F.col("m.g").alias("g"),
                 F.col("m.chunk").alias("chunk")).distinct(), "candidates")
 
-    # 4. bound and open: candidates with the tokens of the query, then of the chunk
-    name = F.xxhash64("group")
-    in_play = asked.select("short").union(
-        named.withColumn("g", name).join(asked.select("g", "chunk").distinct(), ["g", "chunk"],
-                                         "left_semi").select("short")).distinct()
-    held = named.join(in_play, "short", "left_semi").select(
-        "set_id", "rep", "short", name.alias("g"), "chunk")
-    held = stored(
-        wanted.join(held, (wanted.set_id == held.set_id) & (wanted.doc_id == held.rep))
-        .select(held.set_id, "short", "g", "chunk", "tokens").dropDuplicates(["set_id"]),
-        "sets-in-play")
-    packed = held.groupBy("g", "chunk").agg(
-        F.collect_list(F.struct("set_id", "tokens")).alias("members"))  # at most about CHUNK
-    cases = asked.join(held.select("short", F.col("set_id").alias("query"), "tokens"), "short"
-                       ).join(packed, ["g", "chunk"]).select("query", "tokens", "members")
+    # 4. bound and open: candidates with the tokens of the query and of the chunk
+    chunks = asked.select("g", "chunk").distinct()
+    in_play = stored(named.join(asked.select("short").distinct(), "short", "left_semi").unionByName(
+        named.join(chunks, ["g", "chunk"], "left_semi")
+    ).distinct().select("rep", "set_id", "short", "g", "chunk"), "in-play")
+    held = of_wanted(sets.select("doc_id", "n", "set_id", "tokens"), in_play)
+    queries = held.join(in_play, "set_id").where("doc_id = rep").select(
+        "short", F.col("set_id").alias("query"), "tokens").join(asked, "short")
+    packs = held.join(in_play.join(chunks, ["g", "chunk"], "left_semi"), "set_id").where(
+        "doc_id = rep").dropDuplicates(["set_id"]).groupBy("g", "chunk").agg(
+        F.collect_list(F.struct("set_id", "tokens")).alias("members"))  # about CHUNK at most
+    cases = queries.join(packs, ["g", "chunk"]).select("query", "tokens", "members")
 
     def open_groups(batches):
         for batch in batches:
             a, b = [], []
             for row in range(batch.num_rows):
                 query = batch.column(0)[row].as_py()
-                mine = np.frombuffer(batch.column(1)[row].as_py(), np.uint64)
-                chunk = [(m["set_id"], np.frombuffer(m["tokens"], np.uint64))
+                mine = unpacked(batch.column(1)[row].as_py())
+                chunk = [(m["set_id"], unpacked(m["tokens"]))
                          for m in batch.column(2)[row].as_py()]
                 union = chunk[0][1] if len(chunk) == 1 else np.unique(
                     np.concatenate([t for _, t in chunk]))
@@ -384,12 +431,13 @@ def jaccard_components(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    found = stored(cases.mapInArrow(open_groups, "a binary, b binary"), "links-of-sets")
+    found = stored(
+        cases.mapInArrow(open_groups, "a binary, b binary").distinct(), "links-of-sets")
 
     # 5. components of sets, then the least id of each
     edges = found.union(star.select("set_id", "centre"))
     root = components(edges)
-    of_set = grouped.select("set_id", "rep").join(root, F.col("set_id") == F.col("node"), "left"
+    of_set = named.select("set_id", "rep").join(root, F.col("set_id") == F.col("node"), "left"
                                                   ).select(
         "set_id", "rep", F.coalesce("root", "set_id").alias("root"))
     best = of_set.groupBy("root").agg(F.min("rep").alias("component_id"))
