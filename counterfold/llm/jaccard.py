@@ -14,7 +14,9 @@ have a chance below one in a hundred million to share one by accident.
    so common passages hardly ever stand in a prefix.
 4. A set that meets a chunk of another group in the matrix is a query.  Its overlap with
    the union of all the chunk's tokens bounds that with each member; only chunks whose
-   bound allows a link are opened and compared member by member, exactly.
+   bound allows a link are opened and compared member by member, exactly.  A coarser bound
+   goes first, as it needs few bytes: tokens are counted in ``CELLS`` cells, and an overlap
+   is at most the sum of the lesser counts.
 5. Links between groups, and with the first sets, make the components.
 
 Nothing is collected but one number per power of two and a bitmap of fixed size.
@@ -37,6 +39,7 @@ from counterfold.llm.common import byte_texts, parts, ship, shuffle_width, store
 
 BITS = 23  # of the bitmaps that tell common tokens, and wanted sets: one megabyte
 CHUNK = 64  # sets of a group compared in one task
+CELLS = 512
 SEED = 20_011
 
 
@@ -129,6 +132,20 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def cells(tokens: np.ndarray) -> bytes:
+    """Tokens counted by cell; 255 stands for any higher count."""
+    at = (tokens >> np.uint64(8)).astype(np.int64) % CELLS
+    return np.minimum(np.bincount(at, minlength=CELLS), 255).astype(np.uint8).tobytes()
+
+
+def may_link(n: int, mine: bytes, others: list[bytes], percent: int) -> bool:
+    a = np.frombuffer(mine, np.uint8)
+    b = np.frombuffer(b"".join(others), np.uint8).reshape(-1, CELLS)
+    both = np.minimum(a, b).astype(np.int64)
+    both[(a == 255) & (b == 255)] = n
+    return bool((both.sum(1) >= _need(n, percent)).any())
+
+
 def token_sets(docs: DataFrame, size: int) -> DataFrame:
     """``doc_id, n, set_id, group_key, tokens`` per document; ``tokens``: see ``packed``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -398,16 +415,47 @@ def jaccard_components(
         .select(F.col("q.short").alias("short"), F.col("m.g").alias("g"),
                 F.col("m.chunk").alias("chunk")).distinct(), "candidates")
 
-    # 4. bound and open: candidates with the tokens of the query and of the chunk
-    chunks = asked.select("g", "chunk").distinct()
-    in_play = stored(named.join(asked.select("short").distinct(), "short", "left_semi").unionByName(
-        named.join(chunks, ["g", "chunk"], "left_semi")
-    ).distinct().select("rep", "set_id", "short", "g", "chunk"), "in-play")
-    held = of_wanted(sets.select("doc_id", "n", "set_id", "tokens"), in_play)
-    queries = held.join(in_play, "set_id").where("doc_id = rep").select(
+    # 4. bound by cells, then bound by tokens and open
+    def in_play(asked):
+        chunks = asked.select("g", "chunk").distinct()
+        found = named.join(asked.select("short").distinct(), "short", "left_semi").unionByName(
+            named.join(chunks, ["g", "chunk"], "left_semi"))
+        return stored(found.distinct().select("rep", "set_id", "short", "n", "g", "chunk"),
+                      "in-play")
+
+    def counted(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1),
+                 pa.array([cells(unpacked(t)) for t in batch.column(2).to_pylist()], pa.binary())],
+                ["doc_id", "set_id", "cells"])
+
+    def within_bound(batches):
+        for batch in batches:
+            n, mine, others = (batch.column(c).to_pylist() for c in (3, 4, 5))
+            stay = [may_link(*x, percent) for x in zip(n, mine, others)]
+            yield batch.select(["short", "g", "chunk"]).filter(pa.array(stay, pa.bool_()))
+
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    players = in_play(asked)
+    sketch = of_wanted(sets.select("doc_id", "set_id", "n", "tokens"), players).select(
+        "doc_id", "set_id", "tokens").mapInArrow(
+        counted, f"doc_id {kind}, set_id binary, cells binary")
+    sketch = stored(sketch.join(players, "set_id").where("doc_id = rep").select(
+        "short", "set_id", "n", "g", "chunk", "cells").dropDuplicates(["set_id"]), "cells")
+    of_chunk = sketch.groupBy("g", "chunk").agg(F.collect_list("cells").alias("others"))
+    asked = stored(
+        asked.join(sketch.select("short", "n", F.col("cells").alias("mine")), "short")
+        .join(of_chunk, ["g", "chunk"]).select("short", "g", "chunk", "n", "mine", "others")
+        .mapInArrow(within_bound, "short long, g long, chunk int").distinct(), "bounded")
+
+    players = in_play(asked)
+    held = of_wanted(sets.select("doc_id", "n", "set_id", "tokens"), players).drop("n")
+    queries = held.join(players, "set_id").where("doc_id = rep").select(
         "short", F.col("set_id").alias("query"), "tokens").join(asked, "short")
-    packs = held.join(in_play.join(chunks, ["g", "chunk"], "left_semi"), "set_id").where(
-        "doc_id = rep").dropDuplicates(["set_id"]).groupBy("g", "chunk").agg(
+    packs = held.join(
+        players.join(asked.select("g", "chunk").distinct(), ["g", "chunk"], "left_semi"), "set_id"
+    ).where("doc_id = rep").dropDuplicates(["set_id"]).groupBy("g", "chunk").agg(
         F.collect_list(F.struct("set_id", "tokens")).alias("members"))  # about CHUNK at most
     cases = queries.join(packs, ["g", "chunk"]).select("query", "tokens", "members")
 
