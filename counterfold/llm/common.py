@@ -20,10 +20,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 _shipped: set[str] = set()
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give the package to the executors, once per application; returns the session."""
+    """Give the package to the executors, once per application; returns the session.
+
+    Also lets Arrow batches of the session hold 8 MB at most, so that rows of many kilobytes
+    do not fill a worker's memory.
+    """
+    limit = str(spark.conf.get(BATCH_SETTING, "") or "").rstrip("b")
+    if not limit.isdigit() or int(limit) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[1]
