@@ -29,8 +29,7 @@ def ship(spark: SparkSession) -> SparkSession:
     Also lets Arrow batches of the session hold 8 MB at most, so that rows of many kilobytes
     do not fill a worker's memory.
     """
-    limit = str(spark.conf.get(BATCH_SETTING, "") or "").rstrip("b")
-    if not limit.isdigit() or int(limit) > BATCH_BYTES:
+    if spark.conf.get(BATCH_SETTING) == "67108864b":  # its default
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
