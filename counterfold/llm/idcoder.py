@@ -248,7 +248,7 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
                 break
             l, h = lo_[at], hi_[at]
             h = np.where(settled[at], h, (~l + np.uint64(1)) & (LOW - np.uint64(1)))
-            co_[at] = (co_[at] << np.uint64(16)) | words[at, used[at]]
+            co_[at] = (co_[at] << np.uint64(16)) | words[at, np.minimum(used[at], most - 1)]
             used[at] += 1
             lo_[at], hi_[at] = l << np.uint64(16), h << np.uint64(16)
     plain: list[np.ndarray] = [ids[:0, 0]] * n
