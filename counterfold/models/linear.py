@@ -241,10 +241,12 @@ class Logistic(Model):
         rows = _logistic_rows(frame, columns, means, sds, fold).persist()
         left_out = [-1, *(frame.fold_numbers() if fold else [])]
         try:
-            betas, _, _ = logistic_path(
+            betas, _, converged = logistic_path(
                 rows, len(columns) + 1, [(k, 0.0, self.penalty) for k in left_out],
                 self.intercept, classes,
             )
+            if not all(converged):
+                raise FitFailed(f"the logistic fit of {frame.target} did not converge")
         except ValueError as e:
             raise FitFailed(str(e)) from None
         finally:

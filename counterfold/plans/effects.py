@@ -192,9 +192,12 @@ def estimate(
             e.shift = ose / total
             if e.kind == "tmle" and not e.binary:
                 e.eps = num / den if den else 0.0
-    _logistic_fluctuations(df, [
+    unfinished = _logistic_fluctuations(df, [
         e for e, p in zip(effects, problems) if p is None and e.kind == "tmle" and e.binary
     ])
+    for i, e in enumerate(effects):
+        if any(e is u for u in unfinished):
+            problems[i] = "the fluctuation did not converge"
     live = [i for i, p in enumerate(problems) if p is None]
     second: list[str] = []
     for i in live:
@@ -243,12 +246,15 @@ def estimate(
     return answers, cov
 
 
-def _logistic_fluctuations(df: DataFrame, effects: Sequence[Effect]) -> None:
-    """One-coefficient logistic fits with an offset, all by Newton steps together."""
+def _logistic_fluctuations(df: DataFrame, effects: Sequence[Effect]) -> list[Effect]:
+    """One-coefficient logistic fits with an offset, all by Newton steps together.
+
+    Returns the effects that still moved after the last pass.
+    """
     live = list(effects)
     for _ in range(FLUCTUATION_PASSES):
         if not live:
-            return
+            return []
         columns = []
         for e in live:
             x, w = e.covariate_and_weight()
@@ -266,3 +272,4 @@ def _logistic_fluctuations(df: DataFrame, effects: Sequence[Effect]) -> None:
             if abs(step) > 1e-10 * (1.0 + abs(e.eps)):
                 still.append(e)
         live = still
+    return live

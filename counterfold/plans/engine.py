@@ -302,7 +302,8 @@ class Engine:
         depth = max([m.depth for m in models], default=0) + (1 if crossed else 0)
         folds: tuple[str, ...] = ()
         if depth:
-            features = sorted(treatments_of([e for _, e in group.members]))
+            # of the whole run, not of the batch: folds do not depend on what is answered together
+            features = sorted(treatments_of(self.estimands) & set(group.variables))
             outcome = group.outcomes[0] if len(group.outcomes) == 1 else None
             binary = outcome is not None and self.kinds[outcome].binary
             rows, folds = self._with_fold_columns(

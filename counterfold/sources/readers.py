@@ -53,11 +53,9 @@ def _plain(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def read_arrow(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Arrow IPC files, one task per file: a table of many files is read in parallel.
-    The schema comes from the first file unless it is given."""
-    reader = spark.read.format("binaryFile")
-    if not path.endswith(".arrow"):
-        reader = reader.option("pathGlobFilter", "*.arrow")
-    files = reader.load(path)
+    In a folder every file but ``.csv`` is one, whatever its extension.  The schema comes
+    from the first file unless it is given."""
+    files = spark.read.format("binaryFile").load(path).where(~F.col("path").endswith(".csv"))
     if schema is None:
 
         def first_schema(batches):
