@@ -5,19 +5,21 @@ have a chance below one in a hundred million to share one by accident.
 
 1. Every document becomes its sorted set of tokens.  Equal sets are one *set* from then on.
 2. Similar sets are partitioned into *groups*: sets with the same two least tokens (under
-   two orders) are compared with the first of them, and those that link to it form a
-   group.  A group is linked as a whole; all other sets are groups of one.  Large
-   groups are cut into chunks.
+   two orders) are cut into chunks by hash, and each chunk is compared within itself
+   and with a few *centres* that all chunks of the key share.  Sets that links join form
+   a group, linked as a whole, named by its centre, so it may have many chunks.  Sets of a
+   chunk that link nothing there but are similar to others of it form a *loose* group.  All
+   other sets are groups of one.
 3. The matrix has a row (token, chunk) for each token of the union of a chunk's prefixes.  A
    prefix is so long that two sets that link must share a token in both prefixes, under any
    order of tokens that is the same for all.  The order puts tokens of many documents last,
    so common passages hardly ever stand in a prefix.
-4. A set that meets a chunk of another group in the matrix is a query.  Its overlap with
+4. A set that meets a chunk of a larger group in the matrix is a query.  Its overlap with
    the union of all the chunk's tokens bounds that with each member; only chunks whose
    bound allows a link are opened and compared member by member, exactly.  A coarser bound
-   goes first, as it needs few bytes: tokens are counted in ``CELLS`` cells, and an overlap
-   is at most the sum of the lesser counts.
-5. Links between groups, and with the first sets, make the components.
+   goes first, as it needs few bytes: tokens are counted in ``CELLS`` cells (a chunk has the
+   most of its members), and an overlap is at most the sum of the lesser counts.
+5. Links between groups, and inside them, make the components.
 
 Nothing is collected but one number per power of two and a bitmap of fixed size.
 """
@@ -38,7 +40,9 @@ from pyspark.sql.window import Window
 from counterfold.llm.common import byte_texts, parts, ship, shuffle_width, stored
 
 BITS = 23  # of the bitmaps that tell common tokens, and wanted sets: one megabyte
-CHUNK = 64  # sets of a group compared in one task
+CHUNK = 256  # sets compared with each other at once, and the queries a chunk gets at once
+CHUNK_TOKENS = 400_000  # of a chunk, where it has two sets or more
+CENTRES = 16
 CELLS = 512
 SEED = 20_011
 
@@ -125,25 +129,76 @@ def _need(n, percent: int):
     return -(-n * percent // 100)
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if _need(max(len(a), len(b)), percent) > min(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
-
-
 def cells(tokens: np.ndarray) -> bytes:
     """Tokens counted by cell; 255 stands for any higher count."""
     at = (tokens >> np.uint64(8)).astype(np.int64) % CELLS
     return np.minimum(np.bincount(at, minlength=CELLS), 255).astype(np.uint8).tobytes()
 
 
-def may_link(n: int, mine: bytes, others: list[bytes], percent: int) -> bool:
-    a = np.frombuffer(mine, np.uint8)
-    b = np.frombuffer(b"".join(others), np.uint8).reshape(-1, CELLS)
+def may_link(n: int, mine: bytes, most: bytes, percent: int) -> bool:
+    """Whether a set of ``n`` tokens may link to one whose cells are ``most`` at most."""
+    a, b = np.frombuffer(mine, np.uint8), np.frombuffer(most, np.uint8)
     both = np.minimum(a, b).astype(np.int64)
     both[(a == 255) & (b == 255)] = n
-    return bool((both.sum(1) >= _need(n, percent)).any())
+    return bool(both.sum() >= _need(n, percent))
+
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of sets ``a`` with sets ``b``, by products of blocks."""
+    if len(a) == len(b) == 1:
+        return np.array([[len(np.intersect1d(a[0], b[0], assume_unique=True))]])
+
+    def places(sets, among):
+        tokens = np.concatenate(sets)
+        row = np.repeat(np.arange(len(sets)), [len(t) for t in sets])
+        at = np.minimum(np.searchsorted(among, tokens), max(len(among) - 1, 0))
+        hit = among[at] == tokens if len(among) else np.zeros(len(tokens), bool)
+        order = np.argsort(at[hit], kind="stable")
+        return row[hit][order], at[hit][order]
+
+    if a is b:  # a token of one set alone adds nothing but to the diagonal
+        token, count = np.unique(np.concatenate(a), return_counts=True)
+        among = token[count > 1]
+    else:
+        among = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    (row_a, at_a), (row_b, at_b) = places(a, among), places(b, among)
+    both = np.zeros((len(a), len(b)))
+    for start in range(0, len(among), width):
+        blocks = []
+        for size, row, at in ((len(a), row_a, at_a), (len(b), row_b, at_b)):
+            lo, hi = np.searchsorted(at, [start, start + width])
+            block = np.zeros((size, min(width, len(among) - start)), np.float32)
+            block[row[lo:hi], at[lo:hi] - start] = 1
+            blocks.append(block)
+        both += blocks[0] @ blocks[1].T
+    return both.astype(np.int64)
+
+
+def cluster(names: list[bytes], sets: list[np.ndarray], is_centre: list[bool], percent: int):
+    """For sets of one chunk, each in one place: the root of its links, and whether it is loose.
+
+    The root is the least centre that links reach inside the chunk, or else the least name.
+    """
+    n = np.array([len(t) for t in sets])
+    both = overlaps(sets, sets)
+    union = n[:, None] + n[None, :] - both
+    np.fill_diagonal(both, 0)
+    joined = 100 * both >= percent * union
+    label = np.arange(len(sets))
+    while True:  # labels go to neighbours, then to the label's own label
+        near = np.where(joined, label[None, :], len(sets)).min(1, initial=len(sets))
+        step = np.minimum(label, near)
+        step = step[step]
+        if (step == label).all():
+            break
+        label = step
+    best: dict[int, tuple] = {}
+    for i, of in enumerate(label):
+        mine = (not is_centre[i], names[i])
+        best[of] = min(best.get(of, mine), mine)
+    alone = ~joined.any(1)
+    loose = alone & (200 * both >= percent * union).any(1)
+    return [best[of][1] for of in label], loose
 
 
 def token_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -249,10 +304,11 @@ def _bit(column: str):
     return F.pmod(F.xxhash64(column), F.lit(1 << BITS)).alias("bit")
 
 
-def of_wanted(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+def of_wanted(sets: DataFrame, wanted: DataFrame, any_row: bool = False) -> DataFrame:
     """Rows of ``sets`` whose ``doc_id`` may be a ``rep`` of ``wanted``: all that are, few more.
 
     A bitmap of fixed size thins out the rows before they are shuffled for an exact join.
+    ``any_row``: one row of a set is enough, whichever; so a batch keeps one of each.
     """
     held = sets.sparkSession.sparkContext.broadcast(bitmap(wanted.select(_bit("rep"))))
 
@@ -260,7 +316,13 @@ def of_wanted(sets: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             bit = np.asarray(batch.column(batch.num_columns - 1))
             hit = (held.value[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1
-            yield batch.filter(pa.array(hit == 1))
+            batch = batch.filter(pa.array(hit == 1))
+            if any_row:
+                seen = set()
+                batch = batch.filter(pa.array(
+                    [not (x in seen or seen.add(x)) for x in batch.column("set_id").to_pylist()],
+                    pa.bool_()))
+            yield batch
 
     rows = sets.where("n > 0").withColumn("bit", _bit("doc_id"))
     return rows.mapInArrow(thin, rows.schema).drop("bit")
@@ -346,34 +408,60 @@ def jaccard_components(
         sets.where("n > 0").groupBy("set_id", "group_key", "n").agg(F.min("doc_id").alias("rep"))
         .withColumn("short", short), "sets")
 
-    # 2. sets of a key are compared with the first of it, which is joined to them
-    twins = small.groupBy("group_key").agg(
-        F.count("*").alias("sets"), F.min("set_id").alias("centre")).where("sets > 1")
+    # 2. sets of a key are compared inside chunks, and with the centres of the key
+    centres_of = small.groupBy(
+        "group_key", F.pmod(F.xxhash64("set_id"), F.lit(CENTRES)).alias("bin")).agg(
+        F.count("*").alias("sets"), F.sum("n").alias("tokens"), F.min("set_id").alias("centre"))
+    twins = stored(
+        centres_of.groupBy("group_key").agg(
+            F.sum("sets").alias("sets"), F.sum("tokens").alias("tokens"),
+            F.sort_array(F.collect_list("centre")).alias("centres"))  # CENTRES at most
+        .where("sets > 1")
+        .withColumn("chunks", F.ceil(F.greatest(
+            F.col("sets") / CHUNK, F.col("tokens") / CHUNK_TOKENS)).cast("int"))
+        .withColumn("centres", F.expr(
+            "slice(centres, 1, greatest(1, CAST(sets / chunks / 4 AS INT)))")), "twins")
+    large = twins.where("chunks > 1").select("group_key", "chunks", "centres")
     keyed = of_wanted(
         sets.select("doc_id", "n", "set_id", "group_key", "tokens"),
-        small.join(twins, "group_key", "left_semi"))
-    centres = keyed.join(twins, "group_key").where("set_id = centre").select(
-        "group_key", "centre", F.col("tokens").alias("centre_tokens")).dropDuplicates(["group_key"])
-
-    def compare(batches):
-        for batch in batches:
-            a, b = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            stay = [linked(unpacked(x), unpacked(y), percent) for x, y in zip(a, b)]
-            yield pa.RecordBatch.from_arrays(
-                [c.filter(pa.array(stay, pa.bool_())) for c in (batch.column(0), batch.column(3))],
-                ["set_id", "centre"])
-
-    star = keyed.join(centres, "group_key").select("set_id", "tokens", "centre_tokens", "centre")
-    star = stored(
-        star.mapInArrow(compare, "set_id binary, centre binary").distinct(), "groups")
-    members = star.groupBy("centre").count().withColumnRenamed("count", "members")
-    chunk = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("members") / CHUNK)).cast("int")
+        small.join(twins, "group_key", "left_semi"), any_row=True)
+    few = large.count() <= 20_000  # of some 300 bytes each
+    own = F.pmod(F.xxhash64("set_id"), F.coalesce("chunks", F.lit(1))).cast("int")
+    spread = F.when(F.array_contains("centres", F.col("set_id")),
+                    F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))
+    dealt = keyed.join(F.broadcast(large) if few else large, "group_key", "left").withColumn(
+        "own", own).select(
+        "group_key", "set_id", "tokens", "own",
+        F.coalesce(F.array_contains("centres", F.col("set_id")), F.lit(False)).alias("is_centre"),
+        F.explode(spread).alias("chunk"))
+
+    def clustered(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("set_id").sort_values("set_id")
+        root, loose = cluster(
+            list(pdf["set_id"]), [unpacked(t) for t in pdf["tokens"]],
+            list(pdf["is_centre"]), percent)
+        return pd.DataFrame({
+            "set_id": pdf["set_id"], "root": root, "loose": loose,
+            "is_own": pdf["own"] == pdf["chunk"], "group_key": pdf["group_key"],
+            "chunk": pdf["chunk"]})
+
+    placed = stored(
+        dealt.groupBy("group_key", "chunk").applyInPandas(
+            clustered, "set_id binary, root binary, loose boolean, is_own boolean, "
+            "group_key long, chunk int").where("root <> set_id OR is_own"), "groups")
+    inside = placed.where("root <> set_id").select("set_id", F.col("root").alias("centre"))
+    g = F.when(F.col("loose"), F.xxhash64("group_key", "chunk", F.lit("loose"))).otherwise(
+        F.xxhash64("root"))
+    groups = placed.where("is_own").select(
+        "set_id", g.alias("g"), "loose",
+        F.when(F.col("loose"), 0).otherwise(F.col("chunk")).alias("chunk"))
+    members = groups.groupBy("g").count().withColumnRenamed("count", "members")
     named = stored(
-        small.join(star.join(members, "centre").select("set_id", "centre", chunk.alias("chunk")),
-                   "set_id", "left")
-        .select("set_id", "rep", "short", "n", F.coalesce("centre", "set_id").alias("group"),
-                F.xxhash64(F.coalesce("centre", "set_id")).alias("g"),
-                F.coalesce("chunk", F.lit(0)).alias("chunk")), "named-sets")
+        small.join(groups.join(members, "g"), "set_id", "left")
+        .select("set_id", "rep", "short", "n", F.coalesce("g", F.xxhash64("set_id")).alias("g"),
+                F.coalesce("chunk", F.lit(0)).alias("chunk"),
+                F.coalesce("members", F.lit(1)).alias("members"),
+                F.coalesce("loose", F.lit(False)).alias("loose")), "named-sets")
 
     # 3. the matrix, from the prefixes of all sets
     def prefixes(batches):
@@ -400,18 +488,20 @@ def jaccard_components(
         "token", "short", F.lag("short").over(ordered).alias("before"),
         F.first("short").over(every).alias("lo"), F.last("short").over(every).alias("hi")
     ).where("lo <> hi AND (before IS NULL OR before <> short)").select("token", "short")
-    rows = stored(met.join(named.select("short", "g", "chunk", "n"), "short"), "prefixes")
+    rows = stored(met.join(named.select("short", "g", "chunk", "members", "n"), "short"), "prefixes")
     across = rows.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where(
         "lo <> hi").select("token")
     rows = stored(rows.join(across, "token", "left_semi"), "matrix-rows")
-    matrix = rows.groupBy("token", "g", "chunk").agg(
+    matrix = rows.groupBy("token", "g", "chunk", "members").agg(
         F.min("n").alias("least"), F.max("n").alias("most"))
     q, m = rows.alias("q"), matrix.alias("m")
     fits = (F.col("q.n") * 100 >= F.col("m.least") * percent) & (
         F.col("m.most") * 100 >= F.col("q.n") * percent)
-    # each pair of groups meets once: the sets of the lower group ask
+    # each pair of groups meets once: the sets of the smaller group ask
+    smaller = (F.col("q.members") < F.col("m.members")) | (
+        (F.col("q.members") == F.col("m.members")) & (F.col("q.g") < F.col("m.g")))
     asked = stored(
-        q.join(m, (F.col("q.token") == F.col("m.token")) & (F.col("q.g") < F.col("m.g")) & fits)
+        q.join(m, (F.col("q.token") == F.col("m.token")) & smaller & fits)
         .select(F.col("q.short").alias("short"), F.col("m.g").alias("g"),
                 F.col("m.chunk").alias("chunk")).distinct(), "candidates")
 
@@ -420,7 +510,7 @@ def jaccard_components(
         chunks = asked.select("g", "chunk").distinct()
         found = named.join(asked.select("short").distinct(), "short", "left_semi").unionByName(
             named.join(chunks, ["g", "chunk"], "left_semi"))
-        return stored(found.distinct().select("rep", "set_id", "short", "n", "g", "chunk"),
+        return stored(found.distinct().select("rep", "set_id", "short", "n", "g", "chunk", "loose"),
                       "in-play")
 
     def counted(batches):
@@ -430,11 +520,15 @@ def jaccard_components(
                  pa.array([cells(unpacked(t)) for t in batch.column(2).to_pylist()], pa.binary())],
                 ["doc_id", "set_id", "cells"])
 
+    def most(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = np.frombuffer(b"".join(pdf["cells"]), np.uint8).reshape(-1, CELLS).max(0)
+        return pd.DataFrame({"g": [key[0]], "chunk": [key[1]], "most": [found.tobytes()]})
+
     def within_bound(batches):
         for batch in batches:
-            n, mine, others = (batch.column(c).to_pylist() for c in (3, 4, 5))
-            stay = [may_link(*x, percent) for x in zip(n, mine, others)]
-            yield batch.select(["short", "g", "chunk"]).filter(pa.array(stay, pa.bool_()))
+            n, mine, of_chunk = (batch.column(c).to_pylist() for c in (3, 4, 5))
+            stay = [may_link(*x, percent) for x in zip(n, mine, of_chunk)]
+            yield batch.select(["short", "g", "chunk", "n"]).filter(pa.array(stay, pa.bool_()))
 
     kind = sets.schema["doc_id"].dataType.simpleString()
     players = in_play(asked)
@@ -443,39 +537,57 @@ def jaccard_components(
         counted, f"doc_id {kind}, set_id binary, cells binary")
     sketch = stored(sketch.join(players, "set_id").where("doc_id = rep").select(
         "short", "set_id", "n", "g", "chunk", "cells").dropDuplicates(["set_id"]), "cells")
-    of_chunk = sketch.groupBy("g", "chunk").agg(F.collect_list("cells").alias("others"))
+    met = sketch.join(asked.select("g", "chunk").distinct(), ["g", "chunk"], "left_semi")
+    alone = met.groupBy("g", "chunk").agg(F.count("*").alias("sets"), F.max("cells").alias("most"))
+    of_chunk = alone.where("sets = 1").select("g", "chunk", "most").unionByName(
+        met.join(alone.where("sets > 1"), ["g", "chunk"], "left_semi")
+        .select("g", "chunk", "cells").groupBy("g", "chunk")  # about CHUNK at most
+        .applyInPandas(most, "g long, chunk int, most binary"))
     asked = stored(
         asked.join(sketch.select("short", "n", F.col("cells").alias("mine")), "short")
-        .join(of_chunk, ["g", "chunk"]).select("short", "g", "chunk", "n", "mine", "others")
-        .mapInArrow(within_bound, "short long, g long, chunk int").distinct(), "bounded")
+        .join(of_chunk, ["g", "chunk"]).select("short", "g", "chunk", "n", "mine", "most")
+        .mapInArrow(within_bound, "short long, g long, chunk int, n long").distinct(), "bounded")
 
     players = in_play(asked)
     held = of_wanted(sets.select("doc_id", "n", "set_id", "tokens"), players).drop("n")
-    queries = held.join(players, "set_id").where("doc_id = rep").select(
-        "short", F.col("set_id").alias("query"), "tokens").join(asked, "short")
+    # the queries of a chunk come in blocks that are bounded as the chunks are
+    sizes = asked.groupBy("g", "chunk").agg(F.ceil(F.greatest(
+        F.count("*") / CHUNK, F.sum("n") / CHUNK_TOKENS)).cast("int").alias("blocks"))
+    asked = asked.join(sizes, ["g", "chunk"]).select(
+        "short", "g", "chunk", F.pmod(F.xxhash64("short"), F.col("blocks")).alias("block"))
+    askers = players.select("set_id", "rep", "short").join(asked, "short")
+    queries = held.join(askers, "set_id").where("doc_id = rep").groupBy(
+        "g", "chunk", "block").agg(
+        F.collect_list(F.struct("set_id", "tokens")).alias("queries"))
     packs = held.join(
         players.join(asked.select("g", "chunk").distinct(), ["g", "chunk"], "left_semi"), "set_id"
     ).where("doc_id = rep").dropDuplicates(["set_id"]).groupBy("g", "chunk").agg(
-        F.collect_list(F.struct("set_id", "tokens")).alias("members"))  # about CHUNK at most
-    cases = queries.join(packs, ["g", "chunk"]).select("query", "tokens", "members")
+        F.collect_list(F.struct("set_id", "tokens")).alias("members"),
+        F.first("loose").alias("loose"))
+    cases = queries.join(packs, ["g", "chunk"]).select("queries", "members", "loose")
 
     def open_groups(batches):
         for batch in batches:
             a, b = [], []
             for row in range(batch.num_rows):
-                query = batch.column(0)[row].as_py()
-                mine = unpacked(batch.column(1)[row].as_py())
-                chunk = [(m["set_id"], unpacked(m["tokens"]))
-                         for m in batch.column(2)[row].as_py()]
+                asks, chunk = (  # a repeated row gives its set twice
+                    [(x, unpacked(t)) for x, t in
+                     {m["set_id"]: m["tokens"] for m in batch.column(c)[row].as_py()}.items()]
+                    for c in (0, 1))
                 union = chunk[0][1] if len(chunk) == 1 else np.unique(
                     np.concatenate([t for _, t in chunk]))
-                if len(np.intersect1d(mine, union, assume_unique=True)) < _need(len(mine), percent):
+                asks = [(name, t) for name, t in asks
+                        if np.isin(t, union).sum() >= _need(len(t), percent)]
+                if not asks:
                     continue
-                for other, tokens in chunk:
-                    if linked(mine, tokens, percent):
-                        a.append(query)
-                        b.append(other)
-                        break  # the members of a chunk are linked with each other
+                both = overlaps([t for _, t in asks], [t for _, t in chunk])
+                n, m = (np.array([len(t) for _, t in x]) for x in (asks, chunk))
+                hit = 100 * both >= percent * (n[:, None] + m[None, :] - both)
+                if not batch.column(2)[row].as_py():  # members are linked: one link does
+                    hit &= np.cumsum(hit, axis=1) == 1
+                for i, j in zip(*np.nonzero(hit)):
+                    a.append(asks[i][0])
+                    b.append(chunk[j][0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
@@ -483,7 +595,7 @@ def jaccard_components(
         cases.mapInArrow(open_groups, "a binary, b binary").distinct(), "links-of-sets")
 
     # 5. components of sets, then the least id of each
-    edges = found.union(star.select("set_id", "centre"))
+    edges = found.union(inside)
     root = components(edges)
     of_set = named.select("set_id", "rep").join(root, F.col("set_id") == F.col("node"), "left"
                                                   ).select(

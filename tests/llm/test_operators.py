@@ -178,6 +178,36 @@ def test_jaccard_components(spark, empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_jaccard_of_one_large_group_in_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 8)
+    r, rows = random.Random(11), []
+    vocabulary = [f"w{i}" for i in range(4000)]
+    base = r.choices(vocabulary, k=150)
+    for _ in range(160):  # many pairs are a little above the limit, many a little below
+        copy = list(base)
+        for _ in range(r.choice([1, 2, 3, 4, 6, 8])):
+            copy[r.randrange(len(copy))] = r.choice(vocabulary)
+        rows.append((len(rows), " ".join(copy)))
+    r.shuffle(rows)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(
+        table(spark, rows), size=4, percent=85).collect()}
+    want = brute_components(rows, 4, 85)
+    assert found == want
+    assert len({c for _, c in want.values()}) > 3
+
+
+def test_overlaps_of_sets():
+    r = np.random.default_rng(2)
+    some = lambda n: np.unique(r.integers(0, 300, n).astype(np.uint64))
+    a, b = [some(n) for n in (1, 40, 90, 7)], [some(n) for n in (60, 3)]
+    for x, y in ((a, b), (a, a), (a[:1], b[:1])):
+        want = [[len(np.intersect1d(s, t)) for t in y] for s in x]
+        got = jaccard.overlaps(x, y, width=16)
+        same = x is y  # a set's overlap with itself is not asked for
+        assert all(got[i, j] == want[i][j] for i in range(len(x)) for j in range(len(y))
+                   if not (same and i == j))
+
+
 def test_keep_first_keeps_one_row_a_group(spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = table(spark, [(5, text), (4, text), (4, text), (9, text + " more"), (7, "other words")])
