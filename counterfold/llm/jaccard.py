@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from counterfold.llm.common import byte_texts, parts, ship, shuffle_width, stored
+from counterfold.llm.common import byte_texts, give_back, parts, ship, shuffle_width, stored
 
 BITS = 23  # of the bitmaps that tell common tokens, and wanted sets: one megabyte
 CHUNK = 256  # sets compared with each other at once, and the queries a chunk gets at once
@@ -129,6 +129,12 @@ def _need(n, percent: int):
     return -(-n * percent // 100)
 
 
+def _met(tokens: np.ndarray, union: np.ndarray) -> int:
+    """How many of the tokens are in the sorted union."""
+    at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
+    return int((union[at] == tokens).sum())
+
+
 def cells(tokens: np.ndarray) -> bytes:
     """Tokens counted by cell; 255 stands for any higher count."""
     at = (tokens >> np.uint64(8)).astype(np.int64) % CELLS
@@ -221,6 +227,7 @@ def token_sets(docs: DataFrame, size: int) -> DataFrame:
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(name, pa.binary()),
                  pa.array(key, pa.int64()), pa.array(blob, pa.binary())],
                 ["doc_id", "n", "set_id", "group_key", "tokens"])
+        give_back()
 
     return docs.selectExpr("doc_id", "CAST(text AS STRING) AS text").mapInArrow(
         rows, f"doc_id {kind}, n long, set_id binary, group_key long, tokens binary")
@@ -259,11 +266,12 @@ def common_tokens(sets: DataFrame, least: int) -> np.ndarray:
                 t = (unpacked(raw) >> np.uint64(16)).astype(np.uint32)
                 held.append(t)
                 size += len(t)
-                if size > 8_000_000:
+                if size > 4_000_000:
                     yield from send()
                     held, size = [], 0
         if held:
             yield from send()
+        give_back()
 
     def often(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         tokens = [_widened(t) for t in pdf["token"]]
@@ -323,6 +331,7 @@ def of_wanted(sets: DataFrame, wanted: DataFrame, any_row: bool = False) -> Data
                     [not (x in seen or seen.add(x)) for x in batch.column("set_id").to_pylist()],
                     pa.bool_()))
             yield batch
+        give_back()
 
     rows = sets.where("n > 0").withColumn("bit", _bit("doc_id"))
     return rows.mapInArrow(thin, rows.schema).drop("bit")
@@ -556,7 +565,9 @@ def jaccard_components(
     asked = asked.join(sizes, ["g", "chunk"]).select(
         "short", "g", "chunk", F.pmod(F.xxhash64("short"), F.col("blocks")).alias("block"))
     askers = players.select("set_id", "rep", "short").join(asked, "short")
-    queries = held.join(askers, "set_id").where("doc_id = rep").groupBy(
+    # dealt as the chunks are, so that neither the blocks nor the join move the tokens again
+    queries = held.join(askers, "set_id").where("doc_id = rep").select(
+        "g", "chunk", "block", "set_id", "tokens").repartition("g", "chunk").groupBy(
         "g", "chunk", "block").agg(
         F.collect_list(F.struct("set_id", "tokens")).alias("queries"))
     packs = held.join(
@@ -577,7 +588,7 @@ def jaccard_components(
                 union = chunk[0][1] if len(chunk) == 1 else np.unique(
                     np.concatenate([t for _, t in chunk]))
                 asks = [(name, t) for name, t in asks
-                        if np.isin(t, union).sum() >= _need(len(t), percent)]
+                        if _met(t, union) >= _need(len(t), percent)]
                 if not asks:
                     continue
                 both = overlaps([t for _, t in asks], [t for _, t in chunk])
@@ -590,6 +601,7 @@ def jaccard_components(
                     b.append(chunk[j][0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        give_back()
 
     found = stored(
         cases.mapInArrow(open_groups, "a binary, b binary").distinct(), "links-of-sets")
