@@ -6,14 +6,16 @@ method turns the probabilities of a block of documents into decisions without mo
 totals, that of words and that of documents: it walks along directions that both
 constraints leave free (their null space) until a probability is 0 or 1, and does so
 again.  At most two documents of a block stay undecided.  Those of all blocks form new
-blocks, until a source has one block.  There a few documents of all lengths are left out of
-the flight, and the landing problem of these and the undecided two is solved outright:
-of all decisions, the one whose words, then documents, miss the totals least.
+blocks, until a source has one block; how many it has depends on its own size only.  A few
+documents of all lengths are left out of the flights before, and the landing problem of these
+and the undecided two is solved outright: of all decisions, the one whose words, then
+documents, miss the totals least.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -70,18 +72,24 @@ def _free_direction(a: float, b: float, c: float) -> tuple[float, float, float]:
     return (b - c) / top, (c - a) / top, (a - b) / top
 
 
+def spared(sizes: list[float], chances: list[float], draw, slots) -> list[float]:
+    """``flight`` without the undecided documents at these of LANDING places by length."""
+    done = list(chances)
+    by_size = sorted((i for i, c in enumerate(done) if 0.0 < c < 1.0), key=lambda i: (sizes[i], i))
+    if len(by_size) <= len(slots):
+        return done
+    steps = np.linspace(0, len(by_size) - 1, LANDING).astype(int)
+    out = {by_size[steps[i]] for i in slots}
+    flown = sorted(i for i in by_size if i not in out)
+    for i, c in zip(flown, flight([sizes[i] for i in flown], [done[i] for i in flown], draw)):
+        done[i] = c
+    return done
+
+
 def landing(sizes: list[float], chances: list[float], draw) -> list[float]:
     """All chances moved to 0 or 1, both totals nearly kept."""
-    done = list(chances)
+    done = spared(sizes, chances, draw, range(LANDING))
     open_ = [i for i, c in enumerate(done) if 0.0 < c < 1.0]
-    if len(open_) > LANDING:
-        by_size = sorted(open_, key=lambda i: (sizes[i], i))
-        steps = np.linspace(0, len(by_size) - 1, LANDING).astype(int)
-        out = {by_size[i] for i in steps}
-        flown = [i for i in open_ if i not in out]
-        for i, c in zip(flown, flight([sizes[i] for i in flown], [done[i] for i in flown], draw)):
-            done[i] = c
-        open_ = [i for i in open_ if 0.0 < done[i] < 1.0]
     if open_:
         ways = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
         miss = ways - np.array([done[i] for i in open_])
@@ -160,32 +168,39 @@ def mix_sources(
               "target double, times long, chance double, copy int")
 
     def fly(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        move = landing if key[-1] else flight
+        (_, at, level, alone), n = key, int(pdf.n_docs.iloc[0])
+        slots: range = range(0)
+        if n <= most_docs(level + 1):  # the next level lands what this one spares
+            slots = range(int(at), LANDING, math.ceil(n / most_docs(level)))
         pdf = pdf.assign(order=pdf.doc_id.astype(str)).sort_values(
             ["order", "size", "copy"], kind="stable").drop(columns="order")
         name = [str(k) for k in key]
         draws = iter(range(1 << 62))
-        pdf["chance"] = move(
-            pdf["size"].astype(float).tolist(), pdf["chance"].tolist(),
-            lambda: _chance(seed, *name, next(draws)))
+        given = (pdf["size"].astype(float).tolist(), pdf["chance"].tolist(),
+                 lambda: _chance(seed, *name, next(draws)))
+        pdf["chance"] = landing(*given) if alone else spared(*given, slots)
         return pdf[[c.split()[0] for c in schema.split(", ")]]
 
-    decided, left, level, n = None, rows, 0, largest
+    def most_docs(level: int) -> float:
+        """Documents of a source that has one block at the level."""
+        return float(block) * (block / 2) ** level
+
+    decided, left, level = None, rows, 0
     while True:
-        blocks = F.ceil(F.col("n_docs") / F.lit(float(block) * (block / 2) ** level))
+        blocks = F.ceil(F.col("n_docs") / F.lit(most_docs(level)))
         at = F.pmod(F.xxhash64("doc_id", "size", "copy", F.lit(seed + level)), F.greatest(
             blocks, F.lit(1)))
-        last = n <= block
+        alone = F.col("n_docs") <= F.lit(most_docs(level))
         flown = stored(
             left.groupBy("source", at.alias("block"), F.lit(level).alias("level"),
-                         F.lit(last).alias("last")).applyInPandas(fly, schema),
+                         alone.alias("last")).applyInPandas(fly, schema),
             f"flight-{level}")
         open_ = (F.col("chance") > 0) & (F.col("chance") < 1)
         settled = flown.where(~open_)
         decided = settled if decided is None else decided.unionByName(settled)
-        if last:
+        if largest <= most_docs(level):
             break
-        left, level, n = flown.where(open_), level + 1, n / (block / 2)
+        left, level = flown.where(open_), level + 1
     times = F.col("times") + F.col("chance").cast("long")
     return decided.select(
         "doc_id", "size", "source", "source_size", "target", (times * F.col("size")).alias("taken"),

@@ -236,6 +236,20 @@ def test_mixing(spark, docs, empty):
     assert repeated.columns == df.columns
 
 
+def test_mixing_of_a_source_does_not_depend_on_the_size_of_others(spark):
+    r = random.Random(8)
+    rows = [(k, "w " * r.randint(50, 500), f"s{k % 6}") for k in range(180)]
+    rows += [(k, "w " * r.randint(50, 500), "s6") for k in range(180, 240)]  # three blocks
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix_sources(df, block=25).toPandas()
+    assert len(found) == len(rows)
+    by = found.groupby("source").agg({"taken": "sum", "target": "first"})
+    assert (by.taken - by.target).abs().max() < 5  # words; a document has 275
+    small = mixing.mix_sources(df, block=40).toPandas()  # all but one source have one block
+    by = small.groupby("source").agg({"taken": "sum", "target": "first"})
+    assert (by.taken - by.target).abs().max() < 5
+
+
 def test_flight_keeps_totals():
     r = random.Random(1)
     sizes, chances = [r.randrange(1, 99) for _ in range(500)], [r.random() for _ in range(500)]
