@@ -130,6 +130,26 @@ def test_rules_base_counts(docs, empty):
     assert rules.judge(empty, none).count() == 0 and rules.keep_good(empty, none).count() == 0
 
 
+def test_rules_of_many_and_small_languages(spark):
+    r = random.Random(5)
+    rows = []
+    for k in range(72):  # each with words of its own
+        n = 19 if k > 69 else 20 + (k < 68)
+        own = [chr(97 + i % 26) + chr(97 + i // 26) + chr(0x4E00 + k) for i in range(30)]
+        rows += [(f"{k:02d}", " ".join(r.choices(own, k=200))) for _ in range(n)]
+    rows += [(None, rows[0][1]), ("01", "x" * 400 + " y z" * 99)]
+    df = spark.createDataFrame(
+        [(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    refs = rules.language_references(df)
+    assert len(refs.names) == 70
+    found = {x.doc_id: x for x in rules.judge(df, refs).collect()}
+    assert all(found[i].kept for i in range(len(rows) - 1))
+    assert not found[len(rows) - 1].kept
+    small = [i for i, (lang, _) in enumerate(rows) if lang in ("70", "71", None)]
+    assert all(found[i].word_distance is None for i in small)
+    assert rules.keep_good(df, refs).count() == len(rows) - 1
+
+
 def test_distance_of_histograms():
     p, q = np.array([2.0, 0, 2]), np.array([[0.5, 0, 0.5], [0, 1, 0]])
     assert np.allclose(rules.distance(p, q), [0, 1])
