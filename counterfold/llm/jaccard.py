@@ -619,17 +619,50 @@ def jaccard_components(
         F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _row_key():
+    """16 bytes that stand for an id and a text together."""
+    name, text = F.col("doc_id").cast("string"), F.col("text").cast("string")
+    return F.unhex(F.md5(F.concat(
+        F.coalesce(F.length(name), F.lit(-1)).cast("string"), F.lit(":"),
+        F.coalesce(name, F.lit("")), F.when(text.isNull(), "-").otherwise("+"),
+        F.coalesce(text, F.lit(""))).cast("binary")))
+
+
 def keep_first(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component of ``jaccard_components``: that of its least ``doc_id``.
+    """One row of each component that links make: that of its least ``doc_id``, null last.
 
-    Of several rows with that id the one with the least text stays.  Rows without shingles
-    link nothing and stay, one for each id; so do rows with a null id whose text nobody
-    else with an id has.
+    Of several rows with that id the one with the least text stays.  A row is linked by its
+    own text, whatever its id: rows that share an id, or have none, are told apart by their
+    texts.  Rows without shingles link nothing and stay, one for each id (null is one).
     """
-    found = jaccard_components(docs, size=size, percent=percent)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("kept_id")).distinct()
-    # the join and the choice of a row both keep to the ids: one shuffle of the texts
-    at = Window.partitionBy("doc_id").orderBy("text")
-    kept = docs.join(first, docs.doc_id.eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.withColumn("__row", F.row_number().over(at)).where("__row = 1").drop("__row")
+    keyed = docs.withColumn("__key", _row_key())
+    found = jaccard_components(
+        keyed.select(F.col("__key").alias("doc_id"), "text"), size=size, percent=percent)
+    linked = F.col("n_shingles") > 0
+    of_key = found.select(
+        F.col("doc_id").alias("__key"), linked.alias("linked"),
+        F.when(linked, F.col("component_id")).alias("component")).distinct()
+    rows = stored(
+        keyed.select("__key", "doc_id").distinct().join(of_key, "__key").select(
+            "__key", "component", F.when(~F.col("linked"), F.col("doc_id")).alias("alone"),
+            "doc_id"), "rows-of-components")
+    least = stored(
+        rows.groupBy("component", "alone", "doc_id").agg(
+            F.min("__key").alias("lo"), F.max("__key").alias("hi"))
+        .groupBy("component", "alone").agg(
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "lo", "hi")).alias("of"))
+        .select("component", "alone", "of.doc_id", "of.lo", "of.hi"), "least-ids")
+    kept = least.where("lo = hi").select(F.col("lo").alias("__key"))
+    # the texts of one id are looked at only where a component has several
+    tied = least.where("lo <> hi")
+    if tied.limit(1).count():
+        t = tied.select(*[F.col(c).alias(f"t_{c}") for c in ("component", "alone", "doc_id")])
+        same = [F.col(c).eqNullSafe(F.col(f"t_{c}")) for c in ("component", "alone", "doc_id")]
+        asked = rows.join(t, same[0] & same[1] & same[2], "left_semi").select(
+            "__key", "component", "alone")
+        first = keyed.select("__key", F.col("text").cast("string").alias("text")).join(
+            asked, "__key").groupBy("component", "alone").agg(
+            F.min(F.struct("text", "__key")).alias("first"))
+        kept = kept.unionByName(first.select("first.__key"))
+    # the join and the choice of a row both keep to the keys: one shuffle of the texts
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

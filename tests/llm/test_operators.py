@@ -234,6 +234,26 @@ def test_keep_first_keeps_one_row_a_group(spark):
     assert sorted(r.doc_id for r in jaccard.keep_first(rows).collect()) == [4, 7]
 
 
+def test_keep_first_tells_rows_without_or_with_shared_ids_apart(spark):
+    text = [" ".join(f"{v}{i}" for i in range(50)) for v in "abcdefgh"]
+    near = text[4] + " more"
+    rows = [
+        (1, text[0]), (None, text[0]),  # a copy of a document with an id
+        (None, text[1]), (None, text[1]), (None, text[2]), (None, text[4]), (None, near),
+        (2, text[3]), (2, text[0]), (2, text[5]), (2, text[5] + " more"),  # an old and two new
+        (3, ""), (3, None), (4, " "),
+    ]
+    kept = sorted((r.doc_id or 0, r.text or "") for r in
+                  jaccard.keep_first(table(spark, rows)).collect())
+    assert kept == sorted([
+        (1, text[0]), (0, text[1]), (0, text[2]), (0, text[4]), (2, text[3]), (2, text[5]),
+        (3, ""), (4, " ")])
+    # a null id without shingles, too
+    lost = table(spark, [(None, ""), (None, text[6]), (None, text[7]), (5, text[6])])
+    assert sorted((r.doc_id or 0, r.text) for r in jaccard.keep_first(lost).collect()) == [
+        (0, ""), (0, text[7]), (5, text[6])]
+
+
 def test_mixing(spark, docs, empty):
     rows = [(i, "w " * (i % 37 + 1)) for i in range(900)] + [(None, "a b"), (3, "w w w w"), (4, None)]
     df = table(spark, rows).withColumn("source", F.when(F.col("doc_id") < 500, "big").otherwise(
