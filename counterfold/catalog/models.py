@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from counterfold.catalog.tables import lineitem_cohort, orders_cohort, table
@@ -342,7 +340,7 @@ def _mean_prediction(fit, rows, requests):
 def gbt_counterfactual(spark, sf):
     rows = _tree_rows(spark, sf, "o_totalprice")
     f = frame(rows, "o_totalprice", TREE_PARENTS, "regression")
-    fit = Trees(rounds=5, max_depth=4).fit(f)
+    fit = Trees().fit(f)
     asked = [Request("urgent_true", {"urgent": True}), Request("urgent_false", {"urgent": False})]
     return _mean_prediction(fit, rows, asked)
 
@@ -351,7 +349,7 @@ def gbt_counterfactual(spark, sf):
 def gbt_classes(spark, sf):
     rows = _tree_rows(spark, sf, "o_orderstatus")
     f = frame(rows, "o_orderstatus", ["c_acctbal", "urgent"], "multi", y=F.lit(0.0))
-    fit = Trees(rounds=3, max_depth=3).fit(f)
+    fit = Trees().fit(f)
     return _mean_prediction(fit, rows, [Request(f"p_{v}", {}, v) for v in f.levels])
 
 
@@ -359,21 +357,19 @@ def gbt_classes(spark, sf):
 def gbt_tuned(spark, sf):
     rows = _tree_rows(spark, sf, "o_totalprice")
     f = frame(rows, "o_totalprice", TREE_PARENTS, "regression", by_key())
-    model = Tuned(Trees(rounds=3), max_depth=(2, 3), eta=(0.1, 0.3))
-    return _mean_prediction(model.fit(f), rows, [Request("prediction")])
+    return _mean_prediction(Tuned().fit(f), rows, [Request("prediction")])
 
 
 @query("gbt_grid")
 def gbt_grid(spark, sf):
-    """Every member of the super learner's grid, here with few rounds."""
+    """Every member of the super learner's grid."""
     rows = _tree_rows(spark, sf, "o_totalprice")
     f = frame(rows, "o_totalprice", ["c_acctbal", "urgent"], "regression")
     members = [(n, m) for n, m in model_named("SL", "regression", [], True).members
                if isinstance(m, Trees)]
     out, asked = rows, []
     for n, m in members:
-        fit = replace(m, rounds=2, max_depth=min(m.max_depth, 5)).fit(f)
-        out = fit.add(out, [Request(n)])
+        out = m.fit(f).add(out, [Request(n)])
         asked.append(n)
     return out.agg(*[F.round(F.avg(n), 3).alias(n) for n in asked])
 

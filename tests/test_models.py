@@ -126,6 +126,27 @@ def test_cells_give_the_same_fit_as_rows(data):
     assert np.allclose([a.intercept, *a.coefs], [b.intercept, *b.coefs], atol=1e-8)
 
 
+def _models_fitted(monkeypatch, spark, kind, *names):
+    """The models of a kind that the queries fit; means stand in for their fits."""
+    from counterfold.catalog import QUERIES
+
+    seen = []
+    monkeypatch.setattr(kind, "fit", lambda self, f: (seen.append(self), Constant().fit(f))[1])
+    for name in names:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    return seen
+
+
+def test_queries_fit_trees_as_specified(spark, monkeypatch):
+    from counterfold.plans.registry import model_named
+
+    grid = [m for _, m in model_named("SL", "regression", [], True).members if isinstance(m, Trees)]
+    assert _models_fitted(monkeypatch, spark, Trees, "gbt_grid") == grid
+    assert _models_fitted(
+        monkeypatch, spark, Trees, "gbt_counterfactual", "gbt_classes") == [Trees(), Trees()]
+    assert _models_fitted(monkeypatch, spark, Tuned, "gbt_tuned") == [Tuned()]
+
+
 def test_softmax_against_spark(data, monkeypatch):
     import counterfold.models.linear as L
 
