@@ -282,7 +282,7 @@ def enet_logistic_cv(spark, sf):
 def enet_multinomial(spark, sf):
     rows = orders_cohort(spark, sf).select("o_orderkey", "o_orderstatus", "c_acctbal", "urgent").persist()
     f = frame(rows, "o_orderstatus", ["c_acctbal", "urgent"], "multi", by_key(), y=F.lit(0.0))
-    fit = ElasticNet(penalties=4).fit(f)
+    fit = ElasticNet().fit(f)
     out = fit.add(rows, [Request(f"p{i}", {}, v) for i, v in enumerate(f.levels)])
     return out.groupBy("urgent").agg(
         *[F.round(F.avg(f"p{i}"), 4).alias(f"p_{v}") for i, v in enumerate(f.levels)]
@@ -413,13 +413,7 @@ def stack_glm_constant(spark, sf):
 def stack_fit(spark, sf):
     rows = _tree_rows(spark, sf, "o_totalprice")
     f = frame(rows, "o_totalprice", TREE_PARENTS, "regression", by_key(), ("urgent",))
-    stack = Stack(
-        (
-            ("glmnet", ElasticNet(interactions=True)),
-            ("lr", Linear(interactions=True)),
-            ("trees", Trees(rounds=3, max_depth=2)),
-        )
-    )
+    stack = model_named("SL", "regression", ["urgent"], True)
     return _mean_prediction(stack.fit(f), rows, [Request("prediction")])
 
 
@@ -431,7 +425,7 @@ def stack_user(spark, sf):
         (
             ("ridge", Logistic(penalty=0.1)),
             ("constant", Constant()),
-            ("trees", Trees(rounds=2, max_depth=2)),
+            ("trees", Trees()),
         )
     )
     return _mean_prediction(stack.fit(f), rows, [Request("prediction")])

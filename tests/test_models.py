@@ -147,6 +147,16 @@ def test_queries_fit_trees_as_specified(spark, monkeypatch):
     assert _models_fitted(monkeypatch, spark, Tuned, "gbt_tuned") == [Tuned()]
 
 
+def test_queries_fit_stacks_and_paths_as_specified(spark, monkeypatch):
+    from counterfold.plans.registry import model_named
+
+    assert _models_fitted(monkeypatch, spark, Stack, "stack_fit") == [
+        model_named("SL", "regression", ["urgent"], True)]
+    user, = _models_fitted(monkeypatch, spark, Stack, "stack_user")
+    assert dict(user.members)["trees"] == Trees()
+    assert _models_fitted(monkeypatch, spark, ElasticNet, "enet_multinomial") == [ElasticNet()]
+
+
 def test_softmax_against_spark(data, monkeypatch):
     import counterfold.models.linear as L
 
