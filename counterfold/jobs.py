@@ -13,6 +13,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from counterfold.operators.schema import MAX_FINITE_LEVELS
 from counterfold.plans.engine import (
     DEFAULT_BATCH,
     DEFAULT_KEY,
@@ -46,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--key", default=DEFAULT_KEY, help="unique row key")
     e.add_argument("--shuffle", action="store_true", help="shuffle rows before folding")
     e.add_argument("--resume", action="store_true", help="go on after the last finished batch")
+    e.add_argument("--max-finite-levels", type=int, default=MAX_FINITE_LEVELS,
+                   help="a text column with more levels is not finite")
     e.add_argument("--run-id", default="run")
     m = commands.add_parser("merge", help="put the results of several runs together")
     m.add_argument("prefix", help="prefix of the folders of the runs")
@@ -69,6 +72,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         shuffle=args.shuffle, cache=args.cache_strategy, save_sample_ids=args.save_sample_ids,
         pvalue_threshold=args.pvalue_threshold, outputs=outputs, batch_size=args.chunksize,
         sort_estimands=args.sort_estimands, run_id=args.run_id, verbosity=args.verbosity,
+        max_finite_levels=args.max_finite_levels,
     )
     engine(resume=args.resume)
     return 0

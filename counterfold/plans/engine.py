@@ -31,7 +31,7 @@ from counterfold.operators.folds import (
     with_positions,
     with_row_key,
 )
-from counterfold.operators.schema import ColumnProfile, complete_cases, profile
+from counterfold.operators.schema import MAX_FINITE_LEVELS, ColumnProfile, complete_cases, profile
 from counterfold.plans.effects import Answer, Effect, estimate
 from counterfold.plans.estimands import (
     Configuration,
@@ -202,13 +202,14 @@ class Engine:
         parallelism: int = 4,
         run_id: str = "run",
         verbosity: int = 0,
+        max_finite_levels: int = MAX_FINITE_LEVELS,
     ):
         spark = spark or (dataset.sparkSession if isinstance(dataset, DataFrame) else None)
         spark = spark or SparkSession.getActiveSession()
         self.spark = spark
         table = read_table(spark, dataset)
         if isinstance(estimands, str) and estimands == FACTORIAL:
-            config = Configuration((factorial_ate(table),))
+            config = Configuration((factorial_ate(table, max_levels=max_finite_levels),))
         else:
             config = read_configuration(spark, estimands)
         self.estimands = proofread(config, table.schema)
@@ -240,7 +241,8 @@ class Engine:
             self.key = "__row"
             self.df = with_row_key(table.select(*[quoted(v) for v in variables]), self.key)
         self.keyed = self.key in self.df.columns
-        self.kinds: dict[str, ColumnProfile] = profile(self.df, variables)
+        self.kinds: dict[str, ColumnProfile] = profile(
+            self.df, variables, max_finite_levels)
         self._ordering = None
         self._ordering_lock = Lock()
         self._held: list[DataFrame] = []

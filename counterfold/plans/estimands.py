@@ -408,6 +408,7 @@ def factorial_ate(
     treatment: str = FACTORIAL_TREATMENT,
     outcome: str = FACTORIAL_OUTCOME,
     confounders: Sequence[str] | None = None,
+    max_levels: int = MAX_FINITE_LEVELS,
 ) -> JointEstimand:
     """All effects between neighbouring levels of T, adjusted for every ``W…`` column."""
     if treatment not in df.columns:
@@ -421,10 +422,10 @@ def factorial_ate(
             f"no confounder in the table (a column that starts with '{FACTORIAL_CONFOUNDERS}')"
         )
     t = F.col(f"`{treatment}`")
-    few = df.where(t.isNotNull()).select(t.alias("t")).distinct().limit(MAX_FINITE_LEVELS + 1)
+    few = df.where(t.isNotNull()).select(t.alias("t")).distinct().limit(max_levels + 1)
     levels = sorted(r["t"] for r in few.collect())
-    if len(levels) > MAX_FINITE_LEVELS:
-        raise EstimandError(f"treatment '{treatment}' has over {MAX_FINITE_LEVELS} levels")
+    if len(levels) > max_levels:
+        raise EstimandError(f"treatment '{treatment}' has over {max_levels} levels")
     if len(levels) < 2:
         raise EstimandError(f"treatment '{treatment}' needs at least two levels")
     return JointEstimand(

@@ -157,3 +157,18 @@ def test_fits_are_released_after_their_last_use():
     assert not none.kept
     with pytest.raises(ValueError):
         NuisanceFits("max-size")
+
+
+def test_more_levels_if_asked_for(spark):
+    from counterfold import Engine
+    from counterfold.jobs import parser
+
+    df = spark.range(1200).selectExpr(
+        "id AS SAMPLE_ID", "CAST(id % 120 AS INT) AS T", "concat('s', id % 130) AS W1", "id % 7 * 1.0 AS Y")
+    with pytest.raises(EstimandError):
+        Engine(df, "factorialATE", "ose--saturated", spark=spark)
+    args = parser().parse_args(["estimate", "x", "--max-finite-levels", "150"])
+    engine = Engine(df, "factorialATE", "ose--saturated", spark=spark,
+                    max_finite_levels=args.max_finite_levels)
+    assert len(engine.estimands[0].parts) == 119
+    assert engine.kinds["W1"].finite and engine.kinds["T"].finite
