@@ -1,4 +1,4 @@
-"""The queries ``op1_`` to ``op10_`` on the test tables, and the SQL of some."""
+"""The queries ``op1_`` to ``op13_`` on the test tables, and the SQL of some."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from counterfold.llm.ann import fit_index, search
 from counterfold.llm.chat import format_chats, read_chats, read_loss, to_turns
 from counterfold.llm.common import documents, held_out
+from counterfold.llm.divergence import SQL as DIVERGENCE_SQL
+from counterfold.llm.divergence import source_divergence
 from counterfold.llm.jaccard import jaccard_components
 from counterfold.llm.mixing import mix_sources
 from counterfold.llm.packing import pack_documents
@@ -122,6 +124,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
@@ -133,5 +139,6 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,
+    "op11_divergence": op11_divergence,
 }
-ORACLE = {"op7_chat": CHAT_SQL}
+ORACLE = {"op7_chat": CHAT_SQL, "op11_divergence": DIVERGENCE_SQL}
