@@ -16,9 +16,11 @@ from counterfold.llm.mixing import mix_sources
 from counterfold.llm.packing import pack_documents
 from counterfold.llm.quality import fit_quality, score_quality
 from counterfold.llm.rules import judge, language_references
+from counterfold.llm.suffixes import remove_repeats
 from counterfold.llm.token_counts import count_tokens
 from counterfold.llm.token_files import read_token_files, write_token_files
 from counterfold.llm.toxicity import fit_toxicity, score_toxicity
+from counterfold.llm.variants import spelling_variants
 from counterfold.session import scratch_path
 
 
@@ -128,6 +130,17 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(documents(spark, sf_dir))
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)")
+    return remove_repeats(documents(spark, sf_dir), least=50).select(
+        "doc_id", "n_bytes", gone.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
@@ -140,5 +153,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,
     "op11_divergence": op11_divergence,
+    "op12_variants": op12_variants,
+    "op13_suffixes": op13_suffixes,
 }
 ORACLE = {"op7_chat": CHAT_SQL, "op11_divergence": DIVERGENCE_SQL}
