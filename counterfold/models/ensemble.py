@@ -6,65 +6,53 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-from counterfold.models.base import Design, FitFailed, Frame, Model, Request, release, transforms
+from counterfold.models.base import Frame, Model, Request, release, transforms
 from counterfold.models.linear import Linear, Logistic
-from counterfold.models.trees import FEATURES, Trees, TreeFit
+from counterfold.models.trees import CrossTreeFit, Trees, fit_trees, held_out_losses
 from counterfold.operators.schema import ColumnProfile
 
 
 @dataclass(frozen=True)
 class Tuned(Model):
-    """Boosted trees with the grid point of the smallest held-out loss (root mean
-    square for numbers, log-loss for classes), refitted on all rows.
-
-    The second tuned parameter is the step size: Spark's trees have no penalty on
-    leaf values.
-    """
+    """Boosted trees with the depth and leaf penalty of the smallest held-out loss (root mean
+    square for numbers, log-loss for classes), refitted on all rows.  All settings and folds
+    grow together; of equal losses the first setting wins."""
 
     model: Trees = Trees()
     max_depth: tuple[int, ...] = (3, 4, 5, 6, 7)
-    eta: tuple[float, ...] = (0.01, 0.05, 0.1, 0.3)
-    parallelism: int = 2
+    penalty: tuple[float, ...] = (1e-5, 1e-3, 1e-1, 10.0)
     depth = 1
 
+    def settings(self) -> list[Trees]:
+        return [replace(self.model, max_depth=d, penalty=p)
+                for d in self.max_depth for p in self.penalty]
+
+    def best(self, frame: Frame, fold: str, outer: list[tuple]) -> list[Trees]:
+        """The best setting for each of the outer hidden folds."""
+        grid, numbers = self.settings(), list(frame.fold_numbers())
+        asked = [(m, (*hidden, (fold, k))) for hidden in outer for m in grid for k in numbers]
+        losses = iter(held_out_losses(frame, asked))
+        chosen = []
+        for _ in outer:
+            found = [[next(losses) for _ in numbers] for _ in grid]
+            means = [sum(x for x, _ in own) / max(sum(n for _, n in own), 1e-300) for own in found]
+            chosen.append(grid[means.index(min(means))])
+        return chosen
+
     def fit(self, frame: Frame):
-        design = Design(frame.parents, frame.kinds, frame.treatments, self.model.interactions)
-        task = "regression" if frame.task == "regression" else "binary"
-        if task == "regression":
-            judge = RegressionEvaluator(metricName="rmse", weightCol="weight")
-        else:
-            judge = MulticlassClassificationEvaluator(metricName="logLoss", weightCol="weight")
-        # Spark numbers folds from 0.
-        fold = (F.col(frame.folds[0]) - 1).cast("int").alias("fold")
-
-        def one(label):
-            rows = self.model.rows(frame, design, label, [fold]).persist()
-            trees = self.model.estimator(task, frame.seed)
-            grid = (
-                ParamGridBuilder()
-                .addGrid(trees.maxDepth, list(self.max_depth))
-                .addGrid(trees.stepSize, list(self.eta))
-                .build()
-            )
-            try:
-                search = CrossValidator(
-                    estimator=trees, estimatorParamMaps=grid, evaluator=judge,
-                    numFolds=frame.n_folds, foldCol="fold", parallelism=self.parallelism,
-                )
-                return search.fit(rows).bestModel
-            except Exception as e:
-                raise FitFailed(f"{frame.target}: {e}") from e
-            finally:
-                rows.unpersist()
+        chosen = self.best(frame, frame.folds[0], [()])
+        return fit_trees(frame, [(chosen[0], ())])[0]
 
-        return TreeFit(design, task, [one(y) for y in self.model.labels(frame)], frame.levels)
+    def fit_cross(self, frame: Frame):
+        name, inner = frame.folds[0], frame.folds[1]
+        numbers = list(frame.fold_numbers())
+        outer = [((name, k),) for k in numbers]
+        fits = fit_trees(frame, list(zip(self.best(frame, inner, outer), outer)))
+        return CrossTreeFit(name, dict(zip(numbers, fits)))
 
 
 @dataclass(frozen=True)
@@ -83,14 +71,29 @@ class Stack(Model):
     def cells(self) -> bool:
         return all(m.cells for _, m in self.members)
 
+    def _trees(self, frame: Frame) -> dict[int, tuple]:
+        """Cross-fit and fit of each member that is plain trees, all grown together."""
+        at = [i for i, (_, m) in enumerate(self.members) if isinstance(m, Trees)]
+        if not at:
+            return {}
+        name, numbers = frame.folds[0], list(frame.fold_numbers())
+        hidden = [*[((name, k),) for k in numbers], ()]
+        fits = iter(fit_trees(frame, [(self.members[i][1], h) for i in at for h in hidden]))
+        out = {}
+        for i in at:
+            own = [next(fits) for _ in hidden]
+            out[i] = CrossTreeFit(name, dict(zip(numbers, own))), own[-1]
+        return out
+
     def fit(self, frame: Frame):
         names = [f"__z{i}" for i in range(len(self.members))]
         df = frame.df
         scores = list(frame.levels) if frame.task == "multi" else [None]
         columns = [f"{z}_{j}" for z in names for j in range(len(scores))]
         crossed = []
-        for (_, m), z in zip(self.members, names):
-            c = m.fit_cross(frame)
+        together = self._trees(frame)
+        for at, ((_, m), z) in enumerate(zip(self.members, names)):
+            c = together[at][0] if at in together else m.fit_cross(frame)
             df = c.add(df, [Request(f"{z}_{j}", level=v) for j, v in enumerate(scores)])
             crossed.append(c)
         kinds = dict(frame.kinds) | {c: _number(c) for c in columns}
@@ -112,7 +115,9 @@ class Stack(Model):
                 release(c)
         # Same sequence of folds as the cross-fits had left.
         inner = replace(frame, folds=frame.folds[1:])
-        fitted = frame.each(lambda m: m.fit(inner), [m for _, m in self.members])
+        fitted = frame.each(
+            lambda at: together[at][1] if at in together else self.members[at][1].fit(inner),
+            range(len(self.members)))
         return StackFit(tuple(n for n, _ in self.members), fitted, combined, scores, names)
 
 

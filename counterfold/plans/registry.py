@@ -210,7 +210,7 @@ def model_from_dict(d) -> Model:
         base = options.get("trees", {})
         return Tuned(
             Trees(**base),
-            **{k: tuple(v) for k, v in options.items() if k in ("max_depth", "eta")},
+            **{k: tuple(v) for k, v in options.items() if k in ("max_depth", "penalty")},
         )
     if name == "saturated":
         on = options.get("on")

@@ -13,7 +13,8 @@ TABLES = "nation customer supplier part orders lineitem events documents labels"
 SOME = [
     "ate_saturated", "aie_order2", "ps_bounded", "tmle_binary", "cvwtmle_saturated",
     "joint_ate_cov", "ate_missing_outcome", "failed_and_skipped", "influence_kept",
-    "merge_results", "glm_logistic_fit", "enet_cv_path", "stack_glm_constant", "gbt_fit",
+    "merge_results", "glm_logistic_fit", "enet_cv_path", "stack_glm_constant", "gbt_fit", "gbt_rounds",
+    "gbt_logistic_rounds",
     "folds_joint", "folds_adaptive_strat", "column_kinds", "identify_backdoor", "snp_dosage",
 ]
 NAMES = sorted(ORACLE) if os.environ.get("COUNTERFOLD_ALL") else SOME
