@@ -9,9 +9,9 @@ the sources, is a path from the root; rows with the same counts share nodes, and
 the number of its rows.  Each node corrects each of its ancestors once, times that number.
 
 The tree is never built whole.  Equal rows are counted first, then sorted by path over the
-partitions: in sorted order the open nodes are one path, a stack, and a node is done when the
-path leaves it.  A node cut by a partition border appears in both, each with its part of the
-rows, so sums stay exact and a hot path is split like any other.
+partitions: in sorted order the rows of a node follow each other, so a batch of rows is a part
+of the tree.  A node cut by the border of a batch appears in both parts, each with its own rows,
+so sums stay exact and a hot path is split like any other.
 """
 
 from __future__ import annotations
@@ -108,73 +108,79 @@ def _path_corrections(batches):
     Input rows are ``lang, sources, shares, zeros, n``: a path's sources, their shares of the
     term and of a term they have not, and how many terms have the path.
     """
-    stack: list[list] = []  # open nodes: [source, share, zero, rows]
-    lang_of = [None]
-    pairs: list[tuple] = []  # nodes that are done, with their ancestors
-    size = 0
+    for batch in batches:
+        langs = batch.column(0).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(langs[1:] != langs[:-1]) + 1).tolist(), len(langs)]
+        for start, stop in zip(cuts, cuts[1:]):
+            if stop > start:
+                yield from _corrections(batch.slice(start, stop - start))
 
-    def leave(depth: int):
-        """Close the nodes below ``depth``, the deepest first; rows go up to the parent."""
-        nonlocal size
-        while len(stack) > depth:
-            source, p, zero, n = stack.pop()
-            if stack:
-                stack[-1][3] += n
-                pairs.append((source, p, zero, n, tuple((a[0], a[1], a[2]) for a in stack)))
-                size += len(stack)
 
-    def flush():
-        nonlocal size
-        if not pairs:
-            return []
-        sizes = [len(x[4]) for x in pairs]
-        node = np.repeat(np.array([x[:4] for x in pairs], np.int64), sizes, axis=0)
-        over = np.array([a for x in pairs for a in x[4]], np.int64)
-        pairs.clear()
-        size = 0
-        (s, p, zp, n), (t, q, zq) = node.T, over.T
-
-        def f(a, b):
-            return (a - b) * (a - b) // b
-
-        def sums(item, other, values):
-            key, at = np.unique(np.stack([item, other], 1), axis=0, return_inverse=True)
-            total = np.zeros(len(key), np.int64)
-            np.add.at(total, at.ravel(), values)
-            return key, total
-
-        out = []
-        for item, other, values in (
-            (s, t, n * (f(p, q) - f(p, zq) - f(zp, q) + f(zp, zq))),
-            (t, s, n * (f(q, p) - f(q, zp) - f(zq, p) + f(zq, zp))),
-        ):
-            key, total = sums(item, other, values)
-            out.append(pa.RecordBatch.from_arrays(
-                [pa.array([lang_of[0]] * len(key), pa.string()),
-                 pa.array(key[:, 0], pa.int64()), pa.array(key[:, 1], pa.int64()),
-                 pa.array(total, pa.int64())],
-                ["lang", "item", "other", "value"]))
-        return out
+def _nodes(first: np.ndarray, size: np.ndarray, same: np.ndarray, n: np.ndarray):
+    """Nodes of the tree of sorted paths: place of the node's item, its depth, its rows.
 
-    for batch in batches:
-        langs, *columns = (c.to_pylist() for c in batch.columns)
-        for lang, sources, shares, zeros, n in zip(langs, *columns):
-            if lang != lang_of[0]:
-                leave(0)
-                yield from flush()
-                lang_of[0] = lang
-            depth = 0
-            while (depth < len(stack) and depth < len(sources)
-                   and stack[depth][0] == sources[depth] and stack[depth][1] == shares[depth]):
-                depth += 1
-            leave(depth)
-            stack.extend([s, p, z, 0] for s, p, z in
-                         zip(sources[depth:], shares[depth:], zeros[depth:]))
-            stack[-1][3] += n
-            if size >= TOGETHER:
-                yield from flush()
-    leave(0)
-    yield from flush()
+    ``first`` and ``size`` say where the items of a path lie, ``same`` how many it has in
+    common with the path before.  A node is made where its path leaves the one before, and
+    its rows end where a later path has no more in common than its depth.
+    """
+    rows = np.concatenate([[0], np.cumsum(n)])
+    found = []
+    for depth in range(int(size.max())):
+        leaves = np.flatnonzero(same <= depth)
+        made = leaves[size[leaves] > depth]
+        ends = np.append(leaves, len(size))[np.searchsorted(leaves, made, "right")]
+        found.append((first[made] + depth, np.full(len(made), depth), rows[ends] - rows[made]))
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def _corrections(batch: pa.RecordBatch):
+    """Corrections of the paths of one language.
+
+    Paths that go on in the next batch have their nodes again there, for its rows only."""
+    lists = [batch.column(i) for i in (1, 2, 3)]
+    place, p, zero = (c.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in lists)
+    stop = np.cumsum(np.diff(lists[0].offsets.to_numpy()))
+    size = np.diff(stop, prepend=0)
+    first = stop - size
+    n = batch.column(4).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(size)), size)
+    at = np.arange(len(place)) - first[row]
+    # the first item that differs from the one at the same place of the path before
+    before = first[np.maximum(row - 1, 0)] + at
+    differs = (row == 0) | (at >= size[np.maximum(row - 1, 0)])
+    before[differs] = 0
+    differs |= (place[before] != place) | (p[before] != p)
+    same = size.copy()
+    np.minimum.at(same, row[differs], at[differs])
+    node, depth, times = _nodes(first, size, same, n)
+    node, depth, times = node[depth > 0], depth[depth > 0], times[depth > 0]
+
+    def f(a, b):
+        return (a - b) * (a - b) // b
+
+    ends = np.cumsum(depth)
+    start = 0
+    while start < len(node):
+        stop_ = max(start + 1, int(np.searchsorted(
+            ends, (ends[start - 1] if start else 0) + TOGETHER, "right")))
+        i, d = node[start:stop_], depth[start:stop_]
+        below = np.repeat(i, d)
+        over = below - np.repeat(d, d) + (np.arange(d.sum()) - np.repeat(np.cumsum(d) - d, d))
+        key = (place[below] << 32) | place[over]
+        order = np.argsort(key, kind="stable")
+        key, below, over = key[order], below[order], over[order]
+        times_ = np.repeat(times[start:stop_], d)[order]
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        a, za, b, zb = p[below], zero[below], p[over], zero[over]
+        there = np.add.reduceat(times_ * (f(a, b) - f(a, zb) - f(za, b) + f(za, zb)), new)
+        back = np.add.reduceat(times_ * (f(b, a) - f(b, za) - f(zb, a) + f(zb, za)), new)
+        item, other = key[new] >> 32, key[new] & 0xFFFFFFFF
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([batch.column(0)[0].as_py()] * (2 * len(new)), pa.string()),
+             pa.array(np.concatenate([item, other])), pa.array(np.concatenate([other, item])),
+             pa.array(np.concatenate([there, back]))],
+            ["lang", "item", "other", "value"])
+        start = stop_
 
 
 def _by_lang(left: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
