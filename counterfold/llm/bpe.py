@@ -23,6 +23,8 @@ PLAIN = "".join(map(chr, [9, 10, 13, *range(32, 127), *range(192, 215), *range(2
                           *range(248, 256)])).encode("latin-1")
 BESIDE = [a + b for a in " \t\n\r" for b in " \t\n\r" if " " in a + b]
 MEMORY = 600_000  # chunks remembered by a worker; then only those met again are kept
+LONG = 64  # characters of a chunk that is not remembered: this bounds the memory's bytes
+TOGETHER = 4096  # new chunks that the library is given as one text
 
 
 @functools.lru_cache(maxsize=2)
@@ -47,11 +49,13 @@ class Chunks(dict):
 
     def __init__(self, learn: Callable[[list[str]], list]):
         super().__init__()
-        self.learn, self.again = learn, set()
+        self.learn, self.again, self.long = learn, set(), []
 
     def know(self, chunks: set[str]) -> None:
-        known = chunks & self.keys()
-        new = chunks - known
+        for c in self.long:
+            self.pop(c, None)
+        new = [c for c in chunks if c not in self]
+        known = chunks.difference(new)
         if len(self) + len(new) > MEMORY:
             if len(self.again) > MEMORY // 2:
                 self.again.clear()
@@ -59,12 +63,17 @@ class Chunks(dict):
             self.clear()
             self.update(keep)
         self.again |= known
-        ended = [c for c in new if c[-1:] in (".", ",") and c[:-1].isalpha()]
-        plain = new.difference(ended)
-        plain.update(w for w in [c[:-1] for c in ended] if w not in self)
-        plain = list(plain)
+        plain, ended = [], []
+        for c in new:
+            if c[-1:] in (".", ",") and c[:-1].isalpha():
+                ended.append(c)
+            else:
+                plain.append(c)
+        plain += {w for w in [c[:-1] for c in ended] if w not in self}.difference(plain)
         self.update(zip(plain, self.learn(plain)))
-        self.update([(c, self[c[:-1]] + self.marks[c[-1]]) for c in ended])
+        for c in ended:
+            self[c] = self[c[:-1]] + self.marks[c[-1]]
+        self.long = [c for c in plain if len(c) > LONG]
 
     @functools.cached_property
     def marks(self) -> dict:
@@ -79,10 +88,11 @@ class Memory:
     ``whole`` is the value of a text that must not be cut.
     """
 
-    def __init__(self, path: str, learn, join, whole):
+    def __init__(self, path: str, learn, join, whole, learn_spaced=None):
         self.special = special_strings(path)
         self.first = Chunks(learn)
-        self.later = Chunks(lambda chunks: learn([" " + c for c in chunks]))
+        spaced = learn_spaced or learn
+        self.later = Chunks(lambda chunks: spaced([" " + c for c in chunks]))
         self.first.mark_values = self.later.mark_values = lambda: learn([".", ","])
         self.join, self.whole = join, whole
 
@@ -123,21 +133,60 @@ def _rejoined(pieces: list[str]) -> list[str]:
     return out
 
 
+def _token_bytes(tok, path: str) -> tuple[list[int], bool] | None:
+    """How many bytes of text each id stands for, and whether white space counts; None
+    where that cannot be told."""
+    import numpy as np
+
+    with open(path, encoding="utf-8") as f:
+        mark = json.load(f)["model"].get("end_of_word_suffix") or ""
+    vocabulary = tok.get_vocab()
+    sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    for token, i in vocabulary.items():
+        sizes[i] = len(token.removesuffix(mark) if mark else token)
+    total = int(sizes[tok.encode(" a b", add_special_tokens=False).ids].sum())
+    return (sizes, total == 4) if total in (2, 4) else None
+
+
 def _ids(path: str):
+    import numpy as np
+
     tok = library(path)
+    known = _token_bytes(tok, path)
 
     def learn(strings: list[str]) -> list[bytes]:
         found = tok.encode_batch_fast(strings, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def learn_spaced(strings: list[str]) -> list[bytes]:
+        """Ids of chunks with their space before, from texts of many: a call for each chunk
+        costs more than its ids.  Where a chunk ends follows from the bytes its ids stand for."""
+        out = []
+        for i in range(0, len(strings), TOGETHER):
+            some = strings[i : i + TOGETHER]
+            plain = some if known and known[1] else ["".join(s.split()) for s in some]
+            sizes = [len(s) if s.isascii() else len(s.encode()) for s in plain]
+            ids = np.array(tok.encode_batch_fast(
+                ["".join(some)], add_special_tokens=False)[0].ids, np.int64) if known else None
+            if known and len(ids):
+                reached, ends = np.cumsum(known[0][ids]), np.cumsum(sizes)
+                at = np.searchsorted(reached, ends)
+                if reached[-1] == ends[-1] and (reached[at] == ends).all():
+                    data = ids.astype("<u4").tobytes()
+                    stops = (4 * (at + 1)).tolist()
+                    out += [data[a:b] for a, b in zip([0, *stops], stops)]
+                    continue
+            out += learn(some)
+        return out
+
     def whole(text: str) -> bytes:
         return array("I", tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    return learn, whole
+    return learn, whole, learn_spaced
 
 
 @functools.lru_cache(maxsize=2)
 def id_memory(path: str) -> Memory:
     """Ids of texts as little-endian unsigned 32-bit integers; one memory per worker."""
-    learn, whole = _ids(path)
-    return Memory(path, learn, lambda first, rest: first + b"".join(rest), whole)
+    learn, whole, learn_spaced = _ids(path)
+    return Memory(path, learn, lambda first, rest: first + b"".join(rest), whole, learn_spaced)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -47,14 +49,29 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CLEAN_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def lean(spark: SparkSession):
+    """Shuffle files of queries that run inside are deleted when each has ended."""
+    before = spark.conf.get(CLEAN_SETTING, "false")
+    spark.conf.set(CLEAN_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_SETTING, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written once to a new table in the shared folder and read from there.
 
     Later steps, and tasks that are repeated after an executor is lost, read the files
-    instead of working the rows out again.
+    instead of working the rows out again; what was shuffled for them is deleted.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with lean(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -85,8 +102,24 @@ def parts(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20):
 
 
 def give_back() -> None:
-    """Let Arrow return the memory it holds unused, at the end of a task of a reused worker."""
+    """Let Arrow and the allocator return what they hold unused, at the end of a task of a
+    reused worker."""
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # an allocator without it
+        pass
+
+
+def unlike(names: list[str], *wanted: str) -> list[str]:
+    """Column names made of ``wanted`` that no column has, whatever the case."""
+    taken, out = {n.lower() for n in names}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def filtered(docs: DataFrame, keep) -> DataFrame:
@@ -99,6 +132,8 @@ def filtered(docs: DataFrame, keep) -> DataFrame:
         passes = keep()
         for batch in parts(batches, "text"):
             yield batch.filter(pa.array(passes(byte_texts(batch, "text")), pa.bool_()))
+        del passes
+        give_back()
 
     return docs.mapInArrow(rows, docs.schema)
 

@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from counterfold.llm.common import byte_texts, give_back, parts, ship, shuffle_width, stored
+from counterfold.llm.common import (
+    byte_texts, give_back, parts, ship, shuffle_width, stored, unlike)
 
 BITS = 23  # of the bitmaps that tell common tokens, and wanted sets: one megabyte
 CHUNK = 256  # sets compared with each other at once, and the queries a chunk gets at once
@@ -633,9 +634,12 @@ def keep_first(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
 
     Of several rows with that id the one with the least text stays.  A row is linked by its
     own text, whatever its id: rows that share an id, or have none, are told apart by their
-    texts.  Rows without shingles link nothing and stay, one for each id (null is one).
+    texts.  Rows without shingles link nothing and stay, one for each id (null is one).  Columns
+    of any name are kept; an empty table gives an empty result.
     """
-    keyed = docs.withColumn("__key", _row_key())
+    key, = unlike(docs.columns, "row_key")
+    once = docs.withColumn(key, _row_key()).dropDuplicates([key])
+    keyed = docs.select(_row_key().alias("__key"), "doc_id", "text")
     found = jaccard_components(
         keyed.select(F.col("__key").alias("doc_id"), "text"), size=size, percent=percent)
     linked = F.col("n_shingles") > 0
@@ -664,5 +668,5 @@ def keep_first(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
             asked, "__key").groupBy("component", "alone").agg(
             F.min(F.struct("text", "__key")).alias("first"))
         kept = kept.unionByName(first.select("first.__key"))
-    # the join and the choice of a row both keep to the keys: one shuffle of the texts
-    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    # equal rows are reduced to one where they are read, and the join keeps to the same key
+    return once.join(kept.select(F.col("__key").alias(key)), key, "left_semi").drop(key)

@@ -19,11 +19,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from counterfold.llm.common import WORD, ship, stored
+from counterfold.llm.common import WORD, ship, stored, unlike
 
 BLOCK = 20_000
 LANDING = 12
@@ -135,45 +135,52 @@ def source_targets(sized: DataFrame, *, most: float = 3.0) -> DataFrame:
 
 
 def mix_sources(
-    docs: DataFrame, *, most: float = 3.0, seed: int = 1, block: int = BLOCK
+    docs: DataFrame, *, most: float = 3.0, seed: int = 1, block: int = BLOCK, keyed: bool = False,
 ) -> DataFrame:
     """Per row: ``doc_id, size, source, source_size, target, taken`` and ``times``.
 
     ``size`` counts words, ``times`` how often the document is taken, ``taken`` is both
     multiplied.  The words taken of a source miss its target by less than one or two documents.
-    A document is taken ``most`` times at most.
+    A document is taken ``most`` times at most.  With ``keyed`` there is also ``row_key``, 16
+    bytes that stand for id, source and text (see ``repeat_rows``).
 
     A null or empty text has no words; a null source is a source.  Equal rows are treated
-    one by one; which of them is taken more often does not show.  Ids may be null.  Other columns
-    are ignored, an empty table gives an empty result.  Results depend on the rows and the
-    seed only, not on the order or the partitions: blocks are cut by hashes and sorted.
+    one by one; which of them is taken more often does not show.  Ids may be null, and long ones
+    keep all their digits.  Other columns are ignored, an empty table gives an empty result.
+    Results depend on the rows and the seed only, not on the order or the partitions: blocks are
+    cut by hashes and sorted.
     """
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     source_kind = docs.schema["source"].dataType.simpleString()
     words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD))
-    sized = stored(docs.select("doc_id", "source", words.cast("long").alias("size")), "sizes")
+    sized = stored(docs.select(
+        "doc_id", "source", words.cast("long").alias("size"),
+        (_row_key() if keyed else F.lit(None).cast("binary")).alias("row_key")), "sizes")
     targets = source_targets(sized, most=most)
     largest = targets.agg(F.max("n_docs")).first()[0] or 0
     s, t = sized.alias("s"), targets.alias("t")
     wanted = F.when(F.col("t.source_size") > 0, F.least(
         F.col("t.target") / F.col("t.source_size"), F.lit(float(most)))).otherwise(0.0)
+    # ids as text: pandas would make numbers of a column with nulls doubles
     rows = s.join(t, F.col("s.source").eqNullSafe(F.col("t.source"))).select(
-        "doc_id", "s.source", "size", "source_size", "n_docs", "target",
+        F.col("doc_id").cast("string").alias("doc_id"), "s.source", "size", "row_key",
+        "source_size", "n_docs", "target",
         F.floor(wanted).cast("long").alias("times"), (wanted - F.floor(wanted)).alias("chance"))
     # equal rows are counted before they are dealt out, and go to different blocks
     rows = rows.groupBy(*rows.columns).count().withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.col("count").cast("int")))).drop("count")
-    schema = (f"doc_id {kind}, source {source_kind}, size long, source_size long, n_docs long, "
-              "target double, times long, chance double, copy int")
+    schema = (f"doc_id string, source {source_kind}, size long, row_key binary, source_size long, "
+              "n_docs long, target double, times long, chance double, copy int")
 
     def fly(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         (_, at, level, alone), n = key, int(pdf.n_docs.iloc[0])
         slots: range = range(0)
         if n <= most_docs(level + 1):  # the next level lands what this one spares
             slots = range(int(at), LANDING, math.ceil(n / most_docs(level)))
-        pdf = pdf.assign(order=pdf.doc_id.astype(str)).sort_values(
-            ["order", "size", "copy"], kind="stable").drop(columns="order")
+        pdf = pdf.assign(order=pdf.doc_id.astype(str), tie=pdf.row_key.map(
+            lambda k: b"" if k is None else bytes(k))).sort_values(
+            ["order", "size", "tie", "copy"], kind="stable")
         name = [str(k) for k in key]
         draws = iter(range(1 << 62))
         given = (pdf["size"].astype(float).tolist(), pdf["chance"].tolist(),
@@ -188,8 +195,8 @@ def mix_sources(
     decided, left, level = None, rows, 0
     while True:
         blocks = F.ceil(F.col("n_docs") / F.lit(most_docs(level)))
-        at = F.pmod(F.xxhash64("doc_id", "size", "copy", F.lit(seed + level)), F.greatest(
-            blocks, F.lit(1)))
+        at = F.pmod(F.xxhash64(F.col("doc_id").cast(kind), "size", "copy", F.lit(
+            seed + level)), F.greatest(blocks, F.lit(1)))
         alone = F.col("n_docs") <= F.lit(most_docs(level))
         flown = stored(
             left.groupBy("source", at.alias("block"), F.lit(level).alias("level"),
@@ -203,21 +210,31 @@ def mix_sources(
         left, level = flown.where(open_), level + 1
     times = F.col("times") + F.col("chance").cast("long")
     return decided.select(
-        "doc_id", "size", "source", "source_size", "target", (times * F.col("size")).alias("taken"),
-        times.alias("times"))
+        F.col("doc_id").cast(kind).alias("doc_id"), "size", "source", "source_size", "target",
+        (times * F.col("size")).alias("taken"), times.alias("times"),
+        *(["row_key"] if keyed else []))
+
+
+def _row_key() -> Column:
+    """16 bytes that stand for an id, a source and a text together."""
+    parts = [F.col(c).cast("string") for c in ("doc_id", "source", "text")]
+    sizes = [F.coalesce(F.length(p), F.lit(-1)).cast("string") for p in parts]
+    joined = F.concat_ws(":", *sizes, *[F.coalesce(p, F.lit("")) for p in parts])
+    return F.unhex(F.md5(joined.cast("binary")))
 
 
 def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as many times as ``mix_sources`` took it.
+    """The rows of ``docs``, each as many times as ``mix_sources(docs, keyed=True)`` took it.
 
-    Rows with the same id are matched in the order of their sources and sizes.
+    Rows that agree in id, source and text are taken as often as all of them together are, as
+    copies of one of them: which of their other columns is kept is not defined.  Null ids,
+    sources and texts are values like others; columns of any name are kept; an empty table
+    gives an empty result.  Equal rows are reduced to one before they are shuffled.
     """
-    words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD))
-    taken = mixed.groupBy(F.col("doc_id").alias("__id")).agg(F.array_sort(F.collect_list(
-        F.struct("source", "size", "times"))).alias("__taken"))
-    at = Window.partitionBy("doc_id").orderBy("source", words, "text")
-    row = docs.join(taken, docs.doc_id.eqNullSafe(F.col("__id"))).withColumn(
-        "__row", F.row_number().over(at))
-    times = F.get("__taken", F.col("__row") - 1)["times"].cast("int")
-    return row.withColumn("__times", times).where("__times > 0").withColumn(
-        "__n", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)
+    key, times, copy = unlike(docs.columns, "row_key", "times", "copy")
+    taken = mixed.groupBy(F.col("row_key").alias(key)).agg(
+        F.sum("times").cast("int").alias(times)).where(F.col(times) > 0)
+    once = docs.withColumn(key, _row_key()).dropDuplicates([key])
+    return once.join(taken, key).withColumn(
+        copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

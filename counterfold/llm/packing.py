@@ -12,18 +12,18 @@ from __future__ import annotations
 import bisect
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from counterfold.llm import bpe
-from counterfold.llm.common import byte_texts, parts, ship, stored
+from counterfold.llm.common import byte_texts, give_back, parts, ship, stored
 
 SCHEMA = (
     "doc_id {kind}, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
+KINDS = [None, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
 
 class Windows:
@@ -115,18 +115,18 @@ def pack_documents(
             for window, pieces in sorted(windows.content.items()):
                 out.extend(_rows(part, window, pieces, True))
             yield _batch(out, types)
+            give_back()
 
     def _batch(rows, types):
         columns = list(zip(*rows)) if rows else [[]] * 7
-        kinds = [types, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            [pa.array(c, k) for c, k in zip(columns, [types, *KINDS[1:]])], names)
 
-    def merged(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        base = (1 << 62) + (int(key[0]) << 32)
-        pdf = pdf.sort_values(["sequence_id", "offset"], kind="stable")
+    def merged(key: tuple, table: pa.Table) -> pa.Table:
+        base = (1 << 62) + (key[0].as_py() << 32)
+        table = table.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
         rows, filled = [], 0
-        for doc, start, ids, total in pdf[names[:4]].itertuples(index=False):
+        for doc, start, ids, total in zip(*(table.column(c).to_pylist() for c in names[:4])):
             at, n = 0, len(ids) // 4
             while at < n:
                 take = min(n - at, size - filled % size)
@@ -134,7 +134,9 @@ def pack_documents(
                              base + filled // size, filled % size))
                 at += take
                 filled += take
-        return pd.DataFrame(rows, columns=names[:6])
+        types = [table.schema.field("doc_id").type, *KINDS[1:6]]
+        columns = zip(*rows) if rows else [[]] * 6
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names[:6])
 
     table = stored(
         docs.selectExpr(f"`{id_column}` AS doc_id", f"CAST(`{text_column}` AS STRING) AS text")
@@ -147,6 +149,6 @@ def pack_documents(
         .withColumn("merge", F.shiftright("sequence_id", 32) / merge)
         .withColumn("merge", F.floor("merge").cast("long"))
         .groupBy("merge")
-        .applyInPandas(merged, SCHEMA.format(kind=kind))
+        .applyInArrow(merged, SCHEMA.format(kind=kind))
     )
     return closed.unionByName(left)

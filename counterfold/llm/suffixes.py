@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 from itertools import groupby
 
@@ -33,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from counterfold.llm.common import byte_texts, parts, ship, stored, text_or_empty
@@ -44,7 +43,6 @@ HEADS = 1 << 20  # heads in a group, about
 PIECE = 8 << 20  # bytes of text whose runs meet in a group, about
 HOT = 20_000  # documents with a head, from which on its windows are dealt out singly
 BOUNDARIES = 10_000  # ids that the borders of batches are chosen from
-CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _pack(data: bytes) -> bytes:
@@ -66,22 +64,6 @@ def _values(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
 
 
-@contextmanager
-def _lean(spark: SparkSession):
-    """Shuffle files of what is written inside are deleted once it is written."""
-    before = spark.conf.get(CLEAN, "false")
-    spark.conf.set(CLEAN, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEAN, before)
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    with _lean(df.sparkSession):
-        return stored(df, name)
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
@@ -438,7 +420,7 @@ class Family:
                 F.lit(at).alias("level"), "part", F.lit(0).cast("long").alias("chunk"),
                 F.lit(None).cast(docs_kind).alias("docs"),
                 F.lit(None).cast("binary").alias("starts"), "anchors", "sizes", "strings"))
-        scanned = _written(rows.groupBy("part").applyInArrow(
+        scanned = stored(rows.groupBy("part").applyInArrow(
             _scan(self.least, merging, keep),
             "chunk long, part long, anchors binary, sizes binary, strings binary, found binary"),
             "suffix-level")
@@ -509,7 +491,7 @@ def _chunks(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rows = docs.select(
         F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return _written(rows.mapInArrow(
+    return stored(rows.mapInArrow(
         _chunk, f"chunk long, ids array<{kind}>, ends array<long>, body binary"), "texts")
 
 
@@ -544,14 +526,14 @@ def remove_repeats(
     groups = max(1, -(-int(total) * 2 // ((least - HEAD + 2) * HEADS)))
     heads = chunks.mapInArrow(
         _heads(least, groups), "part long, chunk long, heads binary, times binary")
-    marks = _written(heads.groupBy("part").applyInPandas(
+    marks = stored(heads.groupBy("part").applyInPandas(
         _company(hot), "chunk long, part long, marks binary"), "suffix-heads")
     by_chunk = marks.groupBy("chunk").agg(F.collect_list(F.struct("part", "marks")).alias("marks"))
     family = Family(max(1, -(-int(total) // PIECE)), least)
     borders = _borders(docs.select(F.col(id_column).alias("doc_id")), batches)
     kind = chunks.schema["ids"].dataType.elementType.simpleString()
     arrow = _arrow_kind(chunks.select(F.explode("ids").alias("i")), "i")
-    pieces = _written(chunks.join(by_chunk, "chunk", "left").mapInArrow(
+    pieces = stored(chunks.join(by_chunk, "chunk", "left").mapInArrow(
         _strings(least, family.groups, borders, arrow, False), _piece_schema(chunks)),
         "suffix-pieces")
     found = pieces.where("batch < 0").select("chunk", "found")
@@ -572,7 +554,7 @@ def add_batch(
     _checked(family.least)
     chunks = _chunks(docs, id_column, text_column)
     arrow = _arrow_kind(chunks.select(F.explode("ids").alias("i")), "i")
-    pieces = _written(chunks.mapInArrow(
+    pieces = stored(chunks.mapInArrow(
         _strings(family.least, family.groups, [], arrow, True), _piece_schema(chunks)),
         "suffix-pieces")
     found = pieces.where("batch < 0").select("chunk", "found").unionByName(

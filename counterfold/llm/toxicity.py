@@ -26,7 +26,8 @@ from counterfold.llm.common import byte_texts, filtered, held_out, parts, ship,
 
 EDGES = ".,;:!?\"'()[]{}<>#*$%&|-_/\\~^=+`@"
 BEGINNINGS = (4, 5)
-MEMORY = 600_000
+MEMORY = 600_000  # words a worker remembers
+LONG = 64  # characters of a word that is not remembered: this bounds the memory's bytes
 
 
 def tokens(word: str) -> list[str]:
@@ -41,24 +42,31 @@ def segments(scores: list[float], at: list[int]) -> list[tuple[int, int, float]]
     ``scores`` holds alternately what lies between two positive words and their own, as
     prepared by ``scan``; ``at`` holds the position of each entry.
     """
-    stack: list[list[float]] = []  # [sum before, sum after, first, last]
+    out: list[list] = []
+    # [sum before, sum after, first, last, place of the last entry before that starts lower]
+    stack: list[list] = []
     total = 0.0
     for s, p in zip(scores, at):
         if s <= 0:
             total += s
             continue
-        new = [total, total + s, p, p]
+        new = [total, total + s, p, p, -1]
         total += s
-        while stack:
+        while True:
             j = len(stack) - 1
             while j >= 0 and stack[j][0] >= new[0]:
-                j -= 1
-            if j < 0 or stack[j][1] >= new[1]:
+                j = stack[j][4]  # those between start higher still
+            if j < 0:  # no later one can reach back over this one
+                out += stack
+                stack.clear()
+                break
+            if stack[j][1] >= new[1]:
                 break
             new[0], new[2] = stack[j][0], stack[j][2]
             del stack[j:]
+        new[4] = j
         stack.append(new)
-    return [(int(f), int(l), after - before) for before, after, f, l in stack]
+    return [(int(f), int(l), after - before) for before, after, f, l, _ in out + stack]
 
 
 @dataclass
@@ -97,15 +105,19 @@ class Scanner:
     """Scores words with a memory, and whole texts with one pass."""
 
     def __init__(self, model: ToxicityModel):
-        self.model, self.memory = model, {}
+        self.model, self.memory, self.long = model, {}, []
 
     def scan(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
         words = text.lower().split()
-        if len(self.memory) > MEMORY:
-            self.memory.clear()
         memory = self.memory
-        for w in set(words).difference(memory):
+        if len(memory) > MEMORY:
+            memory.clear()
+        for w in self.long:
+            memory.pop(w, None)
+        fresh = set(words).difference(memory)
+        for w in fresh:
             memory[w] = self.model.word_score(w)
+        self.long = [w for w in fresh if len(w) > LONG]
         values = list(map(memory.__getitem__, words))
         drift, scores, at, last = self.model.drift, [], [], -1
         for i, v in enumerate(values):
@@ -201,7 +213,10 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Fit on about ``sample_rows`` labelled rows at most (documented bound).
 
-    Without labelled rows of both classes the model finds nothing and scores below 0.5.
+    Without labelled rows of both classes the model finds nothing and scores below 0.5.  Null
+    texts count as empty; rows without a label of 0 or 1, without an id or held out are not
+    used; of equal texts, or labels of one id, the toxic label counts.  Empty tables give a model
+    that finds nothing.
     """
     ship(docs.sparkSession)
     sample = labelled_sample(docs, labels, column, sample_rows, "toxicity-sample")
@@ -313,7 +328,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, limit: float = 0.5)
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, *, limit: float = 0.5) -> DataFrame:
-    """The rows, with all their columns, that ``score_toxicity`` does not predict toxic."""
+    """The rows, with all their columns, that ``score_toxicity`` does not predict toxic.
+
+    Null and empty texts stay, repeated rows are judged row by row, columns may have any name;
+    an empty table gives an empty result."""
     shared = ship(docs.sparkSession).sparkContext.broadcast(model)
 
     def keep():

@@ -274,3 +274,156 @@ def test_queries_on_the_small_tables(spark):
     words = {r.word: r.n for r in queries.QUERIES["op12_variants"](spark, SMALL).select(
         "word", F.col("n")).collect()}
     assert words == brute_words(rows)
+
+
+# ---- mended faults: long ids beside nulls, clashing names, long texts
+
+
+def clashing(spark, rows):
+    """Rows of id and text with columns that operators once used inside."""
+    names = ["__id", "__key", "__row", "__times", "__n", "__taken", "__lang", "row_key", "times",
+             "copy", "lang_as_text"]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(
+        f"`{n}` int" for n in names)
+    return spark.createDataFrame([(*r, *range(len(names))) for r in rows], schema)
+
+
+def test_long_ids_beside_nulls_and_clashing_names(spark):
+    from counterfold.llm import jaccard, mixing, packing, rules, toxicity
+
+    big = (1 << 53) + 1
+    rows = [(big + 2 * i, f"w{i} " * 9, "en", "s") for i in range(20)] + [(None, "x y", "en", "s")]
+    rows += [(None, "x y", "en", "s"), (big, "w0 " * 9, None, "t"), (big, None, "en", None)]
+    docs = clashing(spark, rows)
+    want = sorted(r[0] or 0 for r in rows)
+    mixed = mixing.mix_sources(docs, keyed=True)
+    assert sorted(r.doc_id or 0 for r in mixed.collect()) == want
+    repeated = mixing.repeat_rows(docs, mixed)
+    assert repeated.columns == docs.columns
+    words = F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0))
+    assert repeated.agg(F.sum(words)).first()[0] == mixed.agg(F.sum("taken")).first()[0]
+    assert repeated.where("`__times` <> 3 OR times <> 8").count() == 0
+    import public_tokenizers
+
+    pieces = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), size=16)
+    assert {r.doc_id or 0 for r in pieces.collect()} == set(want)
+    first = jaccard.keep_first(docs)
+    assert first.columns == docs.columns and first.where("`__key` <> 1").count() == 0
+    good = rules.keep_good(docs, rules.language_references(docs))
+    assert good.columns == docs.columns
+    kept = toxicity.drop_toxic(docs, toxicity.ToxicityModel({}))
+    assert kept.columns == docs.columns and kept.count() == len(rows)
+
+
+def test_targets_against_water_filling(spark):
+    """Targets computed a second way: fill the sources one after the other."""
+    from counterfold.llm import mixing
+
+    r = random.Random(4)
+    for _ in range(3):
+        sizes = {f"s{i:02d}": r.choice([1, 5, 40, 300, 2000]) for i in range(r.randint(2, 9))}
+        docs = spark.createDataFrame(
+            [(i, "w " * n, s) for i, (s, n) in enumerate(sizes.items())],
+            "doc_id long, text string, source string")
+        found = {x.source: x.target for x in mixing.mix_sources(docs).collect()}
+        weight = {s: i % 3 + 1 for i, s in enumerate(sorted(sizes))}
+        full: set[str] = set()
+        while True:
+            left = sum(sizes.values()) - sum(3 * sizes[s] for s in full)
+            rest = sum(w for s, w in weight.items() if s not in full)
+            over = {s for s in sizes if s not in full and left * weight[s] / rest > 3 * sizes[s]}
+            if not over:
+                break
+            full |= over
+        want = {s: 3.0 * sizes[s] if s in full else left * weight[s] / rest for s in sizes}
+        assert all(abs(found[s] - want[s]) < 1e-6 * max(1, want[s]) for s in sizes)
+
+
+def maximal_segments(values):
+    """All maximal scoring segments by their definition: split at the best, then both sides."""
+    best = max(((sum(values[i : j + 1]), -i, -(j - i)) for i in range(len(values))
+                for j in range(i, len(values))), default=(0, 0, 0))
+    if best[0] <= 0:
+        return []
+    i, j = -best[1], -best[1] - best[2]
+    left = maximal_segments(values[:i])
+    right = [(a + j + 1, b + j + 1, s) for a, b, s in maximal_segments(values[j + 1 :])]
+    return [*left, (i, j, best[0]), *right]
+
+
+def test_the_set_of_all_maximal_segments():
+    from counterfold.llm import toxicity
+
+    r = random.Random(6)
+    for _ in range(300):
+        # sums of distinct powers never tie
+        values = [r.choice([-1, 1]) * (1 + r.random()) for _ in range(r.randint(1, 14))]
+        found = toxicity.segments(values, list(range(len(values))))
+        want = maximal_segments(values)
+        assert [(a, b) for a, b, _ in found] == [(a, b) for a, b, _ in want]
+        assert np.allclose([s for *_, s in found], [s for *_, s in want])
+
+
+def test_a_very_long_text_is_scanned_in_linear_time():
+    import time
+
+    from counterfold.llm import toxicity
+
+    scanner = toxicity.Scanner(toxicity.ToxicityModel({"bad": 2.0}))
+    start = time.perf_counter()
+    n, found = scanner.scan("bad a b c d e f " * 40_000)
+    assert n == 280_000 and len(found) == 40_000
+    assert time.perf_counter() - start < 10
+
+
+def test_long_chunks_are_not_remembered():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from counterfold.llm import bpe
+
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        memory, tok = bpe.id_memory(path), Tokenizer.from_file(path)
+        r = random.Random(9)
+        texts = [" ".join("".join(r.choice("abcXYZé0/=+\t.,") for _ in range(r.choice([1, 3, 8, 10_000])))
+                          for _ in range(12)) for _ in range(6)]
+        for some in (texts, texts[::-1], ["short one"]):
+            for text, ids in zip(some, memory.values(some)):
+                want = tok.encode(text, add_special_tokens=False).ids
+                assert np.frombuffer(ids, "<u4").tolist() == want
+        assert max(map(len, memory.later)) <= bpe.LONG
+
+
+def test_packing_against_the_library(spark):
+    """Every id of every document, by crc32 of what is read back, in gapless sequences."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from counterfold.llm import packing
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, r = Tokenizer.from_file(path), random.Random(3)
+    rows = [(i if i % 9 else None, None if i == 5 else " ".join(
+        r.choice("the of Été river, <|endoftext|> 12,3 x").split(" ")[0] + r.choice(["", "é", "中"])
+        for _ in range(r.randint(0, 90))), "en", "s") for i in range(60)]
+    found = packing.pack_documents(table(spark, rows).repartition(3), path, size=64, space=3, merge=2)
+    pieces = found.collect()
+    want = Counter()
+    for doc, text, *_ in rows:
+        ids = tok.encode(text or "", add_special_tokens=False).ids + [0]
+        want[doc, zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+    by_sequence, by_doc = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_sequence[p.sequence_id].append((p.offset, len(p.ids) // 4))
+        if p.doc_id is not None:
+            by_doc[p.doc_id].append((p.start, p.ids, p.doc_tokens))
+    for spans in by_sequence.values():
+        spans.sort()
+        assert spans[0][0] == 0 and sum(n for _, n in spans) <= 64
+        assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:]))
+    for doc, own in by_doc.items():
+        data = b"".join(ids for _, ids, _ in sorted(own))
+        assert len(data) // 4 == own[0][2] and want[doc, zlib.crc32(data)] == 1
+    assert sum(len(p.ids) // 4 for p in pieces) == sum(
+        len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, *_ in rows)
