@@ -4,6 +4,7 @@ from counterfold.models import (
     Constant,
     ElasticNet,
     FitFailed,
+    Foreign,
     Linear,
     Logistic,
     Saturated,
@@ -12,7 +13,7 @@ from counterfold.models import (
     Tuned,
 )
 from counterfold.operators.features import GenotypeEncoder, RestrictedInteractions
-from counterfold.operators.folds import with_folds
+from counterfold.operators.folds import Resampling, with_folds
 from counterfold.plans.engine import Engine, estimate_effects
 from counterfold.plans.estimands import (
     AIE,
@@ -36,9 +37,9 @@ from counterfold.plans.registry import (
 from counterfold.sinks import Outputs, merge_results
 
 __all__ = [
-    "AIE", "ATE", "CM", "Configuration", "Constant", "ElasticNet", "Engine", "FitFailed",
+    "AIE", "ATE", "CM", "Configuration", "Constant", "ElasticNet", "Engine", "FitFailed", "Foreign",
     "GenotypeEncoder", "Graph", "Joint", "Linear", "Logistic", "Models", "OSE", "Outputs",
-    "PRESETS", "RestrictedInteractions", "Saturated", "Stack", "TMLE", "Trees", "Tuned",
+    "PRESETS", "Resampling", "RestrictedInteractions", "Saturated", "Stack", "TMLE", "Trees", "Tuned",
     "estimate_effects", "estimators_from_string", "factorial_ate", "identify",
     "merge_results", "preset", "same_model", "with_folds",
 ]

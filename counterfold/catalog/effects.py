@@ -250,6 +250,40 @@ _crossed("cvose_saturated", "ose", OSE(COARSE_Q, cross_fitted=True))
 _crossed("cvtmle_saturated", "tmle", TMLE(COARSE_Q, cross_fitted=True))
 _crossed("cvwtmle_saturated", "wtmle", TMLE(COARSE_Q, weighted=True, cross_fitted=True))
 
+
+
+def _folds_for_sql(size: str) -> str:
+    """The number of folds of an effective size, as the adaptive strategy takes it."""
+    return (f"CASE WHEN {size} < 30 THEN {size} WHEN {size} < 500 THEN 20 WHEN {size} < 5000 "
+            f"THEN 10 WHEN {size} < 10000 THEN 5 ELSE 3 END")
+
+
+_RARE = f"""(SELECT least(sum(c), 5 * min(c)) AS e FROM (
+    SELECT urgent, count(*) AS c FROM ({ORDERS_SQL}) GROUP BY urgent))"""
+# Blocks along the key: the first ``n mod k`` are one longer.
+_BLOCKS = f"""
+  SELECT o.*, CASE WHEN pos < (n % 5) * (n // 5 + 1) THEN pos // (n // 5 + 1)
+              ELSE (pos - (n % 5) * (n // 5 + 1)) // (n // 5) + n % 5 END + 1 AS fold_
+  FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, count(*) OVER () AS n
+        FROM ({ORDERS_SQL})) o"""
+
+
+def _resampled(name: str, base: str, strategy) -> None:
+    study = Study(base, "o_totalprice", ("urgent",), (SEG,), ((SEG, STATUS),),
+                  ate(["true"], ["false"]), fold="fold_")
+
+    @query(name, union([study.select("ose", "OSE", digits=D)]))
+    def run(spark, sf):
+        est = {"OSE": OSE(COARSE_Q, cross_fitted=True)}
+        got = Engine(orders_cohort(spark, sf), [URGENT_QUESTION], est, key="o_orderkey",
+                     resampling=strategy)()
+        return summary(got)
+
+
+_resampled("cvose_adaptive", FOLDED_SQL.replace(
+    "% 3 + 1", f"% (SELECT {_folds_for_sql('e')} FROM {_RARE}) + 1"), "adaptive")
+_resampled("cvose_blocks", _BLOCKS, "5-key")
+
 # A binary outcome also stratifies the folds.
 FOLDED_DEAR = f"""
   SELECT o.*, (start + row_number() OVER (PARTITION BY o.urgent, o.dear ORDER BY o_orderkey) - 1)

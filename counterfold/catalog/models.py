@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from counterfold.catalog.tables import lineitem_cohort, orders_cohort, table
 from counterfold.models import (
     Constant,
     ElasticNet,
+    Foreign,
     Frame,
     Linear,
     Logistic,
@@ -438,6 +440,27 @@ def gbt_grid(spark, sf):
     return out.agg(*[F.round(F.avg(n), 3).alias(n) for n in asked])
 
 
+@query(
+    "foreign_linear",
+    """
+WITH t AS (SELECT k.f, covar_pop(x, y) / var_pop(x) AS b, avg(y) - covar_pop(x, y) / var_pop(x) * avg(x) AS a
+  FROM (SELECT DISTINCT p_partkey % 3 + 1 AS f FROM part) k
+  JOIN (SELECT p_partkey % 3 + 1 AS f, CAST(p_size AS DOUBLE) AS x, p_retailprice AS y FROM part) r
+    ON r.f <> k.f GROUP BY k.f)
+SELECT p_partkey, round(a + b * p_size, 3) AS prediction, round(a + b * 10, 3) AS at_ten
+FROM part JOIN t ON t.f = p_partkey % 3 + 1""",
+)
+def foreign_linear(spark, sf):
+    """A regression of ``pyspark.ml``, cross-fitted, as seen and with a parent set to 10."""
+    rows = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    f = numeric(frame(
+        rows, "p_retailprice", ["p_size"], "regression", (F.col("p_partkey") % 3 + 1).cast("int")))
+    fit = Foreign(LinearRegression(solver="normal", regParam=0.0)).fit_cross(f)
+    out = fit.add(f.df, [Request("prediction"), Request("at_ten", {"p_size": 10})])
+    return out.select(
+        "p_partkey", F.round("prediction", 3).alias("prediction"), F.round("at_ten", 3).alias("at_ten"))
+
+
 # --- stacks ------------------------------------------------------------------------------------
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from counterfold.catalog.effects import (
@@ -33,7 +35,7 @@ from counterfold.plans.engine import Engine, sample_set_id
 from counterfold.plans.registry import OSE, TMLE, Models
 from counterfold.session import scratch_path
 from counterfold.sinks import Outputs, merge_results, sample_references, write_arrow
-from counterfold.sources.readers import read_table
+from counterfold.sources.readers import read_arrow, read_table
 
 QUERIES, ORACLE = {}, {}
 
@@ -220,6 +222,98 @@ def merged(spark, sf):
     )
 
 
+def _interrupted(rows, asked, estimators, out, **options):
+    """A run that stops before its second batch is in the manifest, is taken up, and again."""
+    engine = Engine(rows, asked, estimators, outputs=out, batch_size=1, **options)
+    engine.outputs.initialize(engine.spark)
+    engine.outputs.append(engine.run([0], 1), 1)
+    torn = engine.run([1], 2)  # its results are there, the manifest does not know them
+    for kind in out.kinds():
+        torn.results.write.mode("append").partitionBy("batch_id").format(kind).save(
+            out.path(kind, "results"))
+    for _ in range(2):
+        Engine(rows, asked, estimators, outputs=out, batch_size=1, **options)(resume=True)
+
+
+@query(
+    "resume_twice",
+    f"""
+SELECT f.format, b.estimator, b.estimate, b.n
+FROM ({BATCHED_SQL}) b, (SELECT unnest(['parquet', 'json']) AS format) f""",
+)
+def resume_twice(spark, sf):
+    """Taking a run up after a torn batch, and again after its end, doubles no row."""
+    out = Outputs(parquet=scratch_path(spark, "resumed"), json=scratch_path(spark, "resumed-json"))
+    _interrupted(orders_cohort(spark, sf), BATCHED, {"OSE": OSE(SATURATED)}, out)
+    shown = by_idx(*BATCHED_NAMES)
+    return reduce(DataFrame.unionByName, [
+        summary(out.read(spark, kind, "results"), shown).select(
+            F.lit(kind).alias("format"), "estimator", "estimate", "n") for kind in out.kinds()])
+
+
+@query("json_influence", _influence_sql())
+def json_influence(spark, sf):
+    """Influence values through JSON lines, written in two batches."""
+    mean = E.CM("o_totalprice", {"urgent": True}, {"urgent": [SEG, STATUS]})
+    out = Outputs(json=scratch_path(spark, "json-influence"))
+    _interrupted(orders_cohort(spark, sf), [URGENT_QUESTION, mean], {"OSE": OSE(COARSE_Q)}, out,
+                 key="o_orderkey", pvalue_threshold=1e-4)
+    got = out.read(spark, "json", "influence")
+    return got.select(
+        F.col("idx").cast("int").alias("idx"), "SAMPLE_ID", F.round("ic").cast("bigint").alias("ic"))
+
+
+def _document_runs(spark, sf):
+    """Two runs on other rows with the same variables, each with its rows used; their prefix."""
+    prefix = scratch_path(spark, "sets")
+    rows = documents_cohort(spark, sf)
+    for name, part in (("even", 0), ("odd", 1)):
+        Engine(
+            rows.where(F.col("doc_id") % 2 == part), DOC_QUESTIONS, {"OSE": OSE(SATURATED)},
+            key="doc_id", save_sample_ids=True, pvalue_threshold=1.1, run_id=name, batch_size=2,
+            outputs=Outputs(parquet=f"{prefix}-{name}"),
+        )()
+    return f"{prefix}-"
+
+
+@query(
+    "merge_sample_sets",
+    f"""
+WITH d AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS run_id, * FROM ({DOCUMENTS_SQL}))
+SELECT run_id, CAST(q.idx AS INTEGER) AS idx, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids
+FROM d, (SELECT unnest([0, 1, 2, 3]) AS idx) q
+WHERE CASE q.idx WHEN 2 THEN true WHEN 3 THEN toxic IS NOT NULL ELSE quality IS NOT NULL END
+GROUP BY run_id, q.idx""",
+)
+def merge_sample_sets(spark, sf):
+    """Sets of the same variables in two runs keep apart."""
+    out = Outputs(parquet=scratch_path(spark, "merged-sets"))
+    merge_results(spark, _document_runs(spark, sf), out)
+    results = spark.read.parquet(out.results_path).select("run_id", "idx", "sample_set_id")
+    sets = spark.read.parquet(out.path("parquet", "sample_sets"))
+    return results.join(sets, "sample_set_id").groupBy("run_id", "idx").agg(
+        F.count("*").alias("n"), F.sum("SAMPLE_ID").alias("ids"))
+
+
+@query(
+    "merge_influence",
+    f"""
+WITH d AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS run_id, * FROM ({DOCUMENTS_SQL})),
+s AS (SELECT run_id, CAST(2 AS INTEGER) AS idx, count(*) AS n FROM d GROUP BY run_id
+      UNION ALL SELECT run_id, 0, count(quality) FROM d GROUP BY run_id
+      UNION ALL SELECT run_id, 1, count(quality) FROM d GROUP BY run_id
+      UNION ALL SELECT run_id, 3, count(toxic) FROM d GROUP BY run_id)
+SELECT run_id, idx, n, 0.0 AS mean FROM s""",
+)
+def merge_influence(spark, sf):
+    """Every influence value of two runs in one table; each effect's values have mean zero."""
+    out = Outputs(parquet=scratch_path(spark, "merged-influence"))
+    merge_results(spark, _document_runs(spark, sf), out)
+    kept = spark.read.parquet(out.path("parquet", "influence"))
+    return kept.groupBy("run_id", "idx").agg(
+        F.count("*").alias("n"), (F.abs(F.round(F.avg("ic"), 6)) + 0.0).alias("mean"))
+
+
 # --- sources --------------------------------------------------------------------------------------
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -253,6 +347,24 @@ def scan_arrow(spark, sf):
     return read_table(spark, path)
 
 
+@query(
+    "arrow_splits",
+    """
+SELECT true AS many_tasks, count(*) AS n, sum(doc_id)::BIGINT AS ids, count(DISTINCT doc_id) AS distinct_ids
+FROM documents""",
+)
+def arrow_splits(spark, sf):
+    """One file of many record batches is read by several tasks, each batch once."""
+    path = scratch_path(spark, "one-file")
+    write_arrow(table(spark, sf, "documents").select("doc_id", "source").repartition(1), path,
+                batch_rows=100)
+    rows = read_arrow(spark, path, split_bytes=4096)
+    return rows.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count("*").alias("n"), F.sum("doc_id").alias("ids"), F.count_distinct("doc_id").alias("d")
+    ).agg((F.count("*") > 1).alias("many_tasks"), F.sum("n").alias("n"), F.sum("ids").alias("ids"),
+          F.sum("d").alias("distinct_ids"))
+
+
 CONFIG_YAML = """
 type: Configuration
 estimands:

@@ -49,6 +49,8 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--resume", action="store_true", help="go on after the last finished batch")
     e.add_argument("--max-finite-levels", type=int, default=MAX_FINITE_LEVELS,
                    help="a text column with more levels is not finite")
+    e.add_argument("--resampling", default="3",
+                   help="number of folds or adaptive, then -joint, -outcome or -key")
     e.add_argument("--run-id", default="run")
     m = commands.add_parser("merge", help="put the results of several runs together")
     m.add_argument("prefix", help="prefix of the folders of the runs")
@@ -72,7 +74,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         shuffle=args.shuffle, cache=args.cache_strategy, save_sample_ids=args.save_sample_ids,
         pvalue_threshold=args.pvalue_threshold, outputs=outputs, batch_size=args.chunksize,
         sort_estimands=args.sort_estimands, run_id=args.run_id, verbosity=args.verbosity,
-        max_finite_levels=args.max_finite_levels,
+        max_finite_levels=args.max_finite_levels, resampling=args.resampling,
     )
     engine(resume=args.resume)
     return 0

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,18 +34,18 @@ from counterfold.models.moments import (
     means_and_spread,
     near,
     penalised_quadratic,
+    penalty_path,
     solve_least_squares,
 )
 
 # Fixed values of the penalty path: number of penalties, smallest over largest.
 PATH_LENGTH = 100
 PATH_RATIO = 1e-4
-LOGISTIC_PATH_LENGTH = 20
 # The path ends when a smaller penalty explains this little more, or
 # when this share of the variance is explained.
 PATH_STOP_GAIN = 1e-5
 PATH_STOP_SHARE = 0.999
-# Softmax models above this number of coefficients go to Spark's own solver.
+# Unpenalised and ridge softmax models above this number of coefficients go to Spark's own solver.
 SOFTMAX_COEFFICIENTS = 300
 
 
@@ -230,9 +230,7 @@ class Logistic(Model):
             if fold:
                 return {0: None}
             return {
-                0: _softmax(
-                    frame, design, [self.penalty], 0.0, self.intercept, None, not self.penalty
-                )
+                0: _softmax(frame, design, self.penalty, self.intercept, not self.penalty)
             }
         columns = design.columns()
         means, sds, _ = _scales(frame, columns)
@@ -262,8 +260,8 @@ class ElasticNet(Model):
     """Elastic net whose penalty is chosen by cross-validation over the frame's folds.
 
     Continuous targets: per-fold product sums, then the whole path and its held-out
-    error from those sums.  Two levels: all penalties and folds move together, a few
-    passes over the rows.  More levels: softmax over a coarser grid.
+    error from those sums.  Classes: all penalties and folds move together, a few passes over
+    the rows, however many columns and levels there are.
     """
 
     alpha: float = 1.0
@@ -280,12 +278,7 @@ class ElasticNet(Model):
             raise FitFailed("the elastic net needs a fold column")
         if frame.task == "regression":
             return self._squared(frame, design)
-        if _classes(frame, design):
-            return self._logistic(frame, design)
-        columns = design.columns()
-        top = self._largest_penalty(frame, columns, *_scales(frame, columns))
-        grid = list(np.geomspace(top, top * self.ratio, self.penalties or 10))
-        return _softmax(frame, design, grid, self.alpha, True, frame.folds[0], True)
+        return self._logistic(frame, design)
 
     def _squared(self, frame: Frame, design: Design) -> LinearFit:
         columns = design.columns()
@@ -305,15 +298,16 @@ class ElasticNet(Model):
         left_out = [-1, *frame.fold_numbers()]
         try:
             top = self._largest_penalty(frame, columns, means, sds, shares)
-            grid = np.geomspace(top, top * self.ratio, self.penalties or LOGISTIC_PATH_LENGTH)
+            grid = np.geomspace(top, top * self.ratio, self.penalties or PATH_LENGTH)
             models = [
                 (k, float(lam * self.alpha), float(lam * (1 - self.alpha)))
                 for k in left_out
                 for lam in grid
             ]
-            betas, held, done = logistic_path(
-                rows, len(columns) + 1, models, True, _classes(frame, design)
-            )
+            classes = 1 if frame.task != "multi" else len(frame.levels)
+            ends = partial(_path_end, shares=shares, task=frame.task)
+            betas, held, done, losses = penalty_path(
+                rows, len(columns) + 1, models, classes, end=ends)
         except ValueError as e:
             raise FitFailed(str(e)) from None
         finally:
@@ -328,6 +322,8 @@ class ElasticNet(Model):
                 if size:
                     usable[j] &= done[i] and np.isfinite(each)
                     loss[j] += size * each
+        usable &= np.array(done[: len(grid)])
+        usable[_path_end(losses[: len(grid)], shares, frame.task) :] = False
         if not usable.any():
             raise FitFailed("the mean loss is empty: no penalty converged in every fold")
         best = int(np.nanargmin(np.where(usable, loss, np.inf)))
@@ -346,6 +342,17 @@ class ElasticNet(Model):
         return max(float(top) / total / max(self.alpha, 1e-3), 1e-9)
 
 
+def _path_end(losses: np.ndarray, shares: np.ndarray, task: str) -> int:
+    """How many penalties the path has: it ends where smaller ones explain no more."""
+    p = shares if task == "multi" else np.array([shares[0], 1 - shares[0]])
+    explained = 1 - losses / float(-(p * np.log(p)).sum())
+    for i in range(6, len(losses)):
+        gain = explained[i] - explained[i - 1]
+        if gain < PATH_STOP_GAIN * explained[i] or explained[i] > PATH_STOP_SHARE:
+            return i + 1
+    return len(losses)
+
+
 def _sums(df: DataFrame, columns: Sequence[Column]) -> np.ndarray:
     out = []
     for start in range(0, len(columns), 60):
@@ -426,40 +433,19 @@ class EnetPath:
         return self.path[self.best]
 
 
-def _softmax(frame, design, grid, alpha, intercept, fold, standardise) -> SoftmaxFit:
-    """Multi-level logistic regression; with a fold column the penalty of the grid with
-    the smallest held-out log-loss is used."""
+def _softmax(frame, design, penalty, intercept, standardise) -> SoftmaxFit:
+    """Multi-level logistic regression by Spark's solver."""
     levels = list(frame.levels)
-    label = F.array_position(F.array(*[F.lit(v) for v in levels]), quoted(frame.target)) - 1
     columns = design.columns() or [F.lit(0.0)]
     rows = frame.df.select(
         array_to_vector(F.array(*columns)).alias("features"),
-        label.cast("double").alias("label"),
-        frame.weight.cast("double").alias("weight"),
-        *([F.col(fold).alias("fold")] if fold else []),
+        _label(frame).alias("label"), frame.weight.cast("double").alias("weight"),
     ).persist()
-
-    def model(lam):
-        return LogisticRegression(
-            family="multinomial", weightCol="weight", regParam=float(lam), elasticNetParam=alpha,
-            fitIntercept=intercept, standardization=standardise, maxIter=200, tol=1e-8,
-        )
-
     try:
-        best = grid[0]
-        if fold and len(grid) > 1:
-            judge = MulticlassClassificationEvaluator(metricName="logLoss", weightCol="weight")
-
-            def held_out(k):
-                train = rows.where(F.col("fold") != k)
-                test = rows.where(F.col("fold") == k)
-                return [judge.evaluate(model(lam).fit(train).transform(test)) for lam in grid]
-
-            losses = np.array(frame.each(held_out, frame.fold_numbers()))
-            best = grid[int(np.argmin(losses.mean(axis=0)))]
-        fitted = model(best).fit(rows)
-    except FitFailed:
-        raise
+        fitted = LogisticRegression(
+            family="multinomial", weightCol="weight", regParam=float(penalty), elasticNetParam=0.0,
+            fitIntercept=intercept, standardization=standardise, maxIter=200, tol=1e-8,
+        ).fit(rows)
     except Exception as e:
         raise FitFailed(f"{frame.target}: {e}") from e
     finally:
@@ -469,5 +455,5 @@ def _softmax(frame, design, grid, alpha, intercept, fold, standardise) -> Softma
         raise FitFailed(f"{frame.target} lacks some of its levels")
     b = tuple(tuple(map(float, r[: len(design.names)])) for r in matrix)
     return SoftmaxFit(
-        design, tuple(map(float, fitted.interceptVector.toArray())), b, tuple(levels), float(best)
+        design, tuple(map(float, fitted.interceptVector.toArray())), b, tuple(levels), float(penalty)
     )

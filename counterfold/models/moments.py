@@ -6,7 +6,7 @@ and the driver solves systems of the size of the design (p x p).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -90,12 +90,17 @@ def gram(
             for f in np.unique(k):
                 m = k == f
                 acc[int(f)] = acc.get(int(f), 0.0) + (x[m] * w[m, None]).T @ x[m]
-        if acc:
-            yield pd.DataFrame({"k": list(acc), "v": [a.ravel() for a in acc.values()]})
+        for f, a in acc.items():
+            for i in range(0, q, 64):
+                some = range(i, min(i + 64, q))
+                yield pd.DataFrame({"k": f, "i": list(some), "v": [a[r] for r in some]})
 
-    sums = rows.mapInPandas(partial, "k int, v array<double>")
-    got = sums.groupBy("k").agg(Summarizer.sum(array_to_vector("v")).alias("v")).collect()
-    return {r["k"]: r["v"].toArray().reshape(q, q) for r in got}
+    # a row of the matrix is a key of its own, so no reducer gets whole matrices of all tasks
+    sums = rows.mapInPandas(partial, "k int, i int, v array<double>")
+    got = sums.groupBy("k", "i").agg(Summarizer.sum(array_to_vector("v")).alias("v")).collect()
+    for r in got:
+        out.setdefault(r["k"], np.zeros((q, q)))[r["i"]] = r["v"].toArray()
+    return out
 
 
 def solve_least_squares(g: np.ndarray, intercept: bool) -> tuple[float, np.ndarray]:
@@ -276,3 +281,168 @@ def logistic_path(
                 done[i] = True
                 betas[i] = t + step
     return betas, held, done
+
+
+# --- penalty paths ------------------------------------------------------------------------------
+
+#: Models of a fold whose curvature is summed; the others use the nearest one's.
+CURVATURES = 5
+#: Coefficients of all models of a pass, and scores of a block of rows: bound a task's memory.
+PASS_COEFFICIENTS, PASS_SCORES = 1 << 22, 1 << 20
+
+
+def path_sums(
+    df: DataFrame, betas: np.ndarray, left_out: np.ndarray, classes: int, bent: Sequence[int]
+) -> tuple[dict[int, dict], dict[int, np.ndarray]]:
+    """One pass: losses and gradients of many models, and curvature of those in ``bent``.
+
+    Rows and models are as in ``newton_sums``.  The curvature has a q x q block for each class;
+    what classes do to each other is left out, and made up for by a factor.
+    """
+    m, size_b = betas.shape
+    q = size_b // classes
+    of = {fold: np.flatnonzero(left_out == fold) for fold in np.unique(left_out)}
+
+    def chances(x, b):
+        eta = (x @ b.reshape(-1, q).T).reshape(len(x), -1, classes)
+        if classes == 1:
+            return eta, np.logaddexp(0.0, eta[:, :, 0]), 1.0 / (1.0 + np.exp(-np.clip(eta, -700, 700)))
+        top = eta.max(axis=2, keepdims=True)
+        e = np.exp(eta - top)
+        total = e.sum(axis=2, keepdims=True)
+        return eta, top[:, :, 0] + np.log(total[:, :, 0]), e / total
+
+    def partial(batches):
+        acc, curved = np.zeros((m, 4 + size_b)), np.zeros((len(bent), classes, q, q))
+        seen, step = False, max(1, PASS_SCORES // max(1, m * classes))
+        for pdf in batches:
+            seen = True
+            x_ = pdf.iloc[:, 3:].to_numpy(dtype=float)
+            w_, y_, k_ = (pdf[c].to_numpy(dtype=float) for c in ("w", "y", "k"))
+            for i in range(0, len(x_), step):
+                x, w, y, k = (v[i : i + step] for v in (x_, w_, y_, k_))
+                eta, log_sum, p = chances(x, betas)
+                if classes == 1:
+                    hit = y[:, None]
+                    loss = log_sum - hit * eta[:, :, 0]
+                else:
+                    hit = y[:, None] == np.arange(classes)
+                    loss = log_sum - (eta * hit[:, None, :]).sum(axis=2)
+                loss *= w[:, None]
+                r = (hit[:, None, :] - p) * w[:, None, None]
+                for fold, own in of.items():
+                    train = k != fold
+                    acc[own, 0] += loss[train][:, own].sum(axis=0)
+                    acc[own, 1] += loss[~train][:, own].sum(axis=0)
+                    acc[own, 2] += w[train].sum()
+                    acc[own, 3] += w[~train].sum()
+                    g = r[train][:, own].reshape(train.sum(), -1).T @ x[train]
+                    acc[own, 4:] += g.reshape(len(own), size_b)
+                for at, model in enumerate(bent):
+                    tw = w * (k != left_out[model])
+                    for c in range(classes):
+                        v = tw * p[:, model, c] * (1 - p[:, model, c])
+                        curved[at, c] += (x * v[:, None]).T @ x
+        if seen:
+            yield pd.DataFrame({
+                "m": [*range(m), *(m + i for i in range(len(bent)))],
+                "v": [*acc, *(c.ravel() for c in curved)]})
+
+    sums = df.mapInPandas(partial, "m int, v array<double>")
+    got = sums.groupBy("m").agg(Summarizer.sum(array_to_vector("v")).alias("v")).collect()
+    found, curved = {}, {}
+    for r in got:
+        v = r["v"].toArray()
+        if r["m"] < m:
+            found[r["m"]] = {"loss": v[0], "held_loss": v[1], "w": v[2], "held_w": v[3], "grad": v[4:]}
+        else:
+            curved[bent[r["m"] - m]] = v.reshape(classes, q, q)
+    return found, curved
+
+
+def penalty_path(
+    df: DataFrame, q: int, models: Sequence[tuple[int, float, float]], classes: int = 1,
+    passes: int = 100, tol: float = 1e-9, end: Callable[[np.ndarray], int] | None = None,
+) -> tuple[np.ndarray, dict[int, tuple[float, float]], list[bool], np.ndarray]:
+    """Fit penalised logistic (or softmax) models ``(left out fold, l1, l2)`` together.
+
+    As ``logistic_path``, but a pass sums gradients only, and the curvature of a few models of
+    each fold: each model steps by that of the nearest one on its path, and halves steps
+    that do not lower its loss.  Memory follows models x columns and a few columns x columns.
+
+    With ``end``, the models are paths of equal lengths, the first that of all rows; ``end``
+    gives the length a path of so many first losses should have, and what is beyond it is given up.
+
+    Returns coefficients, mean loss and weight of the rows left out, which models converged,
+    and the mean training losses.
+    """
+    m, size_b = len(models), q * classes
+    left_out = np.array([k for k, _, _ in models])
+    betas, steps = np.zeros((m, size_b)), np.zeros((m, size_b))
+    size, best, plain = np.ones(m), np.full(m, np.inf), np.full(m, np.nan)
+    # a step is carried on by a part of what the last one moved; see the rejection below
+    sober, goals, age = np.zeros((m, size_b)), np.zeros((m, size_b)), np.zeros(m, int)
+    carried = np.zeros(m, bool)
+    held: dict[int, tuple[float, float]] = {}
+    done = np.zeros(m, bool)
+    first = np.arange(size_b) % q == 0
+    wider = classes / (classes - 1) if classes > 1 else 1.0
+    together = max(1, PASS_COEFFICIENTS // size_b)
+    length = int((left_out == left_out[0]).sum())
+    given_up = np.zeros(m, bool)
+    for _ in range(passes):
+        if end is not None:
+            ready = length if done[:length].all() else int(done[:length].argmin())
+            if (stop := end(plain[:ready])) < ready:
+                given_up |= np.arange(m) % length >= stop
+        live = np.flatnonzero(~done & ~given_up)
+        if not len(live):
+            break
+        for start in range(0, len(live), together):
+            part = live[start : start + together]
+            trial = betas[part] + size[part, None] * steps[part]
+            bent = []  # places in ``part`` that cover each fold's path evenly
+            for k in np.unique(left_out[part]):
+                own = np.flatnonzero(left_out[part] == k)
+                bent += sorted({int(own[i]) for i in np.linspace(
+                    0, len(own) - 1, min(CURVATURES, len(own))).round().astype(int)})
+            sums, curved = path_sums(df, trial, left_out[part], classes, bent)
+            if not sums:
+                raise ValueError("no rows")
+            for at, i in enumerate(part):
+                s = sums[at]
+                if s["w"] <= 0:
+                    raise ValueError("no training rows")
+                _, a, b2 = models[i]
+                l1, l2 = np.where(first, 0.0, a), np.where(first, 0.0, b2)
+                t = trial[at]
+                value = s["loss"] / s["w"] + (l1 * np.abs(t)).sum() + 0.5 * (l2 * t * t).sum()
+                if not np.isfinite(value) or value > best[i] + 1e-12 * abs(best[i]):
+                    if carried[i]:
+                        steps[i], carried[i], age[i] = sober[i], False, 0
+                    else:
+                        size[i] *= 0.5
+                        done[i] = size[i] < 1e-6
+                    continue
+                gain = best[i] - value
+                betas[i], best[i], size[i] = t, value, 1.0
+                plain[i] = s["loss"] / s["w"]
+                w = s["held_w"]
+                held[i] = (s["held_loss"] / w, w) if w > 0 else (0.0, 0.0)
+                near_one = min((b for b in bent if left_out[part[b]] == left_out[i]),
+                               key=lambda b: abs(b - at))
+                blocks = curved[near_one] * wider / s["w"]
+                g, step, worst = s["grad"] / s["w"], np.zeros(size_b), 0.0
+                for c in range(classes):
+                    own = slice(c * q, (c + 1) * q)
+                    h = blocks[c]  # columns without spread have no curvature and rest
+                    goal = penalised_quadratic(h, g[own] + h @ t[own], t[own], l1[own], l2[own])
+                    step[own] = goal - t[own]
+                    worst = max(worst, float(np.max(step[own] ** 2 * np.diag(h))))
+                onward = max(age[i] - 1, 0) / (age[i] + 2) * (t + step - goals[i])
+                carried[i] = bool(onward.any())
+                sober[i], goals[i], steps[i], age[i] = step, t + step, step + onward, age[i] + 1
+                if np.sqrt(worst) < np.sqrt(tol) or (gain < 1e-14 and not carried[i]):
+                    done[i] = True
+                    betas[i] = t + step
+    return betas, held, (done & ~given_up).tolist(), plain

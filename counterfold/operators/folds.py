@@ -8,7 +8,7 @@ from a window, the rest from a table of bucket counts and its running sums.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,12 +32,12 @@ FOLDS_LARGE = 3
 RARE_CLASS_FACTOR = 5
 # Fixed value: folds when none are asked for.
 DEFAULT_FOLDS = 6
+# Fixed value: folds of a run unless it says otherwise.
+DEFAULT_ENGINE_FOLDS = 3
 
 POS = "__pos"
 HASH_BITS = 12
 MAX_BUCKETS = 4096
-# Buckets below this many rows are never looked at twice.
-LARGE_BUCKET = 1_000_000
 
 
 def with_row_key(df: DataFrame, name: str = "__row") -> DataFrame:
@@ -89,6 +89,8 @@ def _as_number(df: DataFrame, key: str) -> Column:
 
 
 def key_order(df: DataFrame, key: str, seed: int | None = None) -> KeyOrder:
+    """The order of a table by a key, which must be unique and never null."""
+    check_key(df, key)
     if seed is not None:
         return KeyOrder(key, seed)
     wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -162,7 +164,6 @@ def place(df, key, stratum=None, seed=None, ordering=None) -> Placed:
         .agg(F.count(F.lit(1)).alias("__c"), F.min("__o").alias("__first"))
         .persist()
     )
-    _check_unique(counts, ordering)
     before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     inside = counts.withColumn("__in", F.coalesce(F.sum("__c").over(before), F.lit(0)))
     # Strata by first appearance: running totals in two steps, by the bucket in
@@ -192,14 +193,76 @@ def place(df, key, stratum=None, seed=None, ordering=None) -> Placed:
     return Placed(placed, counts)
 
 
-def _check_unique(counts: DataFrame, ordering: KeyOrder) -> None:
-    """Buckets of a unique key are about equal.  One that is far too large means equal
-    keys, which no bucket border can part: say so instead of ranking them in one task."""
-    per = counts.groupBy("__b").agg(F.sum("__c").alias("c"))
-    row = per.agg(F.sum("c").alias("n"), F.max("c").alias("top")).first()
-    buckets = len(ordering.cuts) + 1 if ordering.seed is None else 2**HASH_BITS
-    if row["n"] and row["top"] > max(20 * row["n"] / buckets, LARGE_BUCKET):
-        raise ValueError(f"the key {ordering.key} is not unique: {row['top']} rows lie together")
+def check_key(df: DataFrame, key: str) -> None:
+    """Raise unless every row has a key of its own: ranks and folds would not be defined.
+
+    Keys are counted before they are shuffled, so a key that many rows share is one row a task.
+    """
+    k = quoted(key)
+    bad = df.groupBy(k.alias("k")).count().where("k IS NULL OR count > 1").orderBy(
+        F.col("count").desc()).first()
+    if bad is not None:
+        what = "is null" if bad["k"] is None else f"is not unique: {bad['k']!r} lies"
+        raise ValueError(f"the key {key} {what} in {bad['count']} rows")
+
+
+@dataclass(frozen=True)
+class Resampling:
+    """How a run splits its rows.
+
+    ``folds``: their number, or None for one that follows from the rows (from those of the rarest
+    stratum, if there are strata).  ``by``: ``joint`` balances folds over the treatments and
+    a two-level outcome, ``outcome`` over such an outcome alone, ``key`` cuts blocks in
+    the order of the key.  ``patterns`` choose among the treatments by name.
+    """
+
+    folds: int | None = DEFAULT_ENGINE_FOLDS
+    by: str = "joint"
+    patterns: tuple[str, ...] | None = None
+
+    def __post_init__(self):
+        if self.by not in ("joint", "outcome", "key"):
+            raise ValueError(f"unknown resampling: {self.by}")
+        if self.folds is not None and self.folds < 2:
+            raise ValueError("two folds at least")
+
+    def stratum(self, df, features, outcome, kinds) -> Column | None:
+        if self.by == "key":
+            return None
+        named = features if self.by == "joint" else []
+        return stratum_column(df, named, outcome, self.patterns if named else None, kinds)
+
+    def assign(self, placed: Placed, names: Sequence[str]) -> tuple[DataFrame, int]:
+        """The fold columns, each balanced inside those before it, and the number of folds."""
+        k = self.folds
+        rows = rarest = None
+        if k is None or self.by == "key":
+            rows, rarest = placed.sizes()
+        if k is None:
+            k = max(2, folds_for(rows if self.by == "key" else min(rows, RARE_CLASS_FACTOR * rarest)))
+        pos = F.col(POS)
+        columns = {
+            name: contiguous(pos, k, rows) if self.by == "key" and level == 0
+            else round_robin(pos, k, level - (self.by == "key"))
+            for level, name in enumerate(names)
+        }
+        return placed.df.withColumns(columns).drop(POS), k
+
+
+def resampling_from(value) -> Resampling:
+    """A strategy, a number of folds, a mapping of its fields, or text such as ``adaptive``,
+    ``5``, ``adaptive-outcome`` or ``4-key``."""
+    if isinstance(value, Resampling):
+        return value
+    if isinstance(value, int):
+        return Resampling(value)
+    if isinstance(value, Mapping):
+        own = dict(value)
+        if own.get("patterns") is not None:
+            own["patterns"] = tuple(own["patterns"])
+        return Resampling(**own)
+    number, _, by = str(value).partition("-")
+    return Resampling(None if number == "adaptive" else int(number), by or "joint")
 
 
 def round_robin(pos: Column, folds: int, level: int = 0) -> Column:

@@ -18,9 +18,8 @@ from counterfold.functions.scalar import quoted
 
 # A column with at most this many distinct values may count as finite.
 MAX_FINITE_LEVELS = 100
-# Columns profiled by one scan, and rows looked at before it.
-COLUMNS_PER_PASS = 40
-FIRST_ROWS = 2_000
+# Columns profiled by one scan.
+COLUMNS_PER_PASS = 200
 
 
 @dataclass(frozen=True)
@@ -71,73 +70,38 @@ def profile(
 ) -> dict[str, ColumnProfile]:
     """Rows, nulls and, where there are few, the levels of each column.
 
-    A look at the first rows finds the columns that already show too many values: they
-    are not finite, whatever follows.  The levels of the others are counted in one
-    scan by grouping sets, whose partial sums stay small.
+    One scan counts and sketches the distinct values of all columns; a second collects the values
+    of those whose sketch is small.  A sketch errs by a few percent, so twice the limit
+    is enough to miss no column that has few; how many it has is then counted exactly.
     """
     names = list(dict.fromkeys(columns if columns is not None else df.columns))
     fields = {f.name: f.dataType for f in df.schema.fields}
     missing = [c for c in names if c not in fields]
     if missing:
         raise ValueError(f"columns not in the table: {missing}")
-    if not names:
-        return {}
-    seen = df.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(names)]).limit(FIRST_ROWS)
-    first = seen.collect()
-    many = {c for i, c in enumerate(names) if len({r[i] for r in first}) > max_levels + 1}
     out: dict[str, ColumnProfile] = {}
-    few = [c for c in names if c not in many]
-    rest = [c for c in names if c in many]
-    for start in range(0, max(len(few), 1), COLUMNS_PER_PASS):
-        part = few[start : start + COLUMNS_PER_PASS]
-        _count_levels(df, part, rest if start == 0 else [], fields, max_levels, out)
-    return {c: out[c] for c in names}
-
-
-def _count_levels(df, few, filled, fields, max_levels, out) -> None:
-    counts = [F.count(F.lit(1)).alias("n")]
-    counts += [F.count(quoted(c)).alias(f"f{i}") for i, c in enumerate(filled)]
-    if not few:
-        row = df.agg(*counts).first()
-        rows, totals, levels = row["n"], [row[f"f{i}"] for i in range(len(filled))], {}
-    else:
-        keys = [f"k{i}" for i in range(len(few))]
-        named = df.select(
-            *[quoted(c).alias(k) for c, k in zip(few, keys)], *[quoted(c) for c in filled]
-        )
-        counted = named.groupingSets([[F.col(k)] for k in keys], *keys).agg(
-            *counts, *[F.grouping(k).alias(f"g{i}") for i, k in enumerate(keys)]
-        )
-        bound = len(few) * (max_levels + 2)
-        got = counted.limit(bound + 1).collect()
-        if len(got) > bound:
-            # Some column has many values after all; leave its groups where they are.
-            mark = F.coalesce(*[F.when(F.col(f"g{i}") == 0, i) for i in range(len(few))])
-            sizes = counted.groupBy(mark.alias("set")).agg(F.count(F.lit(1)).alias("c")).collect()
-            fit = [r["set"] for r in sizes if r["c"] <= max_levels + 1]
-            got = counted.where(mark.isin(fit)).collect() if fit else []
-            few_of = {few[i] for i in fit}
-            filled = [*filled, *[c for c in few if c not in few_of]]
-            row = df.agg(F.count(F.lit(1)).alias("n"),
-                         *[F.count(quoted(c)).alias(f"f{i}") for i, c in enumerate(filled)]).first()
-            rows, totals = row["n"], [row[f"f{i}"] for i in range(len(filled))]
-        else:
-            own = [r for r in got if r["g0"] == 0]
-            rows = sum(r["n"] for r in own)
-            totals = [sum(r[f"f{i}"] for r in own) for i in range(len(filled))]
-        levels = {
-            c: {r[f"k{i}"]: r["n"] for r in got if r[f"g{i}"] == 0}
-            for i, c in enumerate(few)
-            if c not in filled
-        }
-    limit = finite_threshold(rows, max_levels)
-    for c, n in zip(filled, totals):
-        out[c] = ColumnProfile(c, fields[c], rows, rows - n, rows, None, limit)
-    for c, by_level in levels.items():
-        nulls = by_level.pop(None, 0)
-        values = tuple(sorted(by_level))
-        kept = values if len(values) <= max_levels else None
-        out[c] = ColumnProfile(c, fields[c], rows, nulls, len(values), kept, limit)
+    for start in range(0, len(names), COLUMNS_PER_PASS):
+        part = names[start : start + COLUMNS_PER_PASS]
+        plain = [c for c in part if not isinstance(
+            fields[c], (T.ArrayType, T.MapType, T.StructType))]
+        row = df.agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.count(quoted(c)).alias(f"f{i}") for i, c in enumerate(part)],
+            *[F.approx_count_distinct(quoted(c)).alias(f"d{plain.index(c)}") for c in plain],
+        ).first()
+        few = [c for i, c in enumerate(plain) if row[f"d{i}"] <= 2 * (max_levels + 2)]
+        sets = df.agg(*[F.collect_set(quoted(c)).alias(f"s{i}") for i, c in enumerate(few)]).first(
+        ) if few else None
+        limit = finite_threshold(row["n"], max_levels)
+        for i, c in enumerate(part):
+            values, distinct = None, row["n"]
+            if c in few:
+                values = tuple(sorted(set(sets[f"s{few.index(c)}"])))
+                distinct = len(values)
+            kept = values if values is not None and distinct <= max_levels else None
+            out[c] = ColumnProfile(
+                c, fields[c], row["n"], row["n"] - row[f"f{i}"], distinct, kept, limit)
+    return out
 
 
 def column_kinds(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

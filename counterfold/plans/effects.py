@@ -12,10 +12,12 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from counterfold.models.base import WEIGHT
+from counterfold.models.moments import gram
 
 # Terms summed by one aggregation; more would outgrow compiled methods.
 SUMS_PER_PASS = 48
@@ -153,8 +155,8 @@ def sums(df: DataFrame, expressions: Sequence[str]) -> list:
 def estimate(
     df: DataFrame, effects: Sequence[Effect], joint: Sequence[Sequence[int]] = ()
 ) -> tuple[list[Answer], dict[tuple[int, int], float]]:
-    """Estimates of all effects together, and covariances of the influence values of
-    the index pairs inside each group of ``joint``."""
+    """Estimates of all effects together, and covariances of the influence values of the
+    index pairs inside each group of ``joint``: three passes, however many pairs there are."""
     if not effects:
         return [], {}
     n = WEIGHT
@@ -209,20 +211,6 @@ def estimate(
             f"sum({n} * {u} * {u})",
             f"sum({e.clever()} * {e.clever()} * {e.v})",
         ]
-    pairs = [
-        (i, j)
-        for group in joint
-        for a, i in enumerate(group)
-        for j in group[a + 1 :]
-        if problems[i] is None and problems[j] is None
-    ]
-    for i, j in pairs:
-        a, b = effects[i], effects[j]
-        # Parts about different outcomes never sit on compressed cells, so v is 0.
-        second += [
-            f"sum({n} * ({a.uncentred()} - {_num(a.shift)}) * ({b.uncentred()} - {_num(b.shift)}))",
-            f"sum({a.clever()} * {b.clever()} * sqrt({a.v} * {b.v}))",
-        ]
     got = sums(df, second) if second else []
     answers: list[Answer] = [
         Answer(math.nan, math.nan, int(total), 0, math.nan, 0.0, p or "failed") for p in problems
@@ -239,13 +227,28 @@ def estimate(
             psi, math.sqrt(max(var, 0.0)), round(total), round(per[i][1]), per[i][2], e.eps
         )
     cov = {}
-    rest = got[4 * len(live) :]
-    for at, (i, j) in enumerate(pairs):
-        cross, spread = rest[2 * at : 2 * at + 2]
-        cov[i, j] = (cross + spread - total * offset[i] * offset[j]) / (total - 1)
+    for group in joint:
+        own = [i for i in group if problems[i] is None]
+        if len(own) > 1:
+            cross = _cross_sums(df, [effects[i] for i in own])
+            for x, i in enumerate(own):
+                for y in range(x + 1, len(own)):
+                    j = own[y]
+                    cov[i, j] = float(cross[x, y] - total * offset[i] * offset[j]) / (total - 1)
     return answers, cov
 
 
+def _cross_sums(df: DataFrame, effects: Sequence[Effect]) -> np.ndarray:
+    """Sums of products of the centred influence values of all pairs, in one pass over the
+    rows for any number of effects; cells add what varies inside them."""
+    centred = [F.expr(f"({e.uncentred()} - {_num(e.shift)})") for e in effects]
+    cross = gram(df, centred, F.expr(WEIGHT))
+    inside = [F.expr(f"({e.clever()} * sqrt({e.v}))") for e in effects]
+    within = gram(df, inside, F.lit(1.0))
+    size = (len(effects), len(effects))
+    return cross.get(0, np.zeros(size)) + within.get(0, np.zeros(size))
+
+
 def _logistic_fluctuations(df: DataFrame, effects: Sequence[Effect]) -> list[Effect]:
     """One-coefficient logistic fits with an offset, all by Newton steps together.
 

@@ -24,11 +24,11 @@ from counterfold.functions.scalar import quoted, two_sided_p
 from counterfold.models.base import WEIGHT, FitFailed, Frame, Request, literal, release, transforms
 from counterfold.models.simple import Saturated
 from counterfold.operators.folds import (
-    POS,
+    Placed,
+    Resampling,
     key_order,
-    round_robin,
-    stratum_column,
-    with_positions,
+    place,
+    resampling_from,
     with_row_key,
 )
 from counterfold.operators.schema import MAX_FINITE_LEVELS, ColumnProfile, complete_cases, profile
@@ -58,7 +58,8 @@ NO_CACHE = "no-cache"
 FACTORIAL = "factorialATE"
 DEFAULT_KEY = "SAMPLE_ID"
 DEFAULT_BATCH = 100
-FOLDS = 3
+# Columns in one word of a row's null mask.
+MASK_BITS = 62
 
 Z_95 = 1.959963984540054
 # Cells instead of rows when their possible number is below this share of the rows.
@@ -174,6 +175,7 @@ class Prepared:
     folds: tuple[str, ...]
     y: dict[str, str]
     v: dict[str, str]
+    n_folds: int = 1
 
 
 @dataclass
@@ -203,7 +205,9 @@ class Engine:
         run_id: str = "run",
         verbosity: int = 0,
         max_finite_levels: int = MAX_FINITE_LEVELS,
+        resampling: Resampling | int | str | dict = Resampling(),
     ):
+        self.resampling = resampling_from(resampling)
         spark = spark or (dataset.sparkSession if isinstance(dataset, DataFrame) else None)
         spark = spark or SparkSession.getActiveSession()
         self.spark = spark
@@ -246,6 +250,7 @@ class Engine:
         self._ordering = None
         self._ordering_lock = Lock()
         self._held: list[DataFrame] = []
+        self._sets_written: set[int] = set()
         self._shuffle_seed = seed if shuffle else None
 
     # --- shared pieces -----------------------------------------------------------
@@ -257,23 +262,18 @@ class Engine:
         with ThreadPoolExecutor(min(self.parallelism, len(items))) as pool:
             return list(pool.map(fn, items))
 
-    def _positions(self, rows: DataFrame, stratum) -> DataFrame:
+    def _placed(self, rows: DataFrame, stratum) -> Placed:
         with self._ordering_lock:
             if self._ordering is None:
                 self._ordering = key_order(self.df, self.key, self._shuffle_seed)
-        return with_positions(rows, self.key, stratum, self._shuffle_seed, self._ordering)
+        return place(rows, self.key, stratum, self._shuffle_seed, self._ordering)
 
-    def _with_fold_columns(self, rows, features, outcome, depth) -> tuple[DataFrame, tuple]:
-        """Folds balanced over the finite features and outcome; one column per depth."""
-        stratum = stratum_column(rows, features, outcome, None, self.kinds)
-        placed = self._positions(rows, stratum)
+    def _with_fold_columns(self, rows, features, outcome, depth) -> tuple[DataFrame, tuple, int]:
+        """Folds by the run's strategy, one column per depth, and their number."""
+        placed = self._placed(rows, self.resampling.stratum(rows, features, outcome, self.kinds))
         names = tuple(f"__f{i}" for i in range(depth))
-        return (
-            placed.withColumns(
-                {f: round_robin(F.col(POS), FOLDS, i) for i, f in enumerate(names)}
-            ).drop(POS),
-            names,
-        )
+        df, k = self.resampling.assign(placed, names)
+        return df, names, k
 
     def _all_finite(self, columns: Iterable[str]) -> bool:
         return all(self.kinds[c].finite for c in columns)
@@ -286,8 +286,8 @@ class Engine:
                      (F.var_pop(c) * F.count(F.lit(1))).alias("__v0")]
         return rows.groupBy(*[quoted(c) for c in by]).agg(*aggs)
 
-    def _few_cells(self, columns: Iterable[str], folds: int) -> bool:
-        size, rows = FOLDS**folds, 1
+    def _few_cells(self, columns: Iterable[str], folds: int, k: int) -> bool:
+        size, rows = k**folds, 1
         for c in columns:
             size *= max(1, self.kinds[c].distinct)
             rows = self.kinds[c].rows
@@ -303,12 +303,13 @@ class Engine:
         crossed = any(e.cross_fitted for e in self.estimators.values())
         depth = max([m.depth for m in models], default=0) + (1 if crossed else 0)
         folds: tuple[str, ...] = ()
+        k = self.resampling.folds or 1
         if depth:
             # of the whole run, not of the batch: folds do not depend on what is answered together
             features = sorted(treatments_of(self.estimands) & set(group.variables))
             outcome = group.outcomes[0] if len(group.outcomes) == 1 else None
             binary = outcome is not None and self.kinds[outcome].binary
-            rows, folds = self._with_fold_columns(
+            rows, folds, k = self._with_fold_columns(
                 rows, features, outcome if binary else None, depth
             )
         covariates = [c for c in group.variables if c not in group.outcomes]
@@ -319,7 +320,7 @@ class Engine:
             and all(m.cells for m in models)
             and (
                 all(isinstance(m, Saturated) for m in models)
-                or (self._all_finite(covariates) and self._few_cells(covariates, depth))
+                or (self._all_finite(covariates) and self._few_cells(covariates, depth, k))
             )
         )
         if compress:
@@ -332,7 +333,7 @@ class Engine:
             ys = {o: f"__y{i}" for i, o in enumerate(group.outcomes)}
             vs = {o: f"__v{i}" for i, o in enumerate(group.outcomes)}
             frame = self._as_rows(rows, ys, vs)
-        return Prepared(frame.persist(), rows, compress, folds, ys, vs)
+        return Prepared(frame.persist(), rows, compress, folds, ys, vs, k)
 
     @staticmethod
     def _as_rows(rows: DataFrame, ys: dict, vs: dict) -> DataFrame:
@@ -376,7 +377,6 @@ class Engine:
             "parents": nuisance.parents,
             "kinds": self.kinds,
             "treatments": treatments,
-            "n_folds": FOLDS,
             "seed": self.seed,
             "fits": self._map,
         }
@@ -389,7 +389,7 @@ class Engine:
             levels = target.levels
             task = "binary" if len(levels) == 2 else "multi"
         shared = crossed or is_q or (model.depth == 0 and self._same_rows(nuisance, group))
-        own_rows = None
+        own_rows, k = None, prepared.n_folds
         if shared:
             df, folds = prepared.frame, prepared.folds
         else:
@@ -402,11 +402,12 @@ class Engine:
             )
             folds = ()
             if model.depth:
-                df, folds = self._with_fold_columns(df, [nuisance.target], None, model.depth)
+                df, folds, k = self._with_fold_columns(
+                    df, [nuisance.target], None, model.depth)
             if model.cells and (
                 isinstance(model, Saturated)
                 or (self._all_finite(nuisance.parents)
-                    and self._few_cells(names, model.depth))
+                    and self._few_cells(names, model.depth, k))
             ):
                 df = self._as_cells(df, [*names, *folds], None)
             else:
@@ -418,7 +419,7 @@ class Engine:
             y = (quoted(nuisance.target) == literal(levels[1], target)).cast("double")
         else:
             y = F.lit(0.0)
-        frame = Frame(df=df, y=y, task=task, levels=levels, folds=folds, **common)
+        frame = Frame(df=df, y=y, task=task, levels=levels, folds=folds, n_folds=k, **common)
         try:
             fitted = model.fit_cross(frame) if crossed else model.fit(frame)
         except FitFailed:
@@ -702,7 +703,10 @@ class Engine:
     def __call__(self, resume: bool = False) -> DataFrame | None:
         """Answer everything in batches, each appended to the outputs.  With ``resume``
         the batches that are already written are left as they are."""
-        done = self.outputs.finished(self.spark) if resume else set()
+        written = self.outputs.manifest(self.spark) if resume else []
+        done = {r["batch_id"] for r in written}
+        # a set of rows is written by the first batch that uses it
+        self._sets_written = {s for r in written for s in r["sample_sets"] or []}
         if not resume:
             self.outputs.initialize(self.spark)
         collected = []
@@ -710,7 +714,8 @@ class Engine:
             if number in done:
                 continue
             got = self.run(self.order[start : start + self.batch_size], number)
-            self.outputs.append(got)
+            self.outputs.append(got, number)
+            self._sets_written |= self._sets_of(self.order[start : start + self.batch_size])
             if not self.outputs.any:
                 collected.append(got.results)
             self._let_go()
@@ -720,17 +725,40 @@ class Engine:
             return reduce(DataFrame.unionByName, collected)
         return None
 
+    def _sets_of(self, indices: Sequence[int]) -> set[int]:
+        return {sample_set_id(self.estimands[i].variables()) for i in indices}
+
     def sample_sets(self, indices: Sequence[int]) -> DataFrame:
-        """Rows used, once per distinct set of variables."""
+        """Rows used, once per distinct set of variables: one scan, however many sets."""
         sets = {tuple(sorted(self.estimands[i].variables())) for i in indices}
-        parts = [
-            complete_cases(self.df, vs).select(
-                F.lit(sample_set_id(vs)).alias("sample_set_id"),
-                quoted(self.key).alias("SAMPLE_ID"),
-            )
-            for vs in sorted(sets)
+        sets = {vs for vs in sets if sample_set_id(vs) not in self._sets_written}
+        names = sorted({v for vs in sets for v in vs})
+        # which columns of a row are null, and which a set uses, as words of bits
+        spots = [names[i : i + MASK_BITS] for i in range(0, len(names), MASK_BITS)]
+        holes = [
+            reduce(lambda a, b: a.bitwiseOR(b), [
+                F.when(quoted(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+                for i, c in enumerate(spot)])
+            for spot in spots
         ]
-        return reduce(DataFrame.unionByName, parts)
+        asked = F.array(*[
+            F.struct(
+                F.lit(sample_set_id(vs)).alias("id"),
+                *[F.lit(sum(1 << i for i, c in enumerate(spot) if c in vs)).cast("long").alias(
+                    f"m{w}") for w, spot in enumerate(spots)])
+            for vs in sorted(sets)
+        ])
+        if not sets:
+            asked, spots, holes = F.array().cast("array<struct<id: bigint>>"), [], []
+        rows = self.df.select(
+            quoted(self.key).alias("SAMPLE_ID"), *[h.alias(f"__hole{w}") for w, h in enumerate(holes)])
+
+        def whole(s):
+            return reduce(lambda a, b: a & b, [
+                s[f"m{w}"].bitwiseAND(F.col(f"__hole{w}")) == 0 for w in range(len(spots))], F.lit(True))
+
+        return rows.select("SAMPLE_ID", F.explode(F.filter(asked, whole)).alias("s")).select(
+            F.col("s.id").alias("sample_set_id"), "SAMPLE_ID")
 
     def _row(self, idx: int, name: str, got: tuple, batch_id: int) -> tuple:
         question = self.estimands[idx]

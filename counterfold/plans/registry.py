@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import yaml
 from pyspark.sql import SparkSession
 
+from counterfold.models.foreign import foreign_from_dict
 from counterfold.models import (
     Constant,
     ElasticNet,
@@ -212,6 +213,8 @@ def model_from_dict(d) -> Model:
             Trees(**base),
             **{k: tuple(v) for k, v in options.items() if k in ("max_depth", "penalty")},
         )
+    if name == "spark":
+        return foreign_from_dict(options)
     if name == "saturated":
         on = options.get("on")
         return Saturated(tuple(on) if on is not None else None)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from counterfold.sources.arrow import SPLIT_BYTES, ArrowSource, files_of, place, plain
 from counterfold.plans.estimands import Configuration, configuration_from_dict
 
 
@@ -39,22 +40,26 @@ def _open(content: bytes):
         return s.schema, iter(s)
 
 
-def _plain(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Dictionary-coded columns as their values, large strings as strings."""
-    columns = []
-    for column, f in zip(batch.columns, batch.schema):
-        if pa.types.is_dictionary(f.type):
-            column = column.dictionary_decode()
-        if pa.types.is_large_string(column.type):
-            column = column.cast(pa.string())
-        columns.append(column)
-    return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-
-def read_arrow(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Arrow IPC files, one task per file: a table of many files is read in parallel.
-    In a folder every file but ``.csv`` is one, whatever its extension.  The schema comes
-    from the first file unless it is given."""
+def read_arrow(
+    spark: SparkSession, path: str, schema: T.StructType | None = None,
+    split_bytes: int = SPLIT_BYTES,
+) -> DataFrame:
+    """Arrow IPC files, split by ranges of record batches.  In a folder every file but ``.csv``
+    is one, whatever its extension.  The schema comes from the first file unless it is given.
+    Where only Spark can open the path, a task reads a file."""
+    try:
+        place(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return _read_whole_files(spark, path, schema)
+    if not files_of(path):
+        raise FileNotFoundError(path)
+    spark.dataSource.register(ArrowSource)
+    reader = spark.read.format(ArrowSource.name()).option("splitbytes", split_bytes)
+    return (reader.schema(schema) if schema else reader).load(path)
+
+
+def _read_whole_files(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+    """Arrow IPC files through Spark's own file systems, one task per file."""
     files = spark.read.format("binaryFile").load(path).where(~F.col("path").endswith(".csv"))
     if schema is None:
 
@@ -65,7 +70,7 @@ def read_arrow(spark: SparkSession, path: str, schema: T.StructType | None = Non
                     empty = pa.RecordBatch.from_arrays(
                         [pa.array([], type=f.type) for f in found], schema=found
                     )
-                    text = _plain(empty).schema.serialize().to_pybytes()
+                    text = plain(empty).schema.serialize().to_pybytes()
                     yield pa.RecordBatch.from_pydict({"s": [text]})
                     return
 
@@ -79,7 +84,7 @@ def read_arrow(spark: SparkSession, path: str, schema: T.StructType | None = Non
             for content in b.column("content"):
                 _, inner = _open(content.as_buffer())
                 for batch in inner:
-                    yield _plain(batch)
+                    yield plain(batch)
 
     return files.select("content").mapInArrow(batches_of, schema)
 

@@ -29,36 +29,37 @@ def expit(x):
     return 1 / (1 + np.exp(-x))
 
 
-def cohort(n=2000, seed=1):
-    """Two treatments, two confounders, a covariate; outcomes of three kinds.
+def cohort(n=2000, seed=11):
+    """Patients with a drug and a diet, given by age and mass; three outcomes.
 
-    Interaction of T1 and T2 on the continuous outcome: 0.5; their joint effect: -0.5.
+    On the blood pressure the drug adds 1.2, the diet takes 0.8, both together add 0.6 more.
+    Three patients have an unknown recovery.
     """
     r = np.random.default_rng(seed)
-    w1, w2, c1 = r.uniform(size=(3, n))
-    t1 = r.uniform(size=n) < expit(0.5 * np.sin(w1) - 1.5 * w2)
-    t2 = r.uniform(size=n) < expit(-3 * w1 - 1.5 * w2)
-    mu = 1 + 2 * w1 + 3 * w2 - 4 * c1 * t1 + t1 + t2 * w2 * t1
-    binary = pd.Series((r.uniform(size=n) < expit(mu))).astype(object)
-    binary[0] = None
+    age, mass, income = r.normal(size=n), r.uniform(-1, 1, n), r.exponential(1.0, n)
+    drug = r.uniform(size=n) < expit(0.4 - 0.8 * age)
+    diet = r.uniform(size=n) < expit(mass - 0.5)
+    level = 10 - 3 * age + 2 * mass + 0.5 * income + 1.2 * drug - 0.8 * diet + 0.6 * drug * diet
+    recovered = pd.Series(r.uniform(size=n) < expit(0.3 * (level - 10) + 0.5)).astype(object)
+    recovered[[4, 9, 14]] = None
     return pd.DataFrame(
         {
             "SAMPLE_ID": np.arange(1, n + 1),
-            "T1": t1,
-            "T2": t2,
-            "W1": w1,
-            "W2": w2,
-            "C1": c1,
-            "CONTINUOUS, OUTCOME": mu + r.normal(0, 0.01, n),
-            "BINARY/OUTCOME": binary,
-            "COUNT_OUTCOME": r.integers(1, 5, n),
+            "drug": drug,
+            "diet": diet,
+            "age": age,
+            "mass": mass,
+            "income": income,
+            "pressure (mm/Hg), mean": level + r.normal(0, 0.3, n),
+            "recovered?": recovered,
+            "visits": r.poisson(2 + drug, n),
         }
     )
 
 
 SCHEMA = (
-    "SAMPLE_ID bigint, T1 boolean, T2 boolean, W1 double, W2 double, C1 double, "
-    "`CONTINUOUS, OUTCOME` double, `BINARY/OUTCOME` boolean, COUNT_OUTCOME bigint"
+    "SAMPLE_ID bigint, drug boolean, diet boolean, age double, mass double, income double, "
+    "`pressure (mm/Hg), mean` double, `recovered?` boolean, visits bigint"
 )
 
 

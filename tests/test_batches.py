@@ -10,8 +10,8 @@ from counterfold.sources.readers import read_arrow
 
 def test_folds_do_not_depend_on_the_batch(people):
     levels = {"case": True, "control": False}
-    questions = [ATE("CONTINUOUS, OUTCOME", {"T1": levels}, {"T1": ["W1", "T2"]}),
-                 ATE("CONTINUOUS, OUTCOME", {"T2": levels}, {"T2": ["W1", "T1"]})]
+    questions = [ATE("pressure (mm/Hg), mean", {"drug": levels}, {"drug": ["age", "diet"]}),
+                 ATE("pressure (mm/Hg), mean", {"diet": levels}, {"diet": ["age", "drug"]})]
     found = []
     for size in (1, 10):
         engine = Engine(people, questions, "cvose--glm", key="SAMPLE_ID", batch_size=size)
@@ -22,7 +22,7 @@ def test_folds_do_not_depend_on_the_batch(people):
 def test_unfinished_fluctuation_is_reported(people, monkeypatch):
     monkeypatch.setattr(effects, "FLUCTUATION_PASSES", 1)
     levels = {"case": True, "control": False}
-    question = ATE("BINARY/OUTCOME", {"T1": levels}, {"T1": ["W1", "W2"]})
+    question = ATE("recovered?", {"drug": levels}, {"drug": ["age", "mass"]})
     row = Engine(people, [question], "tmle--glm", key="SAMPLE_ID")().first()
     assert "converge" in str(row)
 

@@ -1,4 +1,7 @@
+from itertools import combinations
+
 import pytest
+from pyspark.sql import functions as F
 
 from counterfold.operators.features import (
     GenotypeEncoder,
@@ -7,32 +10,33 @@ from counterfold.operators.features import (
     RestrictedInteractions,
 )
 
-X = ["rs1234", "rs4567", "sex", "Age", "PC_1", "PC_2"]
+COLUMNS = ["height", "g_a", "smoker", "g_b", "pc"]
 
 
-def test_interactions_by_name():
-    got = RestrictedInteractions(3, ("rs1234", "sex")).terms(X)
-    rest = ["rs4567", "Age", "PC_1", "PC_2"]
-    want = [("rs1234", "sex")]
-    want += [(a, b) for a in ("rs1234", "sex") for b in rest]
-    want += [("rs1234", "sex", b) for b in rest]
-    assert got == want and len(got) == 13
+def by_rule(first, rest, order):
+    """For each order: all combinations of the first columns, then one fewer with each other."""
+    out = []
+    for k in range(2, order + 1):
+        out += combinations(first, k)
+        out += [(*c, b) for c in combinations(first, k - 1) for b in rest]
+    return out
 
 
-def test_interactions_by_pattern():
-    got = RestrictedInteractions(2, patterns=("^rs[0-9]+", "sex")).terms(X)
-    first, rest = ["rs1234", "rs4567", "sex"], ["Age", "PC_1", "PC_2"]
-    want = [("rs1234", "rs4567"), ("rs1234", "sex"), ("rs4567", "sex")]
-    assert got == want + [(a, b) for a in first for b in rest] and len(got) == 12
+@pytest.mark.parametrize("order,named,patterns,first", [
+    (2, ("smoker",), (), ["smoker"]),
+    (3, ("pc", "g_b"), (), ["g_b", "pc"]),
+    (2, (), ("^g_",), ["g_a", "g_b"]),
+    (4, ("height",), ("^g_", "none"), ["height", "g_a", "g_b"]),
+])
+def test_interactions_follow_the_rule(order, named, patterns, first):
+    got = RestrictedInteractions(order, named, patterns or None).terms(COLUMNS)
+    rest = [c for c in COLUMNS if c not in first]
+    assert got == by_rule(first, rest, order)
 
 
-def test_interactions_by_both():
-    got = RestrictedInteractions(3, ("sex",), ("^rs[0-9]+",)).terms(X)
-    first, rest = ["sex", "rs1234", "rs4567"], ["Age", "PC_1", "PC_2"]
-    pairs = [("sex", "rs1234"), ("sex", "rs4567"), ("rs1234", "rs4567")]
-    want = pairs + [(a, b) for a in first for b in rest]
-    want += [("sex", "rs1234", "rs4567")] + [(*p, b) for p in pairs for b in rest]
-    assert got == want and len(got) == 22
+def test_a_small_case_in_full():
+    got = RestrictedInteractions(3, ("smoker", "g_a")).terms(["smoker", "g_a", "pc"])
+    assert got == [("smoker", "g_a"), ("smoker", "pc"), ("g_a", "pc"), ("smoker", "g_a", "pc")]
 
 
 def test_interactions_transform(spark):
@@ -47,33 +51,33 @@ def test_interactions_transform(spark):
         RestrictedInteractions(1)
 
 
-def snps(spark, first):
-    rows = list(zip(first, ["GG", "GC", "CC", "CC"], [1, 2, 3, 4]))
-    return spark.createDataFrame(rows, "rs1234 string, rs4567 string, othercol int")
+def sites(spark, first):
+    rows = list(zip(first, ["GT", "TT", "TT", "GT"], [4, 3, 2, 1]))
+    return spark.createDataFrame(rows, "site_1 string, site_2 string, place int")
 
 
 def test_genotypes(spark):
-    df = snps(spark, ["AC", "CC", "CC", None])
-    fit = GenotypeEncoder(("^rs12", "^rs45")).fit(df)
-    assert fit.reference == {"rs1234": "A", "rs4567": "C"}
+    df = sites(spark, ["TT", "AT", "AA", None])
+    fit = GenotypeEncoder(("_1$", "_2$")).fit(df)
+    assert fit.reference == {"site_1": "A", "site_2": "G"}
     out = fit.transform(df)
     assert out.columns == df.columns
-    rows = out.orderBy("othercol").collect()
-    assert [r["rs1234"] for r in rows] == [1, 0, 0, None]
-    assert [r["rs4567"] for r in rows] == [0, 1, 2, 2]
+    rows = out.orderBy(F.col("place").desc()).collect()
+    assert [r["site_1"] for r in rows] == [0, 1, 2, None]
+    assert [r["site_2"] for r in rows] == [1, 0, 0, 1]
 
 
 @pytest.mark.parametrize(
     "first,message",
     [
-        (["AC", "CC", "CCC", None], "CCC"),
-        (["AC", "CC", "CCT", None], "two alleles"),
-        (["CC", "CC", "CC", None], "two alleles"),
+        (["TT", "AT", "AAT", None], "AAT"),
+        (["TT", "AT", "GT", None], "two alleles"),
+        (["TT", "TT", None, None], "two alleles"),
     ],
 )
 def test_genotype_errors(spark, first, message):
     with pytest.raises(GenotypeError, match=message):
-        GenotypeEncoder(("^rs",)).fit(snps(spark, first))
+        GenotypeEncoder(("^site",)).fit(sites(spark, first))
 
 
 def test_genotype_must_be_text(spark):

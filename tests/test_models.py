@@ -10,6 +10,7 @@ from counterfold.models import (
     Constant,
     ElasticNet,
     FitFailed,
+    Foreign,
     Frame,
     Linear,
     Logistic,
@@ -160,6 +161,57 @@ def test_softmax_against_spark(data, monkeypatch):
     assert np.allclose(q, r, atol=1e-3)
 
 
+@pytest.mark.parametrize("target,classes", [("b", 1), ("c", 3)])
+def test_penalty_path_against_newton_steps(data, monkeypatch, target, classes):
+    """Shared curvature, in one pass or in many small ones, reaches the same optimum."""
+    import counterfold.models.moments as M
+    from counterfold.models.linear import _label, _logistic_rows, _scales
+
+    df, _ = data
+    f = frame(df, target, X, "binary" if classes == 1 else "multi")
+    columns = Design(f.parents, f.kinds).columns()
+    means, sds, _ = _scales(f, columns)
+    rows = _logistic_rows(f, columns, means, sds, "__f0").persist()
+    assert _label(f) is not None
+    models = [(k, 0.9 * lam, 0.1 * lam) for k in (-1, 1, 2) for lam in (0.1, 0.03, 0.01, 0.001)]
+    want, want_held, ok = M.logistic_path(rows, 4, models, True, classes)
+    got, held, done, _ = M.penalty_path(rows, 4, models, classes)
+    assert all(ok) and all(done)
+
+    def scores(b):
+        b = b.reshape(len(models), classes, 4)
+        return b - b.mean(axis=1, keepdims=True) if classes > 1 else b
+
+    assert np.allclose(scores(got)[:, :, 1:], scores(want)[:, :, 1:], atol=2e-3)
+    assert all(np.isclose(held[i][0], want_held[i][0], rtol=1e-4) for i in range(4, 12))
+    monkeypatch.setattr(M, "PASS_COEFFICIENTS", 1)
+    monkeypatch.setattr(M, "PASS_SCORES", 40)
+    small, _, done, _ = M.penalty_path(rows, 4, models[:5], classes)
+    assert all(done) and np.allclose(scores(got)[:5, :, 1:],
+                                     (small.reshape(5, classes, 4) - (
+                                         small.reshape(5, classes, 4).mean(axis=1, keepdims=True)
+                                         if classes > 1 else 0))[:, :, 1:], atol=2e-3)
+
+
+def test_classes_with_many_columns_choose_from_the_same_path(spark):
+    """Columns without any say, past the number that once changed the grid, change nothing."""
+    r = np.random.default_rng(5)
+    n, extra = 600, 110
+    x = r.normal(size=(n, 2))
+    c = np.where(r.uniform(size=n) < expit(2 * x[:, 0]), "a", np.where(x[:, 1] > 0, "b", "c"))
+    pdf = pd.DataFrame(x, columns=["x0", "x1"]).assign(c=c, id=np.arange(n))
+    for i in range(extra):
+        pdf[f"z{i}"] = 0.0
+    df = spark.createDataFrame(pdf).withColumn(WEIGHT, F.lit(1.0))
+    for i in range(2):
+        df = df.withColumn(f"__f{i}", (F.floor(F.col("id") / 3**i) % 3 + 1).cast("int"))
+    few = ElasticNet(penalties=3, ratio=0.1).fit(frame(df, "c", ["x0", "x1"], "multi"))
+    many = ElasticNet(penalties=3, ratio=0.1).fit(frame(df, "c", ["x0", "x1", *[f"z{i}" for i in range(extra)]], "multi"))
+    assert len(many.coefs) * (len(many.coefs[0]) + 1) > 300
+    assert np.isclose(few.penalty, many.penalty)
+    assert np.allclose(np.array(few.coefs), np.array(many.coefs)[:, :2], atol=1e-6)
+
+
 def test_elastic_net_regression_quality(spark):
     r = np.random.default_rng(1)
     x = r.normal(size=(1000, 5))
@@ -328,6 +380,32 @@ def test_trees_without_features_and_with_missing_values(spark, data):
     assert np.isfinite(p).all()
 
 
+def test_foreign_estimators(data):
+    from pyspark.ml.classification import LinearSVC, RandomForestClassifier
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from counterfold.plans.registry import model_from_dict
+
+    df, pdf = data
+    f = frame(df, "y", [*X, "t"], "regression")
+    fit = Foreign(RandomForestRegressor(numTrees=5, maxDepth=6)).fit_cross(f)
+    out = fit.add(df, [Request("seen"), Request("on", {"t": True}), Request("off", {"t": False})])
+    assert out.columns == [*df.columns, "seen", "on", "off"] and out.count() == N
+    assert out.agg(F.avg(F.col("on") - F.col("off"))).first()[0] > 0
+    f = frame(df, "c", ["x1", "t"], "multi")
+    cls = model_from_dict({"model": "spark", "classifier": {
+        "class": "pyspark.ml.classification.RandomForestClassifier", "numTrees": 5}})
+    assert isinstance(cls.classifier, RandomForestClassifier)
+    p = np.stack([predict(cls.fit(f), df, level=v) for v in f.levels], 1)
+    assert np.allclose(p.sum(axis=1), 1.0) and p.std() > 0.1
+    svc = Foreign(classifier=LinearSVC(maxIter=5)).fit(frame(df, "b", X, "binary"))
+    assert set(predict(svc, df)) <= {0.0, 1.0}
+    with pytest.raises(FitFailed, match="no estimator"):
+        Foreign(RandomForestRegressor()).fit(frame(df, "b", X, "binary"))
+    with pytest.raises(ValueError, match="not an estimator"):
+        model_from_dict({"model": "spark", "regressor": {"class": "os.system"}})
+
+
 def test_failures(data):
     df, _ = data
     with pytest.raises(FitFailed, match="cannot learn"):
