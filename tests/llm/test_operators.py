@@ -270,7 +270,7 @@ def test_mixing(spark, docs, empty):
     assert by.t["tiny"] == 3 * by.s["tiny"]
     assert (abs(by.n - by.t) <= 37).all()  # one document
     assert mixing.mix_sources(empty).count() == 0
-    repeated = mixing.repeat_rows(df, mixing.mix_sources(df, block=200))
+    repeated = mixing.repeat_rows(df, mixing.mix_sources(df, block=200, keyed=True))
     words = F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0))
     assert repeated.agg(F.sum(words)).first()[0] == found.taken.sum()
     assert repeated.columns == df.columns
