@@ -15,7 +15,8 @@ SOME = [
     "joint_ate_cov", "ate_missing_outcome", "failed_and_skipped", "influence_kept",
     "merge_results", "glm_logistic_fit", "enet_cv_path", "stack_glm_constant", "gbt_fit", "gbt_rounds",
     "gbt_logistic_rounds",
-    "folds_joint", "folds_adaptive_strat", "column_kinds", "identify_backdoor", "snp_dosage",
+    "resume_twice", "json_influence", "merge_influence", "arrow_splits", "cvose_adaptive",
+    "foreign_linear", "folds_joint", "folds_adaptive_strat", "column_kinds", "identify_backdoor", "snp_dosage",
 ]
 NAMES = sorted(ORACLE) if os.environ.get("COUNTERFOLD_ALL") else SOME
 
