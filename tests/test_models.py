@@ -39,7 +39,7 @@ def data(spark):
     c = np.where(r.uniform(size=N) < expit(x[:, 0]), "a", np.where(t, "b", "c"))
     pdf = pd.DataFrame(x, columns=["x1", "x2", "x3"]).assign(
         id=np.arange(N), t=t, y=y, b=b, c=c, g=np.arange(N) % 4)
-    df = spark.createDataFrame(pdf).withColumn(WEIGHT, F.lit(1.0))
+    df = spark.createDataFrame(pdf).coalesce(1).withColumn(WEIGHT, F.lit(1.0))
     for i in range(2):
         df = df.withColumn(f"__f{i}", (F.floor(F.col("id") / 3**i) % 3 + 1).cast("int"))
     return df.persist(), pdf
@@ -171,7 +171,7 @@ def test_penalty_path_against_newton_steps(data, monkeypatch, target, classes):
     f = frame(df, target, X, "binary" if classes == 1 else "multi")
     columns = Design(f.parents, f.kinds).columns()
     means, sds, _ = _scales(f, columns)
-    rows = _logistic_rows(f, columns, means, sds, "__f0").persist()
+    rows = _logistic_rows(f, columns, means, sds, "__f0").coalesce(1).persist()
     assert _label(f) is not None
     models = [(k, 0.9 * lam, 0.1 * lam) for k in (-1, 1, 2) for lam in (0.1, 0.03, 0.01, 0.001)]
     want, want_held, ok = M.logistic_path(rows, 4, models, True, classes)
@@ -202,7 +202,7 @@ def test_classes_with_many_columns_choose_from_the_same_path(spark):
     pdf = pd.DataFrame(x, columns=["x0", "x1"]).assign(c=c, id=np.arange(n))
     for i in range(extra):
         pdf[f"z{i}"] = 0.0
-    df = spark.createDataFrame(pdf).withColumn(WEIGHT, F.lit(1.0))
+    df = spark.createDataFrame(pdf).coalesce(1).withColumn(WEIGHT, F.lit(1.0))
     for i in range(2):
         df = df.withColumn(f"__f{i}", (F.floor(F.col("id") / 3**i) % 3 + 1).cast("int"))
     few = ElasticNet(penalties=3, ratio=0.1).fit(frame(df, "c", ["x0", "x1"], "multi"))
@@ -242,7 +242,7 @@ def test_elastic_net_classifier_quality(spark):
     x = np.where(y == 0, np.cos(a), 1 - np.cos(a)) + r.normal(0, 0.05, n)
     z = np.where(y == 0, np.sin(a), 0.5 - np.sin(a)) + r.normal(0, 0.05, n)
     pdf = pd.DataFrame({"id": np.arange(n), "x": x, "z": z, "y": y})
-    df = spark.createDataFrame(pdf).withColumn(WEIGHT, F.lit(1.0))
+    df = spark.createDataFrame(pdf).coalesce(1).withColumn(WEIGHT, F.lit(1.0))
     for i in range(2):
         df = df.withColumn(f"__f{i}", (F.floor(F.col("id") / 2) % 3 + 1).cast("int"))
     fit = ElasticNet().fit(frame(df, "y", ["x", "z"], "binary"))
@@ -254,7 +254,7 @@ def test_elastic_net_classifier_quality(spark):
     blob = centre + r.normal(0, 0.7, (n, 2))
     pdf = pd.DataFrame({"id": np.arange(n), "x": blob[:, 0], "z": blob[:, 1],
                         "c": np.array(["a", "b", "c"])[np.arange(n) % 3]})
-    df = spark.createDataFrame(pdf).withColumn(WEIGHT, F.lit(1.0))
+    df = spark.createDataFrame(pdf).coalesce(1).withColumn(WEIGHT, F.lit(1.0))
     for i in range(2):
         df = df.withColumn(f"__f{i}", (F.floor(F.col("id") / 3) % 3 + 1).cast("int"))
     fit = ElasticNet().fit(frame(df, "c", ["x", "z"], "multi"))
