@@ -528,25 +528,25 @@ def interactions_all(spark, sf):
 @query(
     "snp_reference",
     f"""
-SELECT 'rs1234' AS "column", substr(min(rs1234), 1, 1) AS reference FROM ({GENOTYPES_SQL})
-UNION ALL SELECT 'rs4567', substr(min(rs4567), 1, 1) FROM ({GENOTYPES_SQL})""",
+SELECT 'site_1' AS "column", substr(min(site_1), 1, 1) AS reference FROM ({GENOTYPES_SQL})
+UNION ALL SELECT 'site_2', substr(min(site_2), 1, 1) FROM ({GENOTYPES_SQL})""",
 )
 def snp_reference(spark, sf):
-    return GenotypeEncoder(("^rs",)).fit(genotypes(spark, sf)).table(spark)
+    return GenotypeEncoder(("^site",)).fit(genotypes(spark, sf)).table(spark)
 
 
 @query(
     "snp_dosage",
     f"""
 WITH g AS ({GENOTYPES_SQL}),
-r AS (SELECT substr(min(rs1234), 1, 1) AS a, substr(min(rs4567), 1, 1) AS b FROM g)
-SELECT p_partkey, CAST(length(rs1234) - length(replace(rs1234, a, '')) AS BIGINT) AS rs1234,
-       CAST(length(rs4567) - length(replace(rs4567, b, '')) AS BIGINT) AS rs4567, p_size
+r AS (SELECT substr(min(site_1), 1, 1) AS a, substr(min(site_2), 1, 1) AS b FROM g)
+SELECT p_partkey, CAST(length(site_1) - length(replace(site_1, a, '')) AS BIGINT) AS site_1,
+       CAST(length(site_2) - length(replace(site_2, b, '')) AS BIGINT) AS site_2, p_size
 FROM g CROSS JOIN r""",
 )
 def snp_dosage(spark, sf):
     rows = genotypes(spark, sf)
-    return GenotypeEncoder(("^rs12", "^rs45")).fit(rows).transform(rows)
+    return GenotypeEncoder(("_1$", "_2$")).fit(rows).transform(rows)
 
 
 @query(

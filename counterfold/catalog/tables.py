@@ -72,16 +72,16 @@ def genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         "p_partkey",
         F.when(s % 10 == 0, F.lit(None).cast("string"))
-        .when(s % 3 == 0, "AC").when(s % 3 == 1, "CC").otherwise("AA").alias("rs1234"),
-        F.when(k % 4 == 0, "GG").when(k % 4 == 1, "GC").otherwise("CC").alias("rs4567"),
+        .when(s % 3 == 0, "AT").when(s % 3 == 1, "TT").otherwise("AA").alias("site_1"),
+        F.when(k % 4 == 0, "GG").when(k % 4 == 1, "GT").otherwise("TT").alias("site_2"),
         "p_size",
     )
 
 
 GENOTYPES_SQL = """
   SELECT p_partkey,
-    CASE WHEN p_size % 10 = 0 THEN NULL WHEN p_size % 3 = 0 THEN 'AC'
-         WHEN p_size % 3 = 1 THEN 'CC' ELSE 'AA' END AS rs1234,
-    CASE WHEN p_partkey % 4 = 0 THEN 'GG' WHEN p_partkey % 4 = 1 THEN 'GC' ELSE 'CC' END AS rs4567,
+    CASE WHEN p_size % 10 = 0 THEN NULL WHEN p_size % 3 = 0 THEN 'AT'
+         WHEN p_size % 3 = 1 THEN 'TT' ELSE 'AA' END AS site_1,
+    CASE WHEN p_partkey % 4 = 0 THEN 'GG' WHEN p_partkey % 4 = 1 THEN 'GT' ELSE 'TT' END AS site_2,
     p_size
   FROM part"""
