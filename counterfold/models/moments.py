@@ -336,7 +336,7 @@ def path_sums(
                     acc[own, 1] += loss[~train][:, own].sum(axis=0)
                     acc[own, 2] += w[train].sum()
                     acc[own, 3] += w[~train].sum()
-                    g = r[train][:, own].reshape(train.sum(), -1).T @ x[train]
+                    g = r[train][:, own].reshape(-1, len(own) * classes).T @ x[train]
                     acc[own, 4:] += g.reshape(len(own), size_b)
                 for at, model in enumerate(bent):
                     tw = w * (k != left_out[model])

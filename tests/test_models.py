@@ -193,6 +193,23 @@ def test_penalty_path_against_newton_steps(data, monkeypatch, target, classes):
                                          if classes > 1 else 0))[:, :, 1:], atol=2e-3)
 
 
+@pytest.mark.parametrize("classes", [1, 3])
+def test_penalty_path_sums_of_a_task_with_one_fold(spark, classes):
+    """A task all of whose rows a model leaves out adds nothing to that model."""
+    import counterfold.models.moments as M
+
+    r = np.random.default_rng(8)
+    pdf = pd.DataFrame({"w": 1.0, "y": (np.arange(60) % max(classes, 2)).astype(float),
+                        "k": np.repeat([1, 2], 30), "x0": 1.0, "x1": r.normal(size=60)})
+    df = spark.createDataFrame(pdf)
+    betas = r.normal(size=(3, 2 * classes))
+    asked = betas, np.array([-1, 1, 2]), classes, [0, 1]
+    apart, bent = M.path_sums(df.repartitionByRange(2, "k"), *asked)
+    whole, bent_whole = M.path_sums(df.coalesce(1), *asked)
+    assert all(np.allclose(apart[i][key], whole[i][key]) for i in whole for key in whole[i])
+    assert all(np.allclose(bent[i], bent_whole[i]) for i in bent_whole)
+
+
 def test_classes_with_many_columns_choose_from_the_same_path(spark):
     """Columns without any say, past the number that once changed the grid, change nothing."""
     r = np.random.default_rng(5)
