@@ -491,8 +491,8 @@ def stack_glm_constant(spark, sf):
     w = fit.weights()
     return fit.add(rows, [Request("prediction")]).select(
         "p_partkey", F.round("prediction", 3).alias("prediction"),
-        F.lit(round(w["constant"], 3)).alias("w_constant"),
-        F.lit(round(w["linear"], 3)).alias("w_linear"),
+        F.lit(round(w["constant"], 3) + 0.0).alias("w_constant"),
+        F.lit(round(w["linear"], 3) + 0.0).alias("w_linear"),
     )
 
 

@@ -36,6 +36,7 @@ from counterfold.models.moments import (
     penalised_quadratic,
     penalty_path,
     solve_least_squares,
+    solve_through_origin,
 )
 
 # Fixed values of the penalty path: number of penalties, smallest over largest.
@@ -123,11 +124,7 @@ class Linear(Model):
         self.check(frame)
         design = Design(frame.parents, frame.kinds, frame.treatments, self.interactions)
         columns = design.columns()
-        if self.intercept:
-            sums, shift = _fold_gram(frame.df, columns, frame.y, frame.weight, fold)
-        else:
-            shift = np.zeros(len(columns) + 1)
-            sums = gram(frame.df, [F.lit(1.0), *columns, frame.y], frame.weight, fold)
+        sums, shift = _fold_gram(frame.df, columns, frame.y, frame.weight, fold)
         if not sums:
             raise FitFailed(f"no rows to learn {frame.target}")
         total = sum(sums.values())
@@ -136,8 +133,11 @@ class Linear(Model):
             g = total - sums[k] if k and k in sums else total
             if not np.all(np.isfinite(g)) or g[0, 0] <= 0:
                 raise FitFailed(f"no finite rows to learn {frame.target}")
-            b0, b = solve_least_squares(g, self.intercept)
-            b0 = b0 + shift[-1] - float(b @ shift[:-1])
+            if self.intercept:
+                b0, b = solve_least_squares(g, True)
+                b0 = b0 + shift[-1] - float(b @ shift[:-1])
+            else:
+                b0, b = 0.0, solve_through_origin(g, shift)
             out[k] = LinearFit(design, b0, tuple(map(float, b)))
         return out
 

@@ -113,6 +113,51 @@ def solve_least_squares(g: np.ndarray, intercept: bool) -> tuple[float, np.ndarr
     return (float(beta[0]), beta[1:]) if intercept else (0.0, beta)
 
 
+def solve_through_origin(g: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Coefficients without intercept from the product sums of (1, x - m, y - m) and the shifts m.
+
+    Columns that hardly vary look alike in sums of their own products.  So the one that varies
+    least is kept, and its multiples are taken from the others and from y such that the shifts
+    cancel before anything is summed.  Dependent columns share the smallest solution.
+    """
+    q = len(g)
+    p = q - 2
+    if not p:
+        return np.zeros(0)
+    lift = np.zeros((q - 1, q))  # the columns and y by (1, x - m, y - m)
+    lift[:, 0], lift[:, 1:] = shift, np.eye(q - 1)
+    spread = np.diag(g)[1:-1]
+    level = shift[:-1] ** 2 * g[0, 0]
+    steady = np.divide(level, np.maximum(spread, 1e-30 * level), out=np.zeros(p), where=level > 0)
+    j = int(np.argmax(steady))
+    back, start = np.eye(p), np.zeros(p)  # the answer is back @ beta + start
+    size = np.einsum("ij,jk,ik->i", lift, g, lift)
+    if steady[j] > 1:
+        ratio = shift / shift[j]
+        others = np.arange(q - 1) != j
+        lift[others, 0] = 0.0
+        lift[others, j + 1] -= ratio[others]
+        back[j, others[:-1]] -= ratio[:-1][others[:-1]]
+        start[j] = ratio[-1]
+    s = lift @ g @ lift.T
+    a, b = s[:-1, :-1], s[:-1, -1]
+    # what rounding leaves of a column that depends on the kept one
+    terms = np.einsum("ij,j->i", lift[:-1] ** 2, np.diag(g))
+    flat = np.diag(a) <= 1e-12 * terms
+    a, b = np.where(flat[:, None] | flat[None, :], 0.0, a), np.where(flat, 0.0, b)
+    scale = np.sqrt(np.where(flat, 1.0, np.diag(a)))
+    u, d, vt = np.linalg.svd(a / np.outer(scale, scale))
+    known = d > 1e-12 * max(d[0], 1e-300)
+    beta = vt[known].T @ ((u[:, known].T @ (b / scale)) / d[known]) / scale
+    answer = back @ beta + start
+    if not known.all():
+        free = back @ (vt[~known].T / scale[:, None])
+        weigh = np.sqrt(np.clip(size[:-1], 1e-300, None))
+        answer = answer - free @ np.linalg.lstsq(
+            weigh[:, None] * free, weigh * answer, rcond=1e-12)[0]
+    return answer
+
+
 def penalised_quadratic(h, c, start, l1, l2, sweeps=1000, tol=1e-10) -> np.ndarray:
     """min ½ b'Hb - c'b + Σ l1|b| + ½ l2 b², coordinate by coordinate; columns that
     are 0 rest until the others have settled."""

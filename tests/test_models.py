@@ -325,6 +325,42 @@ def test_stack_learns_the_better_member(data):
     assert np.allclose(sum(p), 1.0)
 
 
+def test_stack_weights_of_members_that_are_nearly_alike(spark):
+    """Three equal folds: what the line says beyond the mean is all there is to learn."""
+    r = np.random.default_rng(12)
+    x = r.integers(1, 51, 2000)
+    y = 949.6 + 0.0134 * x + r.uniform(-50, 50, 2000)
+    pdf = pd.DataFrame({"id": np.arange(6000), "x": np.repeat(x, 3).astype(float), "y": np.repeat(y, 3)})
+    df = spark.createDataFrame(pdf).coalesce(1).withColumns(
+        {WEIGHT: F.lit(1.0), "__f0": (F.col("id") % 3 + 1).cast("int"), "__f1": F.lit(1)})
+    stack = Stack((("constant", Constant()), ("linear", Linear())))
+    w = stack.fit(frame(df, "y", ["x"], "regression")).weights()
+    assert np.allclose([w["constant"], w["linear"]], [0.0, 1.0], atol=1e-9, rtol=0)
+
+
+@pytest.mark.parametrize("odd", ["plain", "equal", "multiple", "zero", "constant"])
+def test_no_intercept_from_shifted_sums(odd):
+    """As numpy on the rows; dependent columns share the smallest solution."""
+    from counterfold.models.moments import solve_through_origin
+
+    r = np.random.default_rng(0)
+    x = r.normal(size=(500, 4)) * [1, 2, 0.1, 3] + [0.3, 100, 5, 1]
+    if odd == "equal":
+        x[:, 1] = x[:, 0]
+    if odd == "multiple":
+        x[:, 1] = 3 * x[:, 2]
+    if odd == "zero":
+        x[:, 3] = 0
+    if odd == "constant":
+        x[:, :2] = 7, 5
+    y = 3 + x @ [1, 2, 3, -1] + r.normal(size=500)
+    shift = np.append(np.median(x[:50], axis=0), np.median(y[:50]))
+    z = np.column_stack([np.ones(500), x - shift[:-1], y - shift[-1]])
+    size = np.sqrt(np.maximum((x * x).sum(axis=0), 1e-300))
+    want = np.linalg.lstsq(x / size, y, rcond=1e-12)[0] / size
+    assert np.allclose(solve_through_origin(z.T @ z, shift), want, atol=1e-9)
+
+
 def test_trees(data):
     df, pdf = data
     f = frame(df, "y", [*X, "t"], "regression")
