@@ -161,6 +161,13 @@ def _logistic_rows(frame: Frame, columns: Sequence[Column], means, sds, fold: st
     )
 
 
+def _equal_rows_once(rows: DataFrame) -> DataFrame:
+    """Rows alike in all but their weight as one: losses and their slopes are sums over rows, so
+    a path of many passes costs what the different rows cost."""
+    alike = [c for c in rows.columns if c != "w"]
+    return rows.groupBy(*alike).agg(F.sum("w").alias("w")).select(*rows.columns)
+
+
 def _unscale(beta, means, sds) -> tuple[float, tuple[float, ...]]:
     b = np.where(sds > 0, beta[1:] / np.where(sds > 0, sds, 1.0), 0.0)
     return float(beta[0] - b @ means), tuple(map(float, b))
@@ -294,7 +301,7 @@ class ElasticNet(Model):
         columns = design.columns()
         means, sds, shares = _scales(frame, columns)
         fold = frame.folds[0]
-        rows = _logistic_rows(frame, columns, means, sds, fold).persist()
+        rows = _equal_rows_once(_logistic_rows(frame, columns, means, sds, fold)).persist()
         left_out = [-1, *frame.fold_numbers()]
         try:
             top = self._largest_penalty(frame, columns, means, sds, shares)

@@ -210,6 +210,26 @@ def test_penalty_path_sums_of_a_task_with_one_fold(spark, classes):
     assert all(np.allclose(bent[i], bent_whole[i]) for i in bent_whole)
 
 
+def test_penalty_path_works_on_different_rows_only(data, monkeypatch):
+    """Every row five times over gives the same net, from a path over no more rows."""
+    import counterfold.models.linear as L
+
+    df, _ = data
+    seen, path = [], L.penalty_path
+
+    def counted(rows, *args, **kw):
+        seen.append(rows.count())
+        return path(rows, *args, **kw)
+
+    monkeypatch.setattr(L, "penalty_path", counted)
+    five = df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(5)))).drop("copy")
+    net = ElasticNet(penalties=5, ratio=0.1)
+    once, often = (net.fit(frame(d, "c", X, "multi")) for d in (df, five))
+    assert seen == [N, N]
+    assert np.isclose(once.penalty, often.penalty)
+    assert np.allclose(once.coefs, often.coefs, atol=1e-6)
+
+
 def test_classes_with_many_columns_choose_from_the_same_path(spark):
     """Columns without any say, past the number that once changed the grid, change nothing."""
     r = np.random.default_rng(5)
