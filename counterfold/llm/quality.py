@@ -14,10 +14,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from counterfold.llm.common import SPACE, byte_texts, parts, ship
-from counterfold.llm.toxicity import labelled_sample
+from counterfold.llm.common import (
+    SPACE,
+    byte_texts,
+    held_out,
+    parts,
+    ship,
+    stored,
+    text_or_empty,
+)
 
 SYMBOLS = b"#*$%&|<>"
 NAMES = [
@@ -27,6 +38,10 @@ NAMES = [
 ]
 
 
+#: Ids that are broadcast; scores that are collected; texts of a bucket that is numbered.
+FEW_IDS, FEW_VALUES, BUCKET = 500_000, 10_000, 4096
+
+
 def _share(count: int, of: int) -> float:
     """Log of a share; a share far below a percent counts as none."""
     return math.log(count / of + 0.003) if of else math.log(0.003)
@@ -71,59 +86,161 @@ class QualityModel:
         return 1 / (1 + np.exp(-z))
 
 
-def _matrix(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    def rows(batches):
-        for batch in parts(batches, "text"):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1),
-                 pa.array([features(t) for t in byte_texts(batch, "text")],
-                          pa.list_(pa.float64()))],
-                ["label", "x"])
-
-    got = sample.select("text", "label").mapInArrow(rows, "label int, x array<double>").toPandas()
-    got = got.assign(key=got.x.map(tuple)).sort_values(["key", "label"], kind="stable")
-    return np.array(got.x.tolist(), float).reshape(-1, len(NAMES)), got.label.to_numpy()
-
-
-def bradley_terry(
-    better: np.ndarray, worse: np.ndarray, *, pairs: int, ridge: float, seed: int
-) -> np.ndarray:
-    """Weights from ``pairs`` preference pairs, by Newton steps on the logistic loss."""
-    rng = np.random.default_rng(seed)
-    d = better[rng.permutation(pairs) % len(better)] - worse[rng.permutation(pairs) % len(worse)]
-    w = np.zeros(d.shape[1])
+def _with_features(batches):
+    for batch in parts(batches, "text"):
+        found = [features(t) for t in byte_texts(batch, "text")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))],
+            ["doc_id", "h", "x"])
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """``h, label, x``, stored: the features of all labelled training texts, each text once.
+
+    Only ids and features are shuffled; the texts stay where they are read.
+    """
+    known = (
+        labels.select("doc_id", F.col(column).cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+        .groupBy("doc_id").agg(F.max("label").alias("label"))
+    )
+    texts = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select(
+        "doc_id", text_or_empty().alias("text"))
+    if known.limit(FEW_IDS + 1).count() <= FEW_IDS:  # else features of all rows are worked out
+        texts = texts.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = texts.select("doc_id", F.md5("text").alias("h"), "text").mapInArrow(
+        _with_features, f"doc_id {kind}, h string, x array<double>")
+    once = found.join(known, "doc_id").groupBy("h").agg(
+        F.max("label").alias("label"), F.first("x").alias("x"))
+    return stored(once, "quality-rows")
+
+
+def preference_pairs(rows: DataFrame, sizes: dict[int, int], pairs: int, seed: int) -> DataFrame:
+    """``d``, stored: features of a better text less those of a worse one, every text in a pair.
+
+    Both labels are numbered in an order given by a hash; each text of the larger label meets
+    one of the smaller, in as many turns as give about ``pairs`` pairs, one at least.
+    """
+    buckets = max(1, sum(sizes.values()) // BUCKET)
+    order = F.xxhash64("h", F.lit(seed))
+    placed = rows.withColumns({"o": order, "b": F.pmod(F.xxhash64("h"), F.lit(buckets))})
+    counts = placed.groupBy("label", "b").count()
+    before = Window.partitionBy("label").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(  # a row for each thousands of texts
+        "label", "b", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("label", "b").orderBy("o", "h")
+    numbered = placed.withColumn("i", F.row_number().over(inside) - 1).join(
+        F.broadcast(starts), ["label", "b"]).select(
+            "label", "x", (F.col("start") + F.col("i")).alias("i"))
+    large = 1 if sizes[1] >= sizes[0] else 0
+    n, few = sizes[large], sizes[1 - large]
+    turns = max(1, -(-pairs // n))
+    turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))
+    many = numbered.where(F.col("label") == large).select(F.col("x").alias("x1"), "i", turn.alias("t")).select(
+        "x1", F.pmod(F.col("i") + F.col("t"), F.lit(few)).alias("j"))
+    rare = numbered.where(F.col("label") != large).select(F.col("x").alias("x0"), F.col("i").alias("j"))
+    if few <= BUCKET:  # else there are many keys and none is large
+        rare = F.broadcast(rare)
+    sign = 1.0 if large == 1 else -1.0
+    d = F.zip_with("x1", "x0", lambda a, b: (a - b) * F.lit(sign))
+    return stored(many.join(rare, "j").select(d.alias("d")), "quality-pairs")
+
+
+def _newton_sums(pairs: DataFrame, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the logistic loss over all pairs."""
+    k = len(w)
+
+    def sums(batches):
+        total = np.zeros(k + k * k)
+        for batch in batches:
+            d = batch.column(0).flatten().to_numpy().reshape(-1, k)
+            p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
+            total[:k] += d.T @ (1 - p)
+            total[k:] += ((d * (p * (1 - p))[:, None]).T @ d).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["v"])
+
+    got = pairs.mapInArrow(sums, "v array<double>").agg(
+        Summarizer.sum(array_to_vector("v")).alias("v")).first()
+    v = got.v.toArray()
+    return v[:k], v[k:].reshape(k, k)
+
+
+def bradley_terry(pairs: DataFrame, columns: int, *, ridge: float) -> np.ndarray:
+    """Weights from all preference pairs, by Newton steps on the logistic loss."""
+    w = np.zeros(columns)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
-        g = d.T @ (1 - p) - ridge * w
-        h = (d * (p * (1 - p))[:, None]).T @ d + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, g)
+        g, h = _newton_sums(pairs, w)
+        step = np.linalg.solve(h + ridge * np.eye(columns), g - ridge * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
+def order_statistic(values: DataFrame, rank: int) -> float:
+    """The value of column ``s`` at a place from 0 in ascending order, exactly: ranges that hold
+    it are narrowed by counts until few values are left."""
+    low, high = values.agg(F.min("s"), F.max("s")).first()
+    rest = values
+    while low < high:
+        if rest.limit(FEW_VALUES + 1).count() <= FEW_VALUES:
+            return sorted(r.s for r in rest.collect())[rank]
+        bin_ = F.least(F.floor((F.col("s") - low) / ((high - low) / 1000)), F.lit(999))
+        counts = rest.groupBy(bin_.alias("at")).agg(
+            F.count("*").alias("n"), F.min("s").alias("low"), F.max("s").alias("high"))
+        for r in counts.orderBy("at").collect():
+            if rank < r.n:
+                low, high = r.low, r.high
+                break
+            rank -= r.n
+        rest = values.where(F.col("s").between(low, high))
+    return low
+
+
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, *, column: str = "quality", sample_rows: int = 20_000,
+    docs: DataFrame, labels: DataFrame, *, column: str = "quality",
     pairs: int = 60_000, ridge: float = 5.0, limit: float = 0.3, seed: int = 17,
 ) -> QualityModel:
-    """Fit on about ``sample_rows`` labelled rows at most (documented bound).
+    """Fit on all labelled rows: means, pairs and threshold; ``pairs`` are the least number.
 
     Without labels of both kinds there are no pairs: all texts then get the same score,
     above the limit.  Null texts count as empty; rows without a label of 0 or 1, without an id or
     held out are not used; equal texts, and labels of one id, count once with the larger label.
     """
     ship(docs.sparkSession)
-    x, y = _matrix(labelled_sample(docs, labels, column, sample_rows, "quality-sample"))
-    if len(np.unique(y)) < 2:
-        flat = np.zeros(len(NAMES))
+    k = len(NAMES)
+    rows = training_rows(docs, labels, column)
+    sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(sizes) < 2:
+        flat = np.zeros(k)
         return QualityModel(flat, flat + 1, flat, -1.0, limit)
-    model = QualityModel(x.mean(0), x.std(0) + 0.05, np.zeros(x.shape[1]), 0.0, limit)
-    z = np.clip((x - model.mean) / model.spread, -8, 8)
-    model.weights = bradley_terry(z[y == 1], z[y == 0], pairs=pairs, ridge=ridge, seed=seed)
-    ranked = np.sort(z @ model.weights)
-    cut = int((y == 0).sum())
-    model.threshold = float((ranked[cut - 1] + ranked[cut]) / 2)
+    mean, spread = rows.select(array_to_vector("x").alias("v")).agg(
+        Summarizer.mean(F.col("v")), Summarizer.std(F.col("v"))).first()
+    n = sum(sizes.values())
+    model = QualityModel(
+        mean.toArray(), spread.toArray() * math.sqrt((n - 1) / n) + 0.05, np.zeros(k), 0.0, limit)
+
+    def scaled(batches):
+        for batch in batches:
+            x = batch.column(2).flatten().to_numpy().reshape(-1, k)
+            z = np.clip((x - model.mean) / model.spread, -8, 8)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(list(z), pa.list_(pa.float64()))],
+                ["h", "label", "x"])
+
+    z = rows.select("h", "label", "x").mapInArrow(scaled, "h string, label int, x array<double>")
+    model.weights = bradley_terry(preference_pairs(z, sizes, pairs, seed), k, ridge=ridge)
+
+    def ranked(batches):
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy().reshape(-1, k)
+            yield pa.RecordBatch.from_arrays([pa.array(model.rank(x))], ["s"])
+
+    ranks = stored(rows.select("x").mapInArrow(ranked, "s double"), "quality-ranks")
+    cut = sizes[0]
+    model.threshold = (order_statistic(ranks, cut - 1) + order_statistic(ranks, cut)) / 2
     return model
 
 

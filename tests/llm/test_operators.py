@@ -340,6 +340,32 @@ def test_learned_scores_on_rows_held_out(spark, docs, empty, labelled, name):
     assert score(docs, blank).select("predicted").distinct().count() == 1
 
 
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    """More labelled rows than were once sampled: means and threshold are those of all."""
+    n = 30_000
+    word = F.concat(F.lit("w"), F.col("id").cast("string"))
+    text = F.when(F.col("id") % 3 == 0, F.concat(word, F.lit(" ### OK"))).otherwise(
+        F.concat_ws(" ", word, F.lit("is good"), F.col("id") % 7))
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"))
+    labels = spark.range(n).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 3 != 0).cast("int").alias("quality"))
+    monkeypatch.setattr(quality, "FEW_VALUES", 500)
+    model = quality.fit_quality(rows, labels)
+    kept = [r for r in rows.collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    x = np.array([quality.features(r.text.encode()) for r in kept])
+    assert np.allclose(model.mean, x.mean(0), atol=1e-12)
+    assert np.allclose(model.spread, x.std(0) + 0.05, atol=1e-12)
+    ranks, cut = np.sort(model.rank(x)), sum(r.doc_id % 3 == 0 for r in kept)
+    assert np.isclose(model.threshold, (ranks[cut - 1] + ranks[cut]) / 2)
+
+
+def test_order_statistics_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FEW_VALUES", 2)
+    values = np.round(np.random.default_rng(4).normal(size=400) ** 3, 2)
+    table = spark.createDataFrame([(float(v),) for v in values], "s double")
+    assert [quality.order_statistic(table, k) for k in (0, 200, 399)] == list(np.sort(values)[[0, 200, 399]])
+
+
 def test_passages_are_found(labelled):
     rows, labels = labelled
     model = toxicity.fit_toxicity(rows, labels)
