@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,6 +15,8 @@ from counterfold.functions.scalar import quoted
 from counterfold.models.base import Design, FitFailed, Frame, Model, Request
 from counterfold.models.boosting import Ensemble, Job, Task, boost, to_bins
 
+#: Scores a task remembers per ensemble before it starts anew.
+REMEMBERED = 1 << 16
 LOSSES = {"regression": "squared", "binary": "logistic", "multi": "softmax"}
 
 
@@ -83,10 +86,32 @@ def _scores(ensembles: dict[int, Ensemble], cuts: dict[int, list], task: str):
     """A function of feature columns, and of a fold column if there are several ensembles."""
     loss = LOSSES[task]
 
-    def one(k, columns: list[np.ndarray], n: int) -> np.ndarray:
+    # per ensemble: numbers of the bins met so far in ascending order, and their scores
+    met: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def fresh(k, bins: np.ndarray) -> np.ndarray:
         made = ensembles[k]
         whole = Task(loss, len(made.base), (), 1.0, 1.0)
-        return whole.chances(made.margins(to_bins(columns, cuts[k], n)))
+        return whole.chances(made.margins(bins))
+
+    def one(k, columns: list[np.ndarray], n: int) -> np.ndarray:
+        bins, widths = to_bins(columns, cuts[k], n), [len(c) + 1 for c in cuts[k]]
+        if math.prod(widths) >= 1 << 62:
+            return fresh(k, bins)
+        # rows in the same bins have the same score: each is worked out once
+        steps = [math.prod(widths[:i]) for i in range(len(widths))]
+        codes, first, back = np.unique(
+            bins.astype(np.int64) @ np.array(steps, np.int64), return_index=True, return_inverse=True)
+        known, values = met.get(k, (codes[:0], np.zeros((0, len(ensembles[k].base)))))
+        new = ~np.isin(codes, known)
+        if new.any():
+            if len(known) > REMEMBERED:
+                known, values, new = known[:0], values[:0], np.ones(len(codes), bool)
+            known = np.concatenate([known, codes[new]])
+            values = np.concatenate([values, fresh(k, bins[first[new]])])
+            order = np.argsort(known)
+            met[k] = known, values = known[order], values[order]
+        return values[np.searchsorted(known, codes)][back]
 
     def scores(fold: pd.Series, *columns: pd.Series) -> pd.Series:
         values = [c.to_numpy(dtype=float, na_value=np.nan) for c in columns]

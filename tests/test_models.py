@@ -453,6 +453,34 @@ def test_trees_without_features_and_with_missing_values(spark, data):
     assert np.isfinite(p).all()
 
 
+@pytest.mark.parametrize("most", [0, 1 << 16])
+def test_trees_score_equal_bins_once(monkeypatch, most):
+    """Scores are those of every row by itself, from walks over different rows only."""
+    import counterfold.models.trees as M
+    from counterfold.models.boosting import Ensemble, to_bins
+
+    r = np.random.default_rng(6)
+    cuts = [np.array([-1.0, 0.0, 1.0]), np.array([0.5])]
+    made = [Ensemble(np.array([0.1 * k]), np.tile([0, 1, -1], (4, 1, 1)), r.integers(0, 2, (4, 1, 3)),
+                     r.normal(size=(4, 1, 7))) for k in range(2)]
+    for e in made:
+        e.feature = np.concatenate([e.feature, np.full((4, 1, 4), -1)], axis=2)
+        e.cut = np.concatenate([e.cut, np.zeros((4, 1, 4), int)], axis=2)
+    columns = [r.normal(size=4000), r.integers(0, 2, 4000).astype(float)]
+    columns[0][:5] = np.nan
+    fold = r.integers(0, 2, 4000)
+    want = [made[k].margins(to_bins([c[i:i + 1] for c in columns], cuts, 1))[0, 0]
+            for i, k in enumerate(fold)]
+    walked, margins = [], Ensemble.margins
+    monkeypatch.setattr(M, "REMEMBERED", most)
+    monkeypatch.setattr(Ensemble, "margins", lambda e, b: walked.append(len(b)) or margins(e, b))
+    scores = M._scores(dict(enumerate(made)), dict(enumerate([cuts, cuts])), "regression")
+    got = [v[0] for i in range(0, 4000, 1000) for v in scores(
+        pd.Series(fold[i:i + 1000]), *(pd.Series(c[i:i + 1000]) for c in columns))]
+    assert got == want
+    assert sum(walked) <= 2 * 8 * (4 if most == 0 else 1)
+
+
 def test_foreign_estimators(data):
     from pyspark.ml.classification import LinearSVC, RandomForestClassifier
     from pyspark.ml.regression import RandomForestRegressor
