@@ -55,7 +55,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their token ids, in sequences of at most 1,024.
 
     An empty text is its end id alone; repeated rows are packed row by row."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), size=1024, end=0)
+    # the workers of the stages before wait beside those at work and each gets tasks in turn
+    return pack_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), size=1024, end=0, remembered=200_000)
 
 
 STAGES = [

@@ -23,6 +23,7 @@ from counterfold.llm.common import byte_texts, give_back, parts, ship, stored
 SCHEMA = (
     "doc_id {kind}, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
+PART = 1 << 20  # bytes of text that are cut and placed together
 KINDS = [None, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
 
@@ -79,6 +80,7 @@ def _rows(part: int, window: int, pieces: list, is_open: bool):
 def pack_documents(
     docs: DataFrame, path: str, *, id_column: str = "doc_id", text_column: str = "text",
     size: int = 1024, end: int = 0, space: int = 64, least_cut: int = 32, merge: int = 256,
+    remembered: int = bpe.MEMORY,
 ) -> DataFrame:
     """Pieces with their ids: ``doc_id, start, ids, doc_tokens, sequence_id, offset``.
 
@@ -87,7 +89,9 @@ def pack_documents(
     ``offset`` those before it in its sequence, gapless.  A sequence holds at most ``size``
     ids.  ``space`` windows are open in a partition; pieces shorter than ``least_cut`` are
     not cut off to fill a gap; leftovers of ``merge`` partitions are merged in one task, which
-    holds ``merge * space * size`` ids at most, whatever the input.
+    holds ``merge * space * size`` ids at most, whatever the input.  A worker remembers the ids
+    of ``remembered`` chunks of text, and so do workers that wait for their next task; fewer
+    make them smaller and slower and change no result.
 
     A null or empty text is its end id alone.  Repeated rows are packed row by row, null ids
     are kept, other columns are ignored, an empty table gives an empty result.  Results
@@ -101,8 +105,8 @@ def pack_documents(
     def packed(batches):
         part, windows = TaskContext.get().partitionId(), Windows(size, space, least_cut)
         types = None
-        for batch in parts(batches, "text"):
-            memory = bpe.id_memory(path)
+        for batch in parts(batches, "text", PART):
+            memory = bpe.id_memory(path, remembered)
             texts = [b.decode("utf-8", "replace") for b in byte_texts(batch, "text")]
             types = batch.schema.field(0).type
             out = []

@@ -427,3 +427,23 @@ def test_packing_against_the_library(spark):
         assert len(data) // 4 == own[0][2] and want[doc, zlib.crc32(data)] == 1
     assert sum(len(p.ids) // 4 for p in pieces) == sum(
         len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, *_ in rows)
+
+
+def test_packing_holds_few_chunks_where_asked(spark):
+    """The same pieces from a small memory, which keeps to its bound."""
+    import public_tokenizers
+
+    from counterfold.llm import bpe, packing
+
+    path, r = public_tokenizers.path("byte_bpe_50k.json"), random.Random(4)
+    texts = [" ".join(f"w{r.randint(0, 5000)}" for _ in range(400)) for _ in range(40)]
+    docs = table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).coalesce(1)
+    key = lambda p: (p.sequence_id, p.offset)
+    found = [sorted(packing.pack_documents(docs, path, remembered=n).collect(), key=key)
+             for n in (300, bpe.MEMORY)]
+    assert found[0] == found[1]
+    memory, most = bpe.id_memory(path, 300), 0
+    for t in texts:
+        memory.values([t])
+        most = max(most, len(memory.later))
+    assert 0 < most <= 300 + 300 // 2 + 400  # what was met again, and the text at hand
