@@ -7,7 +7,8 @@ upper part, the *forest*, is fitted on a bounded sample and deals the words out
 word is stored in one leaf and asks every leaf whose box it can reach with one letter
 more and one less (own length), or with one letter more (length plus one).  In a leaf a tree of
 its own goes on to buckets of some words, pruned by the same boxes.  What is left is compared by
-all counts and then letter by letter, so every pair found is one edit apart, and none is missed.
+a mask of its letters and then letter by letter, so every pair found is one edit apart, and none is
+missed.
 """
 
 from __future__ import annotations
@@ -31,8 +32,11 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 192 else
 LETTERS = [*range(97, 123), *range(192, 256)]
 _PLACE = np.zeros(256, np.int64)
 _PLACE[LETTERS] = np.arange(len(LETTERS))
-#: The bit of each dimension in a mask of 64, for a first comparison.
-_BIT = np.uint64(1) << (np.arange(len(LETTERS), dtype=np.uint64) % np.uint64(64))
+#: Bits of a mask of 64, for a first comparison: a to z once, a to z twice, and the others,
+#: which share 12.  A letter more or less changes one bit at most.
+_ONCE, _TWICE = (np.uint64(1) << (np.arange(26, dtype=np.uint64) + np.uint64(i)) for i in (0, 26))
+_ONCE = np.concatenate([_ONCE, np.uint64(1) << (
+    np.uint64(52) + np.arange(len(LETTERS) - 26, dtype=np.uint64) % np.uint64(12))])
 
 HELD = 1_000_000  # words a task counts before it passes them on
 SAMPLE = 100_000  # words the forest is fitted on, at most
@@ -44,16 +48,15 @@ def _utf8(word: bytes) -> bytes:
     return word if word.isascii() else word.decode("latin-1").encode()
 
 
-def spelled(doc_id: str, words: list[bytes], every: int) -> Counter:
-    """Counts of the words of a text; where the hash of id and word is a multiple of
-    ``every``, the word loses the letter that the hash names."""
-    counts = Counter(words)
-    start = zlib.crc32(f"{doc_id}:".encode())
-    hit = [(w, h) for w in counts if (h := zlib.crc32(_utf8(w), start)) % every == 0] if every else []
-    moved = [(w[: h % len(w)] + w[h % len(w) + 1 :], counts.pop(w)) for w, h in hit]
-    for word, n in moved:  # after all were taken out: it may become a word that was
-        counts[word] += n
-    return counts
+def misspelled(doc_id: str, words: set[bytes], every: int) -> list[tuple[bytes, bytes]]:
+    """Words of a text whose hash of id and word is a multiple of ``every``, each with what is
+    left of it when it loses the letter that the hash names."""
+    if not every:
+        return []
+    start, crc32 = zlib.crc32(f"{doc_id}:".encode()), zlib.crc32
+    hit = [(w, h) for w in words
+           if not (h := crc32(w if w.isascii() else _utf8(w), start)) % every]
+    return [(w, w[: h % len(w)] + w[h % len(w) + 1 :]) for w, h in hit]
 
 
 def word_counts(
@@ -66,7 +69,7 @@ def word_counts(
         held: Counter = Counter()
 
         def flush():
-            words = [w for w in held if len(w) >= least_letters]
+            words = [w for w, n in held.items() if n and len(w) >= least_letters]
             for i in range(0, len(words), 50_000):
                 some = words[i : i + 50_000]
                 yield pa.RecordBatch.from_arrays(
@@ -78,9 +81,12 @@ def word_counts(
             for part in parts([batch], "text"):
                 for name, text in zip(part.column(0).to_pylist(), byte_texts(part, "text")):
                     letters = text.decode("utf-8", "replace").encode("latin-1", "replace")
-                    for word, n in spelled(
-                            name, letters.translate(_FOLD).split(), every).items():
-                        held[word] += n
+                    words = letters.translate(_FOLD).split()
+                    held.update(words)
+                    for word, left in misspelled(name, set(words), every):
+                        n = words.count(word)
+                        held[word] -= n
+                        held[left] += n
                 if len(held) >= HELD:
                     yield from flush()
         yield from flush()
@@ -131,16 +137,6 @@ class Node:
     leaf: int = -1
     points: np.ndarray | None = None
 
-    def reach(self, counts: np.ndarray, more: int, less: int) -> np.ndarray:
-        """Which rows get into the box with so many letters more and less."""
-        ok = np.ones(len(counts), bool)
-        for bounds, sign, spare in ((self.low, 1, more), (self.high, -1, less)):
-            if bounds:
-                at = list(bounds)
-                gap = sign * (np.array([bounds[i] for i in at]) - counts[:, at])
-                ok &= np.maximum(gap, 0).sum(axis=1) <= spare
-        return ok
-
 
 def grow(counts: np.ndarray, most: int, low=None, high=None, rows=None) -> Node:
     """A k-d tree whose lowest boxes hold ``most`` rows, or equal ones."""
@@ -158,17 +154,31 @@ def grow(counts: np.ndarray, most: int, low=None, high=None, rows=None) -> Node:
 
 
 def visits(tree: Node, counts: np.ndarray, more: int, less: int):
-    """The lowest boxes that rows reach, each with those rows."""
-    stack = [(tree, np.arange(len(counts)))]
+    """The lowest boxes that rows reach with so many letters more and less, each with those rows.
+
+    A row carries the letters that it lacks for the box, and those that it has too many; a
+    split changes one bound, so it adds what its own letter is further out than before."""
+    columns = np.ascontiguousarray(counts.T)
+    none = np.zeros(len(counts), counts.dtype)
+    stack = [(tree, np.arange(len(counts)), none, none)]
     while stack:
-        node, rows = stack.pop()
-        rows = rows[node.reach(counts[rows], more, less)]
+        node, rows, lack, over = stack.pop()
         if not len(rows):
             continue
         if node.split is None:
             yield node, rows
-        else:
-            stack += [(node.left, rows), (node.right, rows)]
+            continue
+        letter, bound = node.split
+        of = columns[letter][rows]
+        gone = over + np.maximum(of - bound, 0)
+        if letter in node.high:
+            gone -= np.maximum(of - node.high[letter], 0)
+        come = lack + np.maximum(bound + 1 - of, 0)
+        if letter in node.low:
+            come -= np.maximum(node.low[letter] - of, 0)
+        left, right = np.flatnonzero(gone <= less), np.flatnonzero(come <= more)
+        stack += [(node.left, rows[left], lack[left], gone[left]),
+                  (node.right, rows[right], come[right], over[right])]
 
 
 def home(tree: Node, counts: np.ndarray) -> np.ndarray:
@@ -227,28 +237,38 @@ def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return head + tail >= n
 
 
-def near_pairs(queries: list[bytes], points: list[bytes]):
+def masks(counts: np.ndarray) -> np.ndarray:
+    """A mask for each row of letter counts."""
+    out = np.zeros(len(counts), np.uint64)
+    for at, bit in enumerate(_ONCE):
+        out |= np.where(counts[:, at] > 0, bit, np.uint64(0))
+    for at, bit in enumerate(_TWICE):
+        out |= np.where(counts[:, at] > 1, bit, np.uint64(0))
+    return out
+
+
+def near_pairs(queries: list[bytes], points: list[bytes], tree: Node | None = None):
     """Index pairs of queries and points that are one edit apart; queries have one length,
-    points one length, the same or one more."""
+    points one length, the same or one more.  ``tree``: the points', if it is there already."""
     q, p = letters_of(queries), letters_of(points)
     more, less = 1, int(q.shape[1] == p.shape[1])
     qc, pc = counts_of(q), counts_of(p)
-    mask = lambda c: np.bitwise_or.reduce(np.where(c > 0, _BIT, np.uint64(0)), axis=1)
-    qm, pm = mask(qc), mask(pc)
+    qm, pm = masks(qc), masks(pc)
     found = [np.zeros((0, 2), np.int64)]
     step = max(1, PAIRS // max(q.shape[1], len(LETTERS)))
-    for node, rows in visits(grow(pc, BUCKET), qc, more, less):
+    for node, rows in visits(tree or grow(pc, BUCKET), qc, more, less):
         some = node.points
         for i in range(0, len(rows), max(1, PAIRS // len(some))):
             asked = rows[i : i + max(1, PAIRS // len(some))]
             close = np.bitwise_count(qm[asked][:, None] ^ pm[some][None, :]) <= more + less
-            at, to = np.nonzero(close)
+            at, to = np.divmod(np.flatnonzero(close), len(some))
             for j in range(0, len(at), step):
                 a, b = asked[at[j : j + step]], some[to[j : j + step]]
-                gap = pc[b] - qc[a]
-                ok = (np.maximum(gap, 0).sum(axis=1) <= more) & (
-                    np.maximum(-gap, 0).sum(axis=1) <= less)
-                a, b = a[ok], b[ok]
+                if q.shape[1] > len(LETTERS):  # else the letters are less work than the counts
+                    gap = pc[b] - qc[a]
+                    ok = (np.maximum(gap, 0).sum(axis=1) <= more) & (
+                        np.maximum(-gap, 0).sum(axis=1) <= less)
+                    a, b = a[ok], b[ok]
                 ok = one_edit(q[a], p[b])
                 found.append(np.stack([a[ok], b[ok]], axis=1))
     return np.concatenate(found)
@@ -301,8 +321,9 @@ def near_words(words: DataFrame) -> DataFrame:
         out = []
         if len(left) and len(right):
             target = left.word.str.encode("latin-1").tolist()
+            tree = grow(counts_of(letters_of(target)), BUCKET)
             for length, rows in right.groupby(right.word.str.len()):
-                pairs = near_pairs(rows.word.str.encode("latin-1").tolist(), target)
+                pairs = near_pairs(rows.word.str.encode("latin-1").tolist(), target, tree)
                 a, b = rows.iloc[pairs[:, 0]], left.iloc[pairs[:, 1]]
                 out.append(pd.DataFrame({
                     "word": a.word.values, "near": b.word.values, "near_n": b.n.values}))

@@ -164,6 +164,42 @@ def test_near_pairs_of_many_anagrams():
         assert found == {(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if near(x, y)}
 
 
+def test_masks_and_boxes_keep_all_near_words_and_few_others():
+    """A mask tells letters that stand twice; one edit changes a bit a letter.  A row reaches
+    just the boxes that it is near enough to."""
+    of = lambda *words: variants.counts_of(variants.letters_of(list(words)))
+    bits = lambda a, b: int(np.bitwise_count(
+        variants.masks(of(a))[0] ^ variants.masks(of(b))[0]))
+    assert bits(b"aabbc", b"abccc") == 3
+    r = random.Random(8)
+    letters = [chr(c).encode("latin-1") for c in variants.LETTERS]
+    for _ in range(2000):
+        word = [r.choice(letters[:4] + letters[-30:]) for _ in range(6)]
+        at, letter = r.randrange(6), r.choice(letters)
+        other = word[:at] + [letter] + word[at + 1 :]
+        longer = word[:at] + [letter] + word[at:]
+        assert bits(b"".join(word), b"".join(other)) <= 2
+        assert bits(b"".join(word), b"".join(longer)) <= 1
+    points = of(*(bytes(r.choices(b"abcd", k=6)) for _ in range(300)))
+    rows = of(*(bytes(r.choices(b"abcde", k=6)) for _ in range(100)))
+    tree = variants.grow(points, 5)
+    for more, less in ((0, 0), (1, 0), (1, 1)):
+        found, want, stack = set(), set(), [tree]
+        for node, at in variants.visits(tree, rows, more, less):
+            found |= {(id(node), i) for i in at.tolist()}
+        while stack:
+            node = stack.pop()
+            if node.split is not None:
+                stack += [node.left, node.right]
+                continue
+            for i, c in enumerate(rows.astype(int)):
+                lack = sum(max(b - c[k], 0) for k, b in node.low.items())
+                over = sum(max(c[k] - b, 0) for k, b in node.high.items())
+                if lack <= more and over <= less:
+                    want.add((id(node), i))
+        assert found == want and want
+
+
 def test_forms_cannot_go_round(spark):
     with pytest.raises(ValueError):
         variants.spelling_variants(table(spark, []), ratio=1)
