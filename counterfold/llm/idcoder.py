@@ -26,6 +26,7 @@ import numpy as np
 
 BLOCK = 4096
 VOCABULARY = 1 << 16
+NAMED = (1 << 17) - 1  # the bits of an id or of none
 ONE = 4096  # the whole of the shares
 SLOTS1, SLOTS2, LEVELS = 1 << 12, 1 << 13, 8
 RENEW = [32, 64, 128, 256, 512, 1024, 2048, 3072]
@@ -45,10 +46,9 @@ class Model:
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes, dtype=np.int64)
-        self.next1 = np.full(lanes * SLOTS1, -1, np.int32)
-        self.next2 = np.full(lanes * SLOTS2, -1, np.int32)
-        self.sure1 = np.zeros(lanes * SLOTS1, np.uint8)
-        self.sure2 = np.zeros(lanes * SLOTS2, np.uint8)
+        # an id, or VOCABULARY for none, and above its bits the level of confidence
+        self.next1 = np.full(lanes * SLOTS1, VOCABULARY, np.int32)
+        self.next2 = np.full(lanes * SLOTS2, VOCABULARY, np.int32)
         self.weight1 = np.full(lanes * LEVELS, ONE // 4, np.int64)
         self.weight2 = np.full(lanes * LEVELS, ONE // 2, np.int64)
         self.known = np.full(lanes, ONE // 2, np.int64)
@@ -61,9 +61,11 @@ class Model:
         self.at1 = self.lane[:k] * SLOTS1 + (last & (SLOTS1 - 1))
         mix = (self.before[:k] * 40503 + last * 2654435761) >> 7
         self.at2 = self.lane[:k] * SLOTS2 + (mix & (SLOTS2 - 1))
-        self.p1, self.p2 = self.next1[self.at1], self.next2[self.at2]
-        self.w1 = self.lane[:k] * LEVELS + self.sure1[self.at1]
-        self.w2 = self.lane[:k] * LEVELS + self.sure2[self.at2]
+        held1, held2 = self.next1[self.at1], self.next2[self.at2]
+        self.p1, self.p2 = held1 & NAMED, held2 & NAMED
+        self.level1, self.level2 = held1 >> 17, held2 >> 17
+        first = self.lane[:k] * LEVELS
+        self.w1, self.w2 = first + self.level1, first + self.level2
         a2 = self.weight2[self.w2]
         rest = ONE - a2
         a1 = a2 + 1 + (((rest - 8) * self.weight1[self.w1]) >> 12)
@@ -82,12 +84,11 @@ class Model:
             w = self.known[:k]
             step = np.where(hit2 | hit1, 0, ((in_seen * ONE) - w) >> 5)
             self.known[:k] = np.clip(w + step, 64, ONE - 64)
-        level = self.sure2[self.at2]
-        self.sure2[self.at2] = np.where(hit2, np.minimum(level + 1, LEVELS - 1), 1)
-        level = self.sure1[self.at1]
-        self.sure1[self.at1] = np.where(hit1, np.minimum(level + 1, LEVELS - 1), 1)
-        self.next2[self.at2] = ids
-        self.next1[self.at1] = ids
+        ids = ids.astype(np.int32)
+        self.next2[self.at2] = ids | (np.where(
+            hit2, np.minimum(self.level2 + 1, LEVELS - 1), 1) << 17).astype(np.int32)
+        self.next1[self.at1] = ids | (np.where(
+            hit1, np.minimum(self.level1 + 1, LEVELS - 1), 1) << 17).astype(np.int32)
         self.before[:k] = self.last[:k]
         self.last[:k] = ids
 
@@ -99,12 +100,14 @@ def _order(lengths: list[int]) -> np.ndarray:
 def _ranks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each id, where it lies among the sorted ids of the block at the last renewal."""
     first, end = np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int32)
+    different, place = np.unique(ids, return_inverse=True)
     for n, to in zip(RENEW, RENEW[1:] + [BLOCK]):
         if n >= len(ids):
             break
-        seen = np.sort(ids[:n], kind="stable")
-        first[n:to] = np.searchsorted(seen, ids[n:to], "left")
-        end[n:to] = np.searchsorted(seen, ids[n:to], "right")
+        count = np.bincount(place[:n], minlength=len(different))
+        ends, at = np.cumsum(count), place[n:to]
+        end[n:to] = ends[at]
+        first[n:to] = (ends - count)[at]
     return first, end
 
 

@@ -96,6 +96,22 @@ def test_coder_round_trip_and_damage():
         idcoder.decode([bytes(bad)])
 
 
+def test_coder_keeps_its_bytes_in_small_tables():
+    """The coded bytes are those of earlier files; a lane's tables fit 50 kB."""
+    r = np.random.default_rng(11)
+    blocks = [(r.zipf(1.3, n) % 50_000).astype(np.uint16) for n in (4096, 4096, 700, 33, 1)]
+    blocks.append(np.tile(np.arange(40, dtype=np.uint16), 90))
+    coded = b"".join(idcoder.encode(blocks))
+    assert len(coded) == 8500 and zlib.crc32(coded) == 1134964319
+    tables = [x for x in vars(idcoder.Model(8)).values() if isinstance(x, np.ndarray)]
+    assert sum(x.nbytes for x in tables) <= 8 * 50_000
+    ids = blocks[0]
+    for (n, to) in zip(idcoder.RENEW, [*idcoder.RENEW[1:], idcoder.BLOCK]):
+        seen, (first, end) = np.sort(ids[:n]), idcoder._ranks(ids)
+        assert (first[n:to] == np.searchsorted(seen, ids[n:to], "left")).all()
+        assert (end[n:to] == np.searchsorted(seen, ids[n:to], "right")).all()
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     target = token_files.write_token_files(docs, WORDS, str(tmp_path / "t"))
     found = token_files.read_token_files(spark, target).toPandas().sort_values("start")
