@@ -483,3 +483,36 @@ def test_packing_holds_few_chunks_where_asked(spark):
         memory.values([t])
         most = max(most, len(memory.later))
     assert 0 < most <= 300 + 300 // 2 + 400  # what was met again, and the text at hand
+
+
+def test_texts_are_cut_as_one_array_where_pre_tokens_end():
+    """Chunks end before lone white space and before marks behind letters; ids are the library's."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from counterfold.llm import bpe
+
+    r = random.Random(12)
+    alphabet = [*"ab Z 9 '.,!(\n\t \r", "é", "ß", "À", "'s", "'re", " the", "word", "\n\n", "<|", "x.\nY"]
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 40))) for _ in range(1500)]
+    texts += ["", " ", "\n", " a", "a ", "a \n", ".", "it's. don't, 中文 x", "stop <|endoftext|> here"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        tok = Tokenizer.from_file(path)
+        want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+        for most in (50, 600_000):
+            memory = bpe.IdMemory(path, most)
+            for _ in range(2):
+                got = memory.values(texts)
+                assert [np.frombuffer(b, "<u4").tolist() for b in got] == want
+            got = [memory.values([t])[0] for t in texts[:200]]
+            assert [np.frombuffer(b, "<u4").tolist() for b in got] == want[:200]
+        memory = bpe.IdMemory(path, 100)
+        memory.values(["One two.\nTwo, two (two) two  two's", "two.\nTwo"])
+        assert set(memory.later) == {
+            b"One", b" two", b".", b"\nTwo", b",", b" (two", b")", b" two  two's", b"two"}
+        asked = []
+        learn = memory._learn
+        memory._learn = lambda chunks: asked.extend(chunks) or learn(chunks)
+        memory.values([" ".join(["two", "three"] * 50)] * 3)
+        assert sorted(asked) == [b" three"]
