@@ -29,9 +29,13 @@ VOCABULARY = 1 << 16
 NAMED = (1 << 17) - 1  # the bits of an id or of none
 ONE = 4096  # the whole of the shares
 SLOTS1, SLOTS2, LEVELS = 1 << 12, 1 << 13, 8
+RANKED, SORTED, TURNED = 8, 16, 64  # blocks ranked or sorted at a time, steps laid out
 RENEW = [32, 64, 128, 256, 512, 1024, 2048, 3072]
 TOP, LOW = np.uint64(1 << 48), np.uint64(1 << 40)
 HEAD = struct.Struct("<II")
+ROW = ONE + 1
+#: A level after a hit (a miss counts as one of level 0), above the bits of an id.
+UP = (np.minimum(np.arange(LEVELS) + 1, LEVELS - 1) << 17).astype(np.int32)
 
 
 @lru_cache(maxsize=1)
@@ -41,11 +45,32 @@ def unseen() -> np.ndarray:
     return np.concatenate([[0], np.cumsum(share)]).astype(np.int64)
 
 
+@lru_cache(maxsize=1)
+def _named() -> np.ndarray:
+    """The id that holds each unit of the shares of ``unseen``."""
+    return np.repeat(np.arange(VOCABULARY, dtype=np.uint16), np.diff(unseen()))
+
+
+@lru_cache(maxsize=1)
+def _steps() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What weights become: of order 2, of order 1, of the seen ids.
+
+    A weight of ``w`` stands at ``w + ROW * (hit of order 1 + 2 * hit of order 2)``, in the
+    last table ``+ ROW * 4`` where the id was seen.
+    """
+    w = np.arange(ROW, dtype=np.int64)
+    down2, up2 = (np.clip(w + ((to - w) >> 4), 16, ONE - 128) for to in (0, ONE))
+    down0, up0 = (np.clip(w + ((to - w) >> 5), 64, ONE - 64) for to in (0, ONE))
+    return (np.concatenate([down2, down2, up2, up2]), np.concatenate([down2, up2, w, w]),
+            np.concatenate([down0, w, w, w, up0, w, w, w]))
+
+
 class Model:
     """Predictions of ``lanes`` blocks.  Only the first ``k`` lanes are still running."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes, dtype=np.int64)
+        # tables have a row for a slot or level: lanes ask for the same frequent ones
+        self.lanes, self.lane = lanes, np.arange(lanes, dtype=np.int64)
         # an id, or VOCABULARY for none, and above its bits the level of confidence
         self.next1 = np.full(lanes * SLOTS1, VOCABULARY, np.int32)
         self.next2 = np.full(lanes * SLOTS2, VOCABULARY, np.int32)
@@ -54,72 +79,101 @@ class Model:
         self.known = np.full(lanes, ONE // 2, np.int64)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
+        self.steps = _steps()
 
     def predict(self, k: int, seen: int):
         """Ids of orders 2 and 1, and where the shares end: order 2, order 1, seen ids."""
-        last = self.last[:k]
-        self.at1 = self.lane[:k] * SLOTS1 + (last & (SLOTS1 - 1))
+        last, lane = self.last[:k], self.lane[:k]
+        self.at1 = (last & (SLOTS1 - 1)) * self.lanes + lane
         mix = (self.before[:k] * 40503 + last * 2654435761) >> 7
-        self.at2 = self.lane[:k] * SLOTS2 + (mix & (SLOTS2 - 1))
-        held1, held2 = self.next1[self.at1], self.next2[self.at2]
+        self.at2 = (mix & (SLOTS2 - 1)) * self.lanes + lane
+        held1, held2 = self.next1.take(self.at1), self.next2.take(self.at2)
         self.p1, self.p2 = held1 & NAMED, held2 & NAMED
         self.level1, self.level2 = held1 >> 17, held2 >> 17
-        first = self.lane[:k] * LEVELS
-        self.w1, self.w2 = first + self.level1, first + self.level2
-        a2 = self.weight2[self.w2]
-        rest = ONE - a2
-        a1 = a2 + 1 + (((rest - 8) * self.weight1[self.w1]) >> 12)
-        rest = ONE - a1
-        a0 = a1 + (1 + (((rest - 2) * self.known[:k]) >> 12) if seen else 0)
-        return self.p2, self.p1, a2, a1, a0
+        self.w1, self.w2 = self.level1 * self.lanes + lane, self.level2 * self.lanes + lane
+        a2, self.v1 = self.weight2.take(self.w2), self.weight1.take(self.w1)
+        self.v2 = a2
+        a1 = a2 + 1 + (((ONE - 8 - a2) * self.v1) >> 12)
+        a0 = a1 + 1 + (((ONE - 2 - a1) * self.known[:k]) >> 12) if seen else a1
+        return self.p2, self.p1, *(a.view(np.uint64) for a in (a2, a1, a0))
 
     def learn(self, k: int, ids: np.ndarray, in_seen: np.ndarray, seen: int) -> None:
+        """``ids``: int32, what came."""
         hit2, hit1 = ids == self.p2, ids == self.p1
-        w = self.weight2[self.w2]
-        self.weight2[self.w2] = np.clip(w + (((hit2 * ONE) - w) >> 4), 16, ONE - 128)
-        w = self.weight1[self.w1]
-        step = np.where(hit2, 0, ((hit1 * ONE) - w) >> 4)
-        self.weight1[self.w1] = np.clip(w + step, 16, ONE - 128)
+        row = hit2 * (2 * ROW) + hit1 * ROW
+        self.weight2[self.w2] = self.steps[0].take(row + self.v2)
+        self.weight1[self.w1] = self.steps[1].take(row + self.v1)
         if seen:
-            w = self.known[:k]
-            step = np.where(hit2 | hit1, 0, ((in_seen * ONE) - w) >> 5)
-            self.known[:k] = np.clip(w + step, 64, ONE - 64)
-        ids = ids.astype(np.int32)
-        self.next2[self.at2] = ids | (np.where(
-            hit2, np.minimum(self.level2 + 1, LEVELS - 1), 1) << 17).astype(np.int32)
-        self.next1[self.at1] = ids | (np.where(
-            hit1, np.minimum(self.level1 + 1, LEVELS - 1), 1) << 17).astype(np.int32)
+            known = self.known[:k]
+            known[:] = self.steps[2].take(row + in_seen * (4 * ROW) + known)
+        self.next2[self.at2] = ids | UP.take(self.level2 * hit2)
+        self.next1[self.at1] = ids | UP.take(self.level1 * hit1)
         self.before[:k] = self.last[:k]
         self.last[:k] = ids
 
 
+def _settled(low: np.ndarray, width: np.ndarray):
+    """Moves intervals on by 16 bits, as often as their upper 16 bits are settled; yields the
+    lanes and the lower ends before.  An interval that is narrow but not settled is cut off
+    at the border."""
+    at = (width <= TOP).nonzero()[0]  # only these can have settled
+    while len(at):
+        l, h = low.take(at), width.take(at)
+        is_settled = (l ^ (l + h - np.uint64(1))) < TOP
+        narrow = ((h < LOW) > is_settled).nonzero()[0]
+        if len(narrow):
+            h[narrow] = (~l[narrow] + np.uint64(1)) & (LOW - np.uint64(1))
+            is_settled[narrow] = True
+        kept = is_settled.nonzero()[0]
+        at, l, h = at.take(kept), l.take(kept), h.take(kept)
+        low[at], width[at] = l << np.uint64(16), h << np.uint64(16)
+        yield at, l
+        at = at.take((h <= TOP >> np.uint64(16)).nonzero()[0])
+
+
 def _order(lengths: list[int]) -> np.ndarray:
     return np.argsort(-np.asarray(lengths, np.int64), kind="stable")
 
 
 def _ranks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each id, where it lies among the sorted ids of the block at the last renewal."""
-    first, end = np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int32)
-    different, place = np.unique(ids, return_inverse=True)
-    for n, to in zip(RENEW, RENEW[1:] + [BLOCK]):
-        if n >= len(ids):
-            break
-        count = np.bincount(place[:n], minlength=len(different))
-        ends, at = np.cumsum(count), place[n:to]
-        end[n:to] = ends[at]
-        first[n:to] = (ends - count)[at]
-    return first, end
-
-
-def _runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each place of sorted rows, where its run of equal ids begins and ends."""
-    n = rows.shape[1]
-    new = np.ones((len(rows), n + 1), bool)
-    new[:, 1:-1] = rows[:, 1:] != rows[:, :-1]
-    at = np.arange(n + 1, dtype=np.int16)
-    first = np.maximum.accumulate(np.where(new[:, :-1], at[:-1], 0), axis=1)
-    end = np.minimum.accumulate(np.where(new[:, 1:], at[1:], n)[:, ::-1], axis=1)[:, ::-1]
-    return first, end
+    """For each id, where it lies among the sorted ids of the block at the last renewal.
+
+    ``ids``: a block, or blocks of one length as rows.
+    """
+    rows = np.atleast_2d(ids)
+    first, end = np.zeros(rows.shape, np.int32), np.zeros(rows.shape, np.int32)
+    if rows.size:
+        order = np.argsort(rows, axis=1, kind="stable")
+        sorted_ids = np.take_along_axis(rows, order, 1)
+        new = np.ones(rows.shape, bool)
+        new[:, 1:] = sorted_ids[:, 1:] != sorted_ids[:, :-1]
+        place = np.empty(rows.shape, np.int64)  # different ids, counted over all rows
+        np.put_along_axis(place, order, np.cumsum(new).reshape(rows.shape) - 1, 1)
+        before = np.arange(len(rows))[:, None]
+        for n, to in zip(RENEW, RENEW[1:] + [BLOCK]):
+            if n >= rows.shape[1]:
+                break
+            count = np.bincount(place[:, :n].ravel(), minlength=np.count_nonzero(new))
+            ends, at = np.cumsum(count), place[:, n:to]
+            end[:, n:to] = ends[at] - n * before
+            first[:, n:to] = end[:, n:to] - count[at]
+    return first.reshape(ids.shape), end.reshape(ids.shape)
+
+
+def _packed_runs(rows: np.ndarray) -> np.ndarray:
+    """For each place of the sorted rows: where its run of equal ids begins, 16 bits, its
+    length, 16 bits, and its id."""
+    k, n = rows.shape
+    out = np.empty(k * n, np.uint64)
+    for lane in range(0, k, SORTED):
+        some = np.sort(rows[lane : lane + SORTED], axis=1, kind="stable")
+        new = np.ones(some.shape, bool)
+        new[:, 1:] = some[:, 1:] != some[:, :-1]
+        at = new.ravel().nonzero()[0]  # runs end with their rows
+        length = np.diff(at, append=some.size)
+        run = (at % n) | (length << 16) | (some.ravel().take(at).astype(np.int64) << 32)
+        out[lane * n : lane * n + some.size] = np.repeat(run.view(np.uint64), length)
+    return out
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
@@ -129,55 +183,60 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     order = _order([len(b) for b in blocks])
     lengths = np.array([len(blocks[i]) for i in order])
     n, longest = len(blocks), int(lengths[0])
-    ids = np.zeros((longest, n), np.int32)
-    first, end = np.zeros((longest, n), np.int32), np.zeros((longest, n), np.int32)
+    rows = np.zeros((n, longest), np.uint16)
+    first, end = np.zeros((n, longest), np.uint16), np.zeros((n, longest), np.uint16)
     for lane, i in enumerate(order):
-        size = len(blocks[i])
-        ids[:size, lane] = blocks[i]
-        first[:size, lane], end[:size, lane] = _ranks(blocks[i])
-    cum = unseen()
-    model = Model(n)
+        rows[lane, : len(blocks[i])] = blocks[i]
+    lane = 0
+    while lane < n:  # rows of one length, as many as fit a fast memory
+        size = int(lengths[lane])
+        to = min(lane + RANKED, int(np.searchsorted(-lengths, -size, "right")))
+        first[lane:to, :size], end[lane:to, :size] = _ranks(rows[lane:to, :size])
+        lane = to
+    cum, model = unseen(), Model(n)
+    share = np.diff(cum)
     low, width = np.zeros(n, np.uint64), np.full(n, np.uint64(2**64 - 1))
-    out, used = np.zeros((n, 3 * longest + 8), np.uint16), np.zeros(n, np.int64)
-    running = np.searchsorted(-lengths, -np.arange(longest), "left")
-    seen, renewals = 0, set(RENEW)
+    out, used = np.zeros(n * (3 * longest + 8), np.uint16), np.arange(n) * (3 * longest + 8)
+    running = np.searchsorted(-lengths, -np.arange(longest), "left").tolist()
+    seen, renewals, whole = 0, set(RENEW), np.uint64(cum[-1])
     for t in range(longest):
-        k = int(running[t])
+        k = running[t]
         if t in renewals:
             seen = t
-        x, lo, hi = ids[t, :k], first[t, :k], end[t, :k]
+        if t % TURNED == 0:  # the next steps, a row each
+            ids = rows[:, t : t + TURNED].T.astype(np.int32)
+            begins, ends = first[:, t : t + TURNED].T, end[:, t : t + TURNED].T
+            is_old = ends > begins
+            begin = np.where(is_old, begins, cum.take(ids)).astype(np.uint64)
+            size = np.where(is_old, ends - begins, share.take(ids)).astype(np.uint64)
+        row = t % TURNED
+        x, old = ids[row, :k], is_old[row, :k]
         p2, p1, a2, a1, a0 = model.predict(k, seen)
-        hit2, hit1, old = x == p2, x == p1, hi > lo
-        start = np.where(hit2, 0, np.where(hit1, a2, np.where(old, a1, a0)))
-        stop = np.where(hit1, a1, np.where(hit2, a2, np.where(old, a0, ONE)))
-        lo_, hi_ = low[:k], width[:k]
-        r = hi_ >> np.uint64(12)
-        lo_ += r * start.astype(np.uint64)
-        hi_[:] = r * (stop - start).astype(np.uint64)
+        hit2, hit1 = x == p2, x == p1
+        lo, wi = low[:k], width[:k]
+        r = wi >> np.uint64(12)
+        start = np.where(hit2, np.uint64(0), a2)
+        wi[:] = r * (np.where(hit1, a1, a2) - start)
         rest = np.flatnonzero(~(hit2 | hit1))
         if len(rest):
-            was = old[rest]
-            total = np.where(was, max(seen, 1), cum[-1]).astype(np.uint64)
-            xs = x[rest]
-            begin = np.where(was, lo[rest], cum[xs]).astype(np.uint64)
-            size = np.where(was, hi[rest] - lo[rest], cum[xs + 1] - cum[xs]).astype(np.uint64)
-            r = hi_[rest] // total
-            lo_[rest] += r * begin
-            hi_[rest] = r * size
+            was, end1, end0 = old[rest], a1[rest], a0[rest]
+            start[rest] = np.where(was, end1, end0)
+            room = r[rest] * np.where(was, end0 - end1, np.uint64(ONE) - end0)
+            unit = room // np.where(was, np.uint64(max(seen, 1)), whole)
+            wi[rest] = unit * size[row].take(rest)
+            lo += r * start
+            lo[rest] += unit * begin[row].take(rest)
+        else:
+            lo += r * start
         model.learn(k, x, old, seen)
-        while True:
-            settled = (lo_ ^ (lo_ + hi_ - np.uint64(1))) < TOP
-            at = np.flatnonzero(settled | (hi_ < LOW))
-            if not len(at):
-                break
-            l, h = lo_[at], hi_[at]
-            h = np.where(settled[at], h, (~l + np.uint64(1)) & (LOW - np.uint64(1)))
-            out[at, used[at]] = l >> np.uint64(48)
-            used[at] += 1
-            lo_[at], hi_[at] = l << np.uint64(16), h << np.uint64(16)
+        for at, l in _settled(lo, wi):
+            to = used.take(at)
+            out[to] = l >> np.uint64(48)
+            used[at] = to + 1
     for shift in (48, 32, 16, 0):
-        out[np.arange(n), used] = (low >> np.uint64(shift)) & np.uint64(0xFFFF)
+        out[used] = (low >> np.uint64(shift)) & np.uint64(0xFFFF)
         used += 1
+    out, used = out.reshape(n, -1), used - np.arange(n) * (3 * longest + 8)
     coded: list[bytes] = [b""] * n
     for lane, i in enumerate(order):
         head = HEAD.pack(len(blocks[i]), zlib.crc32(blocks[i].astype("<u2").tobytes()))
@@ -194,66 +253,62 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
     lengths = np.array([heads[i][0] for i in order])
     n, longest = len(coded), int(lengths[0])
     most = max(len(c) for c in coded) // 2 + 8
-    words, used = np.zeros((n, most), np.uint64), np.full(n, 4)
+    words, used = np.zeros((n, most), np.uint16), np.arange(n) * most + 4
+    ends = np.arange(1, n + 1) * most - 1  # reading stays in a lane, also in damaged ones
     for lane, i in enumerate(order):
         w = np.frombuffer(coded[i], "<u2", offset=HEAD.size)
         words[lane, : len(w)] = w
-    code = np.zeros(n, np.uint64)
+    code = np.zeros(n, np.uint64)  # as counted from the interval's lower end
     for c in range(4):
         code = (code << np.uint64(16)) | words[:, c]
+    words = words.ravel()
     ids = np.zeros((n, longest), np.uint16)
-    cum, model, seen_ids = unseen(), Model(n), None
+    cum, model = unseen().astype(np.uint64), Model(n)
+    named, share, whole = _named(), np.diff(cum), cum[-1]
     low, width = np.zeros(n, np.uint64), np.full(n, np.uint64(2**64 - 1))
-    running = np.searchsorted(-lengths, -np.arange(longest), "left")
+    running = np.searchsorted(-lengths, -np.arange(longest), "left").tolist()
     seen, renewals = 0, set(RENEW)
     for t in range(longest):
-        k = int(running[t])
+        k = running[t]
         if t in renewals:
-            seen, seen_ids = t, np.sort(ids[:k, :t], axis=1, kind="stable")
-            run_first, run_end = _runs(seen_ids)
+            seen, runs = t, _packed_runs(ids[:k, :t])
         p2, p1, a2, a1, a0 = model.predict(k, seen)
-        lo_, hi_, co_ = low[:k], width[:k], code[:k]
-        r = hi_ >> np.uint64(12)
-        v = np.minimum((co_ - lo_) // r, np.uint64(ONE - 1)).astype(np.int64)
-        in2, in1, same = v < a2, v < a1, p2 == p1
-        start = np.where(in2 | (same & in1), 0, np.where(in1, a2, np.where(v < a0, a1, a0)))
-        stop = np.where(in1 & (same | ~in2), a1, np.where(in2, a2, np.where(v < a0, a0, ONE)))
-        x = np.where(in2, p2, p1).astype(np.int64)
-        lo_ += r * start.astype(np.uint64)
-        hi_[:] = r * (stop - start).astype(np.uint64)
-        old = np.zeros(k, bool)
-        rest = np.flatnonzero(~in1)
+        lo, wi, co = low[:k], width[:k], code[:k]
+        r = wi >> np.uint64(12)
+        end1, end0 = r * a1, r * a0
+        end2 = np.where(p2 == p1, end1, r * a2)
+        in2, in1, in0 = co < end2, co < end1, co < end0
+        start = np.where(in2, np.uint64(0), end2)
+        size = np.where(in2, end2, end1) - start
+        x = np.where(in2, p2, p1)
+        old = in0 & ~in1
+        rest = np.flatnonzero(old)
         if len(rest):
-            was = v[rest] < a0[rest]
-            old[rest] = was
-            total = np.where(was, max(seen, 1), cum[-1]).astype(np.uint64)
-            r = hi_[rest] // total
-            u = np.minimum((co_[rest] - lo_[rest]) // r, total - np.uint64(1)).astype(np.int64)
-            begin, size = np.empty(len(rest), np.int64), np.empty(len(rest), np.int64)
-            new = np.flatnonzero(~was)
-            xs = np.searchsorted(cum, u[new], "right") - 1
-            x[rest[new]], begin[new], size[new] = xs, cum[xs], cum[xs + 1] - cum[xs]
-            was = np.flatnonzero(was)
-            if len(was):
-                lanes, at = rest[was], u[was]
-                xs = seen_ids[lanes, at]
-                x[lanes] = xs
-                first, end = run_first[lanes, at], run_end[lanes, at]
-                begin[was], size[was] = first, end - first
-            lo_[rest] += r * begin.astype(np.uint64)
-            hi_[rest] = r * size.astype(np.uint64)
+            begin, total = end1[rest], np.uint64(seen)
+            unit = (end0[rest] - begin) // total
+            u = np.minimum((co[rest] - begin) // unit, total - np.uint64(1))
+            held = runs.take(u.view(np.int64) + rest * seen)
+            x[rest] = held >> np.uint64(32)
+            start[rest] = begin + unit * (held & np.uint64(0xFFFF))
+            size[rest] = unit * ((held >> np.uint64(16)) & np.uint64(0xFFFF))
+        rest = np.flatnonzero(~(in0 | in1))
+        if len(rest):
+            begin = end0[rest]
+            unit = ((r[rest] << np.uint64(12)) - begin) // whole
+            u = np.minimum((co[rest] - begin) // unit, whole - np.uint64(1))
+            xs = named.take(u.view(np.int64))
+            x[rest] = xs
+            start[rest] = begin + unit * cum.take(xs)
+            size[rest] = unit * share.take(xs)
+        lo += start
+        co -= start
+        wi[:] = size
         ids[:k, t] = x
         model.learn(k, x, old, seen)
-        while True:
-            settled = (lo_ ^ (lo_ + hi_ - np.uint64(1))) < TOP
-            at = np.flatnonzero(settled | (hi_ < LOW))
-            if not len(at):
-                break
-            l, h = lo_[at], hi_[at]
-            h = np.where(settled[at], h, (~l + np.uint64(1)) & (LOW - np.uint64(1)))
-            co_[at] = (co_[at] << np.uint64(16)) | words[at, np.minimum(used[at], most - 1)]
-            used[at] += 1
-            lo_[at], hi_[at] = l << np.uint64(16), h << np.uint64(16)
+        for at, _ in _settled(lo, wi):
+            to = used.take(at)
+            co[at] = (co.take(at) << np.uint64(16)) | words.take(np.minimum(to, ends.take(at)))
+            used[at] = to + 1
     plain: list[np.ndarray] = [ids[:0, 0]] * n
     for lane, i in enumerate(order):
         size, crc = heads[i]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from counterfold.llm import bpe, idcoder
-from counterfold.llm.common import byte_texts, parts, ship, shuffle_width
+from counterfold.llm.common import byte_texts, give_back, parts, ship, shuffle_width
 
 STRIPE = 1 << 20
 TOGETHER = 10 << 20  # ids coded side by side in one call: the bound of a task's memory
@@ -89,6 +89,8 @@ def write_token_files(
             held.append(close(docs_held))
         if held:
             yield from flush(held)
+        del held
+        give_back()
 
     (
         docs.selectExpr(f"`{id_column}` AS doc_id", f"CAST(`{text_column}` AS STRING) AS text")
@@ -122,6 +124,8 @@ def read_token_files(spark: SparkSession, target: str) -> DataFrame:
                     held = []
         if held:
             yield from decoded(held, kinds)
+        del held
+        give_back()
 
     def decoded(held, kinds):
         blocks = iter(idcoder.decode([b for h in held for b in h[4]]))

@@ -112,6 +112,19 @@ def test_coder_keeps_its_bytes_in_small_tables():
         assert (end[n:to] == np.searchsorted(seen, ids[n:to], "right")).all()
 
 
+def test_blocks_of_one_length_are_ranked_together():
+    r = np.random.default_rng(5)
+    rows = (r.zipf(1.4, (5, 700)) % 50_000).astype(np.uint16)
+    first, end = idcoder._ranks(rows)
+    for lane, block in enumerate(rows):
+        one = idcoder._ranks(block)
+        assert (first[lane] == one[0]).all() and (end[lane] == one[1]).all()
+    blocks = [*rows, rows[0][:0], *(r.integers(0, 65536, n).astype(np.uint16) for n in (65, 64, 700))]
+    coded = idcoder.encode(blocks)
+    assert all((a == b).all() for a, b in zip(idcoder.decode(coded), blocks))
+    assert all(idcoder.encode([b]) == [c] for b, c in zip(blocks, coded))
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     target = token_files.write_token_files(docs, WORDS, str(tmp_path / "t"))
     found = token_files.read_token_files(spark, target).toPandas().sort_values("start")
