@@ -24,7 +24,10 @@ from counterfold.llm import bpe, idcoder
 from counterfold.llm.common import byte_texts, give_back, parts, ship, shuffle_width
 
 STRIPE = 1 << 20
-TOGETHER = 10 << 20  # ids coded side by side in one call: the bound of a task's memory
+# ids coded side by side in one call: the bound of a task's memory.  A step of the decoder
+# has more calls, which wide arrays make up for; a block of 4,096 ids takes it some 90 kB
+TOGETHER, DECODED = 10 << 20, 14 << 20
+FEW = 100_000  # stripes, of 16 bytes each, that are sent to every executor
 
 
 def _blocks(ids: np.ndarray) -> list[np.ndarray]:
@@ -74,7 +77,7 @@ def write_token_files(
 
         for batch in parts(batches, "text"):
             kinds = batch.schema.field(0).type
-            memory = bpe.id_memory(path)
+            memory = bpe.id_memory(path, fold=True)
             texts = [b.decode("utf-8", "replace") for b in byte_texts(batch, "text")]
             for doc, ids in zip(batch.column(0).to_pylist(), memory.values(texts)):
                 docs_held.append((doc, ids + tail))
@@ -114,14 +117,15 @@ def read_token_files(spark: SparkSession, target: str) -> DataFrame:
     kind = table.schema["doc_ids"].dataType.elementType.simpleString()
 
     def plain(batches):
-        held, kinds = [], None
+        held, kinds, size = [], None, 0
         for batch in batches:
             kinds = batch.schema.field(2).type.value_type
             for row in range(batch.num_rows):
                 held.append([batch.column(c)[row].as_py() for c in range(5)])
-                if sum(sum(h[3]) for h in held) >= TOGETHER:
+                size += sum(held[-1][3])
+                if size >= DECODED:
                     yield from decoded(held, kinds)
-                    held = []
+                    held, size = [], 0
         if held:
             yield from decoded(held, kinds)
         del held
@@ -153,12 +157,9 @@ def read_token_files(spark: SparkSession, target: str) -> DataFrame:
     at = sizes.join(before, "part").select(
         "part", "stripe",
         (F.col("before") + F.sum("n_ids").over(inside) - F.col("n_ids")).alias("base"))
-    rows = table.select("part", "stripe", "doc_ids", "lengths", "blocks").mapInArrow(
+    stripes = at.count()
+    tasks = max(spark.sparkContext.defaultParallelism, stripes * STRIPE // DECODED)
+    rows = table.select("part", "stripe", "doc_ids", "lengths", "blocks").coalesce(tasks).mapInArrow(
         plain, f"part int, stripe int, doc_id {kind}, within long, n_tokens long, ids binary")
-    return rows.join(F.broadcast(at) if _few(at) else at, ["part", "stripe"]).select(
+    return rows.join(F.broadcast(at) if stripes <= FEW else at, ["part", "stripe"]).select(
         "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids")
-
-
-def _few(at: DataFrame, most: int = 100_000) -> bool:
-    """Whether the stripes, of 16 bytes each, are few enough to be sent to every executor."""
-    return at.count() <= most

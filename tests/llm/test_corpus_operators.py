@@ -516,3 +516,22 @@ def test_texts_are_cut_as_one_array_where_pre_tokens_end():
         memory._learn = lambda chunks: asked.extend(chunks) or learn(chunks)
         memory.values([" ".join(["two", "three"] * 50)] * 3)
         assert sorted(asked) == [b" three"]
+
+
+def test_chunks_that_the_normalizer_makes_alike_are_one():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from counterfold.llm import bpe
+
+    r = random.Random(4)
+    alphabet = [chr(c) for c in bpe.PLAIN] + [*"  \n\t'", "'S", "'LL", "ÀÉ", " The", "İ", "<|endoftext|>"]
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 60))) for _ in range(2000)]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):  # the former tells case
+        path = public_tokenizers.path(name)
+        tok, memory = Tokenizer.from_file(path), bpe.IdMemory(path, 1000, fold=True)
+        want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(b, "<u4").tolist() for b in memory.values(texts)] == want
+        memory = bpe.IdMemory(path, 100, fold=True)
+        memory.values(["a Été été ÉTÉ\nété\tÉTé"])
+        assert len(list(memory.later)) == (2 if memory.even else 6)

@@ -125,6 +125,33 @@ def test_blocks_of_one_length_are_ranked_together():
     assert all(idcoder.encode([b]) == [c] for b, c in zip(blocks, coded))
 
 
+def test_predictions_are_foretold_as_a_model_makes_them():
+    r = np.random.default_rng(7)
+    rows = np.concatenate([np.tile(r.integers(0, 65536, 9), 30)[None], r.zipf(1.5, (4, 270)) % 65536])
+    rows = rows.astype(np.uint16)
+    told, model = idcoder._foretold(rows), idcoder.Model(len(rows))
+    for t, ids in enumerate(rows.T.astype(np.int32)):
+        named, _ = model.predict(len(rows), 0)
+        assert ((told[:, t] & 7) == model.level[0]).all() and ((told[:, t] >> 3 & 7) == model.level[1]).all()
+        assert ((told[:, t] >> 6 & 1) == (named[0] == ids)).all() and ((told[:, t] >> 7) == (named[1] == ids)).all()
+        model.learn(len(rows), ids, ids < 0, 0)
+    assert (told & 7).max() == 7 and not idcoder._foretold(rows[:, :0]).size
+
+
+def test_files_are_decoded_in_few_wide_tasks(spark, docs, tmp_path):
+    wide = docs.repartition(16)
+    target = token_files.write_token_files(wide, WORDS, str(tmp_path / "w"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        most = spark.sparkContext.defaultParallelism
+        assert spark.read.parquet(target).rdd.getNumPartitions() > most
+        found = token_files.read_token_files(spark, target)
+        assert found.rdd.getNumPartitions() <= most and found.count() == docs.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     target = token_files.write_token_files(docs, WORDS, str(tmp_path / "t"))
     found = token_files.read_token_files(spark, target).toPandas().sort_values("start")
