@@ -3,7 +3,7 @@
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -206,6 +206,40 @@ def test_rules_of_many_and_small_languages(spark):
     assert rules.keep_good(df, refs).count() == len(rows) - 1
 
 
+def test_rules_common_words_of_any_length(spark):
+    """References against a count of all words, with letters of three bytes and long words."""
+    r = random.Random(6)
+    common = ["में", "और", "हैं", "लिए", "करने", "उनके", "ā" * 80, "ऊ" * 22 + "x"]
+    rows = []
+    for k in range(70):
+        rare = ["".join(r.choices("कखगघचछजझटठडढणतथदधन", k=4)) for _ in range(200)]
+        rows.append((" ".join(r.choice(common) if r.random() < 0.6 else w for w in rare),
+                     ["hi", None][k % 2]))
+    rows.append((" ".join("".join(r.choices("कखगघचछजझटठडढणतथदधन", k=4)) for _ in range(200)), "hi"))
+    df = spark.createDataFrame(
+        [(i, *row) for i, row in enumerate(rows)], "doc_id long, text string, lang string")
+    refs = rules.language_references(df)
+    found = {x.doc_id: x for x in rules.judge(df, refs).collect()}
+    junk = found[len(rows) - 1]  # none of its words is common
+    assert not junk.base_failed and junk.word_distance > 0.4 and not junk.kept
+    assert all(found[i].kept for i in range(len(rows) - 1))
+    words = rows[0][0].encode().split()
+    seen = [[sum(rules.named(w) == x for w in words) for x in index] for index in refs.words]
+    exact = min(float(rules.distance(np.array([*n, len(words) - sum(n)], float), q))
+                for n, q in zip(seen, refs.shares))
+    assert abs(found[0].word_distance - exact) < 1e-12
+    for refs in (refs, rules.language_references(df.repartition(3), held=1)):
+        assert refs.names == ["hi", None]
+        for lang, index, shares in zip(refs.names, refs.words, refs.shares):
+            count = Counter(w for t, x in rows if x == lang for w in t.encode().split())
+            top = sorted(count.values(), reverse=True)[:40]
+            total = sum(count.values())
+            assert np.allclose(shares, np.array([*top, total - sum(top)]) / total)
+            assert list(index.values()) == list(range(40))
+            for w in common:
+                assert shares[index[rules.named(w.encode())]] == count[w.encode()] / total
+
+
 def test_distance_of_histograms():
     p, q = np.array([2.0, 0, 2]), np.array([[0.5, 0, 0.5], [0, 1, 0]])
     assert np.allclose(rules.distance(p, q), [0, 1])
